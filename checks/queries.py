@@ -6,7 +6,8 @@ that the order in which an engine adds numbers does not show.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -536,9 +537,10 @@ def ranking_by_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def metrics_match_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Own metrics against Spark's evaluators on the same predictions."""
-    with held(by_clock(spark, sf_dir).withColumn("prediction", F.col("prediction").cast("double"))) as scores:
-        metrics, _ = measured(scores)
-        auc = BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0).evaluate(scores)
+    doubles = by_clock(spark, sf_dir).withColumn("prediction", F.col("prediction").cast("double"))
+    with held(doubles.withColumnRenamed("probability", "score")) as scores:
+        metrics, _ = measured(scores.withColumnRenamed("score", "probability"))
+        auc = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(scores)
         pairs = [(metrics["auc"], auc)]
         for own, builtin in (
             ("accuracy", "accuracy"), ("f1", "f1"), ("weighted_precision", "weightedPrecision"),
@@ -618,76 +620,82 @@ def onehot_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(document.select("mode", "train_rows", "test_rows", "auc", "accuracy", "f1"))
 
 
-def _boosted(spark: SparkSession, sf_dir: str, validation: str | None = None, rounds: int = 6):
-    rows = labelled_legs(legs(spark, sf_dir), TreeConfig(roles=ROLES, periods=PERIODS))
-    rows = rows.dropna(subset=["carrier"])
-    learning, test = ops.stratified_split(rows, LABEL, 0.2, SEED)
-    learning = ops.mark_parts(learning, {"train": 0.8, "validation": 0.2}, SEED + 1)
-    learning = learning.withColumn("in_validation", F.col("part") == "validation")
-    features = ["year", "month", "dayofweek", "dep_hour", "dep_period", "is_weekend", "season",
-                "distance", "sched_elapsed", "origin_id", "dest_id", "carrier_delay_rate"]
-    train = learning.filter(~F.col("in_validation"))
-    encoder = TargetMeanEncoder(["carrier"], labelCol=LABEL).fit(train)
-    fitted = gbt_stages(features, LABEL, validation=validation, rounds=rounds, depth=4).fit(
-        encoder.transform(learning if validation else train)
-    )
-    assembler, booster = fitted.stages
-    return booster, assembler.transform(encoder.transform(test)), assembler.transform(
-        encoder.transform(learning.filter("in_validation"))
-    )
+BOOSTED_FEATURES = [
+    "year", "month", "dayofweek", "dep_hour", "dep_period", "is_weekend", "season", "distance",
+    "sched_elapsed", "origin_id", "dest_id", "airline_delay_rate",
+]
+
+
+@contextmanager
+def _boosted(spark: SparkSession, sf_dir: str, on_loss: bool = False, rounds: int = 5):
+    """(booster, assembled test rows, assembled validation rows), the rows kept while in use."""
+    rows = labelled_legs(legs(spark, sf_dir), TreeConfig(roles=ROLES, periods=PERIODS)).dropna(subset=["carrier"])
+    rows = ops.mark_parts(rows, {"train": 0.64, "validation": 0.16, "test": 0.2}, SEED)
+    with held(rows.withColumn("in_validation", F.col("part") == "validation")) as rows:
+        train = rows.filter(F.col("part") == "train")
+        encoder = TargetMeanEncoder(["carrier"], ["airline_delay_rate"], LABEL).fit(train)
+        encoded = encoder.transform(rows)
+        learning = encoded.filter(F.col("part") != "test") if on_loss else encoded.filter(F.col("part") == "train")
+        stages = gbt_stages(
+            BOOSTED_FEATURES, LABEL, validation="in_validation" if on_loss else None, rounds=rounds, depth=4
+        )
+        assembler, booster = stages.fit(learning).stages
+        assembled = assembler.transform(encoded)
+        yield booster, assembled.filter(F.col("part") == "test"), assembled.filter("in_validation")
 
 
 @query
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    booster, test, _ = _boosted(spark, sf_dir)
-    scored = positive_probability(booster.transform(test))
-    return rounded(scored.select(F.col(LABEL).alias("label"), "prediction", "probability"))
+    with _boosted(spark, sf_dir) as (booster, test, _):
+        scored = positive_probability(booster.transform(test))
+        return rounded(scored.select(F.col(LABEL).alias("label"), "prediction", "probability"))
 
 
 @query
 def gbt_first_trees_same(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring with all trees one by one equals the model's own scoring."""
-    booster, test, _ = _boosted(spark, sf_dir)
-    own = positive_probability(booster.transform(test)).withColumnRenamed("probability", "whole")
-    own = own.drop("prediction", "rawPrediction")
-    staged = first_trees(booster, own, booster.getNumTrees)
-    return staged.agg((F.max(F.abs(F.col("whole") - F.col("probability"))) < 1e-9).alias("ok"))
+    with _boosted(spark, sf_dir) as (booster, test, _):
+        own = positive_probability(booster.transform(test)).withColumnRenamed("probability", "whole")
+        staged = first_trees(booster, own.drop("prediction", "rawPrediction"), booster.getNumTrees)
+        apart = staged.agg(F.max(F.abs(F.col("whole") - F.col("probability")))).first()[0]
+    return only_ok(spark, apart < 1e-9)
 
 
 @query
 def gbt_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a validation column boosting ends early or runs all rounds, never more."""
-    booster, _, _ = _boosted(spark, sf_dir, validation="in_validation")
-    return only_ok(spark, 1 <= booster.getNumTrees <= 6)
+    with _boosted(spark, sf_dir, on_loss=True) as (booster, _, _):
+        return only_ok(spark, 1 <= booster.getNumTrees <= 5)
 
 
 @query
 def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    booster, test, _ = _boosted(spark, sf_dir)
-    return rounded(feature_importances(spark, booster.featureImportances.toArray(), feature_names(test)))
+    with _boosted(spark, sf_dir) as (booster, test, _):
+        names = feature_names(test)
+    return rounded(feature_importances(spark, booster.featureImportances.toArray(), names))
 
 
 @query
 def importances_sum_to_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    booster, test, _ = _boosted(spark, sf_dir)
-    table = feature_importances(spark, booster.featureImportances.toArray(), feature_names(test))
+    with _boosted(spark, sf_dir) as (booster, test, _):
+        table = feature_importances(spark, booster.featureImportances.toArray(), feature_names(test))
     return table.agg((F.abs(F.sum("importance") - 1.0) < 1e-9).alias("ok"))
 
 
 @query
 def boosting_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    booster, _, validation = _boosted(spark, sf_dir)
-    curve = training_curve(booster, validation, LABEL)
-    return rounded(curve.join(loss_curve(booster, validation), "round"))
+    with _boosted(spark, sf_dir) as (booster, _, validation):
+        losses = loss_curve(booster, validation)
+        curve = spark.createDataFrame(training_curve(booster, validation, LABEL).collect(), "round int, auc double")
+    return rounded(curve.join(losses, "round"))
 
 
 @query
 def boosting_curve_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last point of the curve is the model's own auc, and the best round lies on it."""
-    booster, _, validation = _boosted(spark, sf_dir)
-    curve = training_curve(booster, validation, LABEL).collect()
-    curve = spark.createDataFrame(curve, "round int, auc double")
-    whole = roc_auc(positive_probability(booster.transform(validation)), LABEL).first()["auc"]
+    with _boosted(spark, sf_dir) as (booster, _, validation):
+        curve = spark.createDataFrame(training_curve(booster, validation, LABEL).collect(), "round int, auc double")
+        whole = roc_auc(positive_probability(booster.transform(validation)), LABEL).first()["auc"]
     last = curve.filter(F.col("round") == booster.getNumTrees).first()["auc"]
     return only_ok(spark, abs(whole - last) < 1e-9 and 1 <= best_round(curve, 30) <= booster.getNumTrees)
 

@@ -71,7 +71,7 @@ def gbt_stages(
     trees = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=rounds, stepSize=learning_rate,
         maxDepth=depth, subsamplingRate=row_share, featureSubsetStrategy=str(feature_share),
-        maxBins=32, seed=seed, cacheNodeIds=True, checkpointInterval=10,
+        maxBins=32, seed=seed, checkpointInterval=10,
     )
     if weight:
         trees = trees.setWeightCol(weight)
