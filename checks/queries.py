@@ -34,7 +34,7 @@ from latemark.plans.onehot import positive_probability
 from latemark.plans.trees import LABEL, fit_encoders, labelled_legs, rate_columns, tree_features
 from latemark.session import held, scratch_path
 from latemark.sources import (
-    load_model, read_legs, read_metrics, read_sample, read_staged, save_model, stage_legs,
+    load_model, read_legs, read_metrics, read_sample, read_staged, restaged, save_model, stage_legs,
     write_confusion, write_metrics, write_predictions, write_sample,
 )
 from latemark.evaluation.documents import DOCUMENT_SCHEMA
@@ -79,14 +79,19 @@ def only_ok(spark: SparkSession, ok: bool) -> DataFrame:
     return spark.createDataFrame([(bool(ok),)], "ok boolean")
 
 
+def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned legs written once, for queries that pass over them more than once."""
+    return restaged(cleaned(spark, sf_dir), "cleaned")
+
+
 def split_legs(spark: SparkSession, sf_dir: str):
-    return ops.temporal_split(cleaned(spark, sf_dir), "year", RATIO)
+    return ops.temporal_split(staged(spark, sf_dir), "year", RATIO)
 
 
 def by_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned legs scored by their departure time: many ties, some signal."""
     score = F.col("sched_hhmm") / F.lit(2400.0)
-    return cleaned(spark, sf_dir).select(
+    return staged(spark, sf_dir).select(
         "label", score.alias("probability"), (score >= 0.5).cast("int").alias("prediction")
     )
 
@@ -131,7 +136,7 @@ def staged_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sample_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "sample")
-    sample = ops.stratified_sample(cleaned(spark, sf_dir), "label", {0: 0.05, 1: 0.05}, SEED)
+    sample = ops.stratified_sample(staged(spark, sf_dir), "label", {0: 0.05, 1: 0.05}, SEED)
     write_sample(sample, path, "label")
     return rounded(read_sample(spark, path, sample))
 
@@ -258,7 +263,7 @@ def route_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tree_parts(spark: SparkSession, sf_dir: str):
-    rows = ops.add_calendar_features(cleaned(spark, sf_dir), ROLES).withColumnRenamed("label", LABEL)
+    rows = ops.add_calendar_features(staged(spark, sf_dir), ROLES).withColumnRenamed("label", LABEL)
     return ops.temporal_split(rows, "year", RATIO)
 
 
@@ -386,14 +391,14 @@ def temporal_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, test = ops.hash_split(cleaned(spark, sf_dir), RATIO, SEED)
+    _, test = ops.hash_split(staged(spark, sf_dir), RATIO, SEED)
     return rounded(test)
 
 
 @query
 def hash_three_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = {"train": 0.64, "validation": 0.16, "test": 0.2}
-    marked = ops.mark_parts(cleaned(spark, sf_dir), shares, SEED)
+    marked = ops.mark_parts(staged(spark, sf_dir), shares, SEED)
     return marked.groupBy("part", "label").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("sched_hhmm").alias("hhmm_sum")
     )
@@ -401,27 +406,26 @@ def hash_three_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(ops.stratified_sample(cleaned(spark, sf_dir), "label", {0: 0.05, 1: 0.2}, SEED))
+    return rounded(ops.stratified_sample(staged(spark, sf_dir), "label", {0: 0.05, 1: 0.2}, SEED))
 
 
 @query
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, test = ops.stratified_split(cleaned(spark, sf_dir), "label", 0.2, SEED)
+    _, test = ops.stratified_split(staged(spark, sf_dir), "label", 0.2, SEED)
     return rounded(test)
 
 
 @query
 def split_parts_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train and test share no row and together hold every row, for both content splits."""
-    rows = cleaned(spark, sf_dir)
-    with held(rows):
-        checks = []
-        for train, test in (
-            ops.hash_split(rows, RATIO, SEED), ops.stratified_split(rows, "label", 0.2, SEED),
-        ):
-            both = train.unionAll(test)
-            checks.append(both.exceptAll(rows).isEmpty() and rows.exceptAll(both).isEmpty())
-            checks.append(train.intersect(test).isEmpty())
+    rows = staged(spark, sf_dir)
+    checks = []
+    for train, test in (
+        ops.hash_split(rows, RATIO, SEED), ops.stratified_split(rows, "label", 0.2, SEED),
+    ):
+        both = train.unionAll(test)
+        checks.append(both.exceptAll(rows).isEmpty() and rows.exceptAll(both).isEmpty())
+        checks.append(train.intersect(test).isEmpty())
     return only_ok(spark, all(checks))
 
 
@@ -506,7 +510,7 @@ def roc_auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def roc_auc_fine_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A nearly tie-free score outside [0, 1]."""
-    return rounded(roc_auc(cleaned(spark, sf_dir), score="distance"))
+    return rounded(roc_auc(staged(spark, sf_dir), score="distance"))
 
 
 @query
@@ -526,12 +530,12 @@ def pr_curve_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pr_curve_thinned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(pr_curve(cleaned(spark, sf_dir), score="distance", points=100))
+    return rounded(pr_curve(staged(spark, sf_dir), score="distance", points=100))
 
 
 @query
 def ranking_by_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(ranking_metrics(cleaned(spark, sf_dir), score="sched_hhmm", by=["carrier"]))
+    return rounded(ranking_metrics(staged(spark, sf_dir), score="sched_hhmm", by=["carrier"]))
 
 
 @query
@@ -631,7 +635,8 @@ def _boosted(spark: SparkSession, sf_dir: str, on_loss: bool = False, rounds: in
     """(booster, assembled test rows, assembled validation rows), the rows kept while in use."""
     rows = labelled_legs(legs(spark, sf_dir), TreeConfig(roles=ROLES, periods=PERIODS)).dropna(subset=["carrier"])
     rows = ops.mark_parts(rows, {"train": 0.64, "validation": 0.16, "test": 0.2}, SEED)
-    with held(rows.withColumn("in_validation", F.col("part") == "validation")) as rows:
+    rows = restaged(rows.withColumn("in_validation", F.col("part") == "validation"), "parts")
+    with held(rows):
         train = rows.filter(F.col("part") == "train")
         encoder = TargetMeanEncoder(["carrier"], ["airline_delay_rate"], LABEL).fit(train)
         encoded = encoder.transform(rows)

@@ -6,8 +6,9 @@ Only projections and filters: nothing here moves a row to another task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from latemark.functions import (
@@ -58,10 +59,16 @@ def clean_legs(
         exclude_periods(recent, roles.year, roles.month, periods),
         roles.delay, threshold, inclusive, output=label,
     )
-    return (
-        labelled.select(*roles.features, *extra, label)
-        .dropna(subset=[*roles.features, label])
-    )
+    return labelled.filter(_complete(labelled, roles.features)).select(*roles.features, *extra, label)
+
+
+def _complete(df: DataFrame, columns: Sequence[str]) -> Column:
+    """No null and no NaN in any column, as separate conditions that can be pushed down."""
+    def present(name: str) -> Column:
+        floating = df.schema[name].dataType.typeName() in ("double", "float")
+        return is_known(F.col(name)) if floating else F.col(name).isNotNull()
+
+    return reduce(lambda a, b: a & b, map(present, columns))
 
 
 def cleaning_report(
@@ -78,12 +85,7 @@ def cleaning_report(
         ("from_start_year", F.col(roles.year) >= start_year),
         ("outside_periods", ~in_any_period(F.col(roles.year), F.col(roles.month), periods)),
     ]
-    complete = F.lit(True)
-    for name in roles.features:
-        field = df.schema[name].dataType.typeName()
-        column = F.col(name)
-        complete = complete & (is_known(column) if field in ("double", "float") else column.isNotNull())
-    rules.append(("kept_rows", complete))
+    rules.append(("kept_rows", _complete(df, roles.features)))
 
     counts = [F.count(F.lit(1)).alias("total_rows")]
     passed = F.lit(True)

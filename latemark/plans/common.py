@@ -18,6 +18,7 @@ def load(spark: SparkSession, config: _Config, columns: tuple[str, ...]) -> Data
 
 
 def cleaned_legs(spark: SparkSession, config, legs: DataFrame | None) -> DataFrame:
+    """Cleaned rows of the input; lazy, callers stage them before passing over them again."""
     roles = config.roles
     raw = load(spark, config, roles.required) if legs is None else legs
     return clean_legs(raw, roles, config.start_year, config.periods, config.threshold)

@@ -1,4 +1,4 @@
-from latemark.sources.legs import RAW_TYPES, read_legs, read_staged, stage_legs
+from latemark.sources.legs import RAW_TYPES, read_legs, read_staged, restaged, stage_legs
 from latemark.sources.sinks import (
     load_model, read_metrics, read_sample, save_model, write_confusion, write_metrics,
     write_predictions, write_sample,
@@ -6,6 +6,6 @@ from latemark.sources.sinks import (
 
 __all__ = [
     "RAW_TYPES", "load_model", "read_legs", "read_metrics", "read_sample", "read_staged",
-    "save_model", "stage_legs", "write_confusion", "write_metrics", "write_predictions",
+    "restaged", "save_model", "stage_legs", "write_confusion", "write_metrics", "write_predictions",
     "write_sample",
 ]

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from latemark.session import scratch_path
+
 # Columns of the raw flight file, in file order, with their types.
 RAW_TYPES: dict[str, str] = {
     "year": "int",
@@ -125,3 +127,15 @@ def stage_legs(df: DataFrame, path: str, partition_column: str = "year") -> None
 def read_staged(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
+
+
+def restaged(df: DataFrame, name: str = "legs", partition_column: str = "year") -> DataFrame:
+    """Write ``df`` once below the shared folder and go on from there.
+
+    For rows that several passes read: each pass then scans only its columns and years,
+    in evenly sized files, and nothing before the write is ever done again, whichever
+    executors are lost.
+    """
+    path = scratch_path(df.sparkSession, name)
+    stage_legs(df, path, partition_column)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
