@@ -722,12 +722,16 @@ def metrics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs compared from the documents they published."""
+    base = scratch_path(spark, "runs")
     clock = _clock_document(spark, sf_dir, optimizer="none", encoding="none", split="none")
-    with held(by_clock(spark, sf_dir).withColumn("probability", 1 - F.col("probability"))) as turned:
-        metrics, confusion = measured(turned)
-        other = metrics_document(
-            spark, model="turned", mode="baseline", optimizer="none", encoding="none",
-            split="none", confusion=confusion, **metrics,
-        )
-    compared = compare_models([clock, other], baseline_auc=0.5)
+    turned = by_clock(spark, sf_dir).withColumn("probability", 1 - F.col("probability"))
+    with held(turned) as scores:
+        metrics, confusion = measured(scores)
+    other = metrics_document(
+        spark, model="turned", mode="baseline", optimizer="none", encoding="none", split="none",
+        confusion=confusion, **metrics,
+    )
+    paths = [write_metrics(d, f"{base}/{n}", "baseline") for n, d in (("clock", clock), ("turned", other))]
+    compared = compare_models(read_metrics(spark, paths, DOCUMENT_SCHEMA), baseline_auc=0.5)
     return rounded(compared.select("model", "mode", "auc", "auc_gain"))

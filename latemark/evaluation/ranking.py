@@ -95,7 +95,9 @@ def tie_groups(
     running = groups.withColumns({
         "_pos_run": F.sum("pos").over(within), "_neg_run": F.sum("neg").over(within),
     })
-    return running.join(F.broadcast(offsets), [*by, "_bucket"]).select(
+    # without groups the offsets are bounded as above; with groups Spark picks the join
+    offsets = offsets if by else F.broadcast(offsets)
+    return running.join(offsets, [*by, "_bucket"]).select(
         *by, "score", "pos", "neg",
         (F.col("_pos_above") + F.col("_pos_run")).alias("cum_pos"),
         (F.col("_neg_above") + F.col("_neg_run")).alias("cum_neg"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +21,9 @@ def write_metrics(document: DataFrame, base: str, mode: str) -> str:
     return target
 
 
-def read_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_metrics(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
     """Documents of one or more runs, read with a schema instead of guessed."""
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json([paths] if isinstance(paths, str) else list(paths))
 
 
 def write_confusion(confusion: DataFrame, base: str, mode: str) -> str:
