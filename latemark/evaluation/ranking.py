@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -82,7 +83,7 @@ def tie_groups(
     each = Window.partitionBy(*by)
     higher = each.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *by, "_bucket",
+        *[F.col(c).alias(f"_of_{c}") for c in by], F.col("_bucket").alias("_of_bucket"),
         F.coalesce(F.sum("_bucket_pos").over(higher), F.lit(0)).alias("_pos_above"),
         F.coalesce(F.sum("_bucket_neg").over(higher), F.lit(0)).alias("_neg_above"),
         F.sum("_bucket_pos").over(each).alias("all_pos"),
@@ -97,7 +98,12 @@ def tie_groups(
     })
     # without groups the offsets are bounded as above; with groups Spark picks the join
     offsets = offsets if by else F.broadcast(offsets)
-    return running.join(offsets, [*by, "_bucket"]).select(
+    matches = reduce(
+        lambda a, c: a & F.col(c).eqNullSafe(F.col(f"_of_{c}")), by, F.col("_bucket") == F.col("_of_bucket")
+    )
+    # every row has its offset; a left join adds no filter, so that both sides share the
+    # shuffled counts instead of reading the rows twice
+    return running.join(offsets, matches, "left").select(
         *by, "score", "pos", "neg",
         (F.col("_pos_above") + F.col("_pos_run")).alias("cum_pos"),
         (F.col("_neg_above") + F.col("_neg_run")).alias("cum_neg"),

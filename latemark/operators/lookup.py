@@ -14,9 +14,6 @@ BROADCAST_ROWS = 500_000
 #: to one, so there are never more than 1 / HOT_SHARE of them.
 HOT_SHARE = 0.002
 
-_SPREAD = 1 << 20
-
-
 def lookup_join(
     df: DataFrame,
     table: DataFrame,
@@ -47,15 +44,14 @@ def lookup_join(
     aside = F.col(key).isNull() | F.col("_hot_key").isNotNull()
     # the task number keeps equal rows apart; unlike a random number it gives the same
     # value when a lost task runs again
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(_SPREAD)) + 1
-    marked = marked.withColumn("_salt", F.when(aside, spread).otherwise(F.lit(0)))
+    spread = F.xxhash64(F.spark_partition_id(), *df.columns)
+    marked = marked.withColumn("_place", F.when(aside, spread).otherwise(F.xxhash64(key)))
     cold = slim.select(
-        F.col(key).alias("_cold_key"), F.lit(0).cast("bigint").alias("_cold_salt"),
-        F.struct(*values).alias("_cold"),
+        F.col(key).alias("_cold_key"), F.xxhash64(key).alias("_cold_place"), F.struct(*values).alias("_cold"),
     )
     joined = marked.join(
         cold.hint("shuffle_merge"),
-        (F.col(key) == F.col("_cold_key")) & (F.col("_salt") == F.col("_cold_salt")),
+        (F.col("_place") == F.col("_cold_place")) & (F.col(key) == F.col("_cold_key")),
         "left",
     )
     picked = [

@@ -98,7 +98,19 @@ def test_best_round_looks_no_further_than_patience(spark):
     assert best_round(curve) == 5 and best_round(curve, patience=2) == 2 and best_round(curve, patience=3) == 5
 
 
-def test_no_step_gathers_rows_in_one_task(spark, kept_clean):
-    """Only tables bounded by the number of buckets may pass through a single partition."""
-    plan = ranking_metrics(kept_clean, score="distance")._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(_bucket" in plan and "CartesianProduct" not in plan
+def test_rows_are_read_and_shuffled_once(spark, kept_clean):
+    """Bucket totals and running sums share one shuffle of the counts, after one scan."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = ranking_metrics(kept_clean, score="distance")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    plan = plan.split("InMemoryRelation")[0] if plan.count("InMemoryTableScan") == 1 else plan
+    assert "ReusedExchange" in plan or plan.count("InMemoryTableScan") == 1
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_null_group_is_ranked_too(spark):
+    rows = [(None, 1, .9), (None, 0, .1), ("b", 0, .9), ("b", 1, .1)]
+    df = spark.createDataFrame(rows, "g string, label int, probability double")
+    assert dict(ranking_metrics(df, by=["g"]).select("g", "auc").collect()) == {None: 1.0, "b": 0.0}
