@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latemark.llm.frames import table
+from latemark.llm.order_minhash import edit_fingerprints
 from latemark.llm.sharding import shard_rows
 from latemark.llm.simhash import near_duplicates
+from latemark.llm.url_filter import Rule, judged_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,12 +24,29 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The rules of the URL query, as (verdict, host, path).
+URL_RULES = [
+    Rule("block", "net", "/"),
+    Rule("allow", "example.net", "/en/"),
+    Rule("block", "example.com", "/de/"),
+    Rule("allow", "org", "/fr/"),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_sharding, op9_simhash)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_sharding, op4_url_filter, op7_order_minhash, op9_simhash)}
 
 #: None of the ten can be told in SQL that another engine would run with the same hashes,
 #: tokenizers or trained models; tests hold each against a brute-force version.
