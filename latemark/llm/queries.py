@@ -11,6 +11,7 @@ from latemark.llm.frames import table
 from latemark.llm.order_minhash import edit_fingerprints
 from latemark.llm.sharding import shard_rows
 from latemark.llm.simhash import near_duplicates
+from latemark.llm.substrings import without_repeats
 from latemark.llm.url_filter import Rule, judged_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +47,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_sharding, op4_url_filter, op7_order_minhash, op9_simhash)}
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeats(docs, window=200).select(
+        "doc_id", F.col("__bytes").alias("n_bytes"), F.col("__removed").alias("n_removed"),
+        F.col("__spans").alias("n_spans"), F.col("__sha256").alias("kept_sha256"),
+    )
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_sharding, op4_url_filter, op7_order_minhash, op9_simhash, op10_suffix_array)}
 
 #: None of the ten can be told in SQL that another engine would run with the same hashes,
 #: tokenizers or trained models; tests hold each against a brute-force version.
