@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latemark.llm.frames import table
 from latemark.llm.order_minhash import edit_fingerprints
+from latemark.llm.packing import packed
 from latemark.llm.sharding import shard_rows
 from latemark.llm.simhash import near_duplicates
 from latemark.llm.substrings import without_repeats
+from latemark.llm.token_counts import token_counts
 from latemark.llm.url_filter import Rule, judged_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +41,14 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -55,7 +66,7 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_sharding, op4_url_filter, op7_order_minhash, op9_simhash, op10_suffix_array)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_sharding, op4_url_filter, op5_packing, op6_token_counts, op7_order_minhash, op9_simhash, op10_suffix_array)}
 
 #: None of the ten can be told in SQL that another engine would run with the same hashes,
 #: tokenizers or trained models; tests hold each against a brute-force version.
