@@ -36,6 +36,11 @@ def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterab
     return df.mapInArrow(work, schema if isinstance(schema, (str, StructType)) else StructType(schema))
 
 
+def extended(df: DataFrame, ddl: str) -> StructType:
+    """The schema of ``df`` with the fields of ``ddl`` behind it."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def with_totals(df: DataFrame, order: list[str], amount: str, name: str) -> DataFrame:
     """Add the sum of ``amount`` in all rows before each row, in the order of whole rows.
 

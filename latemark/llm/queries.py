@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from latemark.llm import quality, toxicity
 from latemark.llm.frames import table
+from latemark.llm.labelled import held_out
 from latemark.llm.order_minhash import edit_fingerprints
 from latemark.llm.packing import packed
 from latemark.llm.sharding import shard_rows
@@ -20,6 +22,24 @@ from latemark.llm.url_filter import Rule, judged_urls
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "spans",
+    )
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"), "best_passage",
+    )
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_rows(table(spark, sf_dir, "documents"), shards=16)
     return rows.select(
@@ -66,7 +86,7 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_sharding, op4_url_filter, op5_packing, op6_token_counts, op7_order_minhash, op9_simhash, op10_suffix_array)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_toxicity, op2_sharding, op3_quality, op4_url_filter, op5_packing, op6_token_counts, op7_order_minhash, op9_simhash, op10_suffix_array)}
 
 #: None of the ten can be told in SQL that another engine would run with the same hashes,
 #: tokenizers or trained models; tests hold each against a brute-force version.

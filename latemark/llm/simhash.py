@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latemark.llm.components import components
-from latemark.llm.frames import kept, map_batches, split_join, whole
+from latemark.llm.frames import extended, kept, map_batches, split_join, whole
 
 SEED = 42
 SHINGLE = 3
@@ -68,7 +68,7 @@ def with_fingerprints(docs: DataFrame, name: str = "fingerprint", text: str = "t
                 [*batch.columns[:place], pa.array(found, pa.int64())], names=[*columns, name]
             )
 
-    schema = docs.schema.add(name, "long")
+    schema = extended(docs, f"`{name}` long")
     return map_batches(docs.select(*[F.col(f"`{c}`") for c in columns], whole(text).alias("__text")), work, schema)
 
 

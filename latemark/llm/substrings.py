@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from latemark.llm.anchors import segments
-from latemark.llm.frames import kept, map_batches, whole, with_totals
+from latemark.llm.frames import extended, kept, map_batches, whole, with_totals
 from latemark.llm.induced import repeats
 
 GRAM = 48
@@ -249,9 +249,7 @@ def without_repeats(docs: DataFrame, window: int = 200, memory: int = 64 << 20)
             arrays += [pa.array(c, k) for c, k in zip(results[1:], (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *ADDED])
 
-    schema = docs.schema
-    for name, kind in zip(ADDED, ("long", "long", "long", "string")):
-        schema = schema.add(name, kind)
+    schema = extended(docs, ", ".join(f"{n} {k}" for n, k in zip(ADDED, ("long", "long", "long", "string"))))
     return map_batches(joined, work, schema)
 
 
