@@ -49,14 +49,14 @@ def _minima() -> list[Column]:
 
 
 def _entries() -> Column:
-    """The fingerprint from the minima: 32 bits for each sketch, as hexadecimal digits."""
+    """The fingerprint from the minima: four bytes for each sketch."""
     parts = []
     for i in range(SKETCHES):
         a, b = (f"(m{i}_{half} >> {PLACE_BITS})" for half in (0, 1))
         places = [f"(m{i}_{half} & {(1 << PLACE_BITS) - 1}L)" for half in (0, 1)]
         first = f"{places[0]} <= {places[1]}"
         parts.append(f"lpad(hex(xxhash64(if({first}, {a}, {b}), if({first}, {b}, {a}), {first}) & 4294967295L), 8, '0')")
-    return F.lower(F.expr(f"concat({', '.join(parts)})"))
+    return F.unhex(F.expr(f"concat({', '.join(parts)})"))
 
 
 def fingerprints(texts: DataFrame, *keys: str) -> DataFrame:
@@ -72,7 +72,7 @@ def fingerprints(texts: DataFrame, *keys: str) -> DataFrame:
 
 def likeness(one: Column, other: Column) -> Column:
     """Share of equal entries of two fingerprints."""
-    equal = [(F.substring(one, 8 * i + 1, 8) == F.substring(other, 8 * i + 1, 8)).cast("int") for i in range(SKETCHES)]
+    equal = [(F.substring(one, 4 * i + 1, 4) == F.substring(other, 4 * i + 1, 4)).cast("int") for i in range(SKETCHES)]
     total = equal[0]
     for e in equal[1:]:
         total = total + e
@@ -124,7 +124,7 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
     )
     forms = edited.select("id", "h", "n", "n_chars", F.explode(bodies).alias("body")).filter(
         "body.kind < 2 or n > 1"
-    ).select("id", "h", "n", "n_chars", "body.kind", "body.text", F.sha2(F.col("body.text").cast("binary"), 256).alias("sha"))
+    ).select("id", "h", "n", "n_chars", "body.kind", "body.text", F.unhex(F.sha2(F.col("body.text").cast("binary"), 256)).alias("sha"))
     marked = kept(fingerprints(forms, "id", "h", "n", "n_chars", "kind", "sha"), "marks")
     by_kind = [marked.filter(F.col("kind") == k) for k in range(3)]
     own = by_kind[0].select("id", "h", "n", "n_chars", "fingerprint")
@@ -136,7 +136,7 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
     ).join(links, ["id", "h"]).join(nexts, ["next_id", "next_h"])
     times = F.when(F.col("kind") == 1, F.lit(1).cast("long")).otherwise(F.col("n") - 1)
     return changed.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).select(
-        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_chars", *[F.lower(F.hex(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")],
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         F.when(F.col("kind") == 2, F.lit(1.0)).otherwise(likeness(F.col("fingerprint"), F.col("next_fingerprint"))).alias("near_next"),
     )
