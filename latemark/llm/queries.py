@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latemark.llm import quality, toxicity
+from latemark.llm.decontamination import contaminations
 from latemark.llm.frames import table
 from latemark.llm.labelled import held_out
 from latemark.llm.order_minhash import edit_fingerprints
@@ -73,6 +74,10 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -86,7 +91,7 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_toxicity, op2_sharding, op3_quality, op4_url_filter, op5_packing, op6_token_counts, op7_order_minhash, op9_simhash, op10_suffix_array)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_toxicity, op2_sharding, op3_quality, op4_url_filter, op5_packing, op6_token_counts, op7_order_minhash, op8_decontamination, op9_simhash, op10_suffix_array)}
 
 #: None of the ten can be told in SQL that another engine would run with the same hashes,
 #: tokenizers or trained models; tests hold each against a brute-force version.
