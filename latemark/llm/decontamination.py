@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latemark.llm.frames import extended, map_batches, whole
+from latemark.llm.frames import extended, free, map_batches, quoted, whole
 
 NGRAM = 3
 #: Share of an item's words that must align in their order.
@@ -210,15 +210,15 @@ FIELDS = ["doc_id", "item_id", "similarity", "score", "equal_words", "item_words
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` less the rows whose text holds a copy of an item; columns stay as they are."""
-    columns, kept_rows = docs.columns, docs
+    columns, kept_rows, clean_name = docs.columns, docs, free(docs, "__clean")
     for _, matcher in _matchers(docs, benchmark):
 
         def work(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = [not matcher(text) for text in batch.column(len(columns)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(clean, pa.bool_())], names=[*columns, "__clean"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(clean, pa.bool_())], names=[*columns, clean_name])
 
-        rows = kept_rows.select(*[F.col(f"`{c}`") for c in columns], whole().alias("__text"))
-        marked = map_batches(rows, work, extended(docs, "__clean boolean"))
-        kept_rows = marked.filter("__clean").drop("__clean")
+        rows = kept_rows.select(*quoted(columns), whole().alias(free(docs, "__text")))
+        marked = map_batches(rows, work, extended(docs, f"`{clean_name}` boolean"))
+        kept_rows = marked.filter(F.col(clean_name)).drop(clean_name)
     return kept_rows

@@ -36,6 +36,18 @@ def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterab
     return df.mapInArrow(work, schema if isinstance(schema, (str, StructType)) else StructType(schema))
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores put before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def quoted(names: list[str]) -> list[Column]:
+    return [F.col(f"`{n}`") for n in names]
+
+
 def extended(df: DataFrame, ddl: str) -> StructType:
     """The schema of ``df`` with the fields of ``ddl`` behind it."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latemark.llm.frames import extended, map_batches, whole
+from latemark.llm.frames import extended, free, map_batches, quoted, whole
 from latemark.llm.labelled import class_weights, sample
 
 PASSAGE = 40
@@ -189,4 +189,4 @@ def scored(docs: DataFrame, model: AttentionModel, score: str = "score", passage
             )
 
     schema = extended(docs, f"`{score}` double, `{passages}` int")
-    return map_batches(docs.select(*[F.col(f"`{c}`") for c in columns], whole().alias("__text")), work, schema)
+    return map_batches(docs.select(*quoted(columns), whole().alias(free(docs, "__text"))), work, schema)

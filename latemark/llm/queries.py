@@ -85,10 +85,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return without_repeats(docs, window=200).select(
-        "doc_id", F.col("__bytes").alias("n_bytes"), F.col("__removed").alias("n_removed"),
-        F.col("__spans").alias("n_spans"), F.col("__sha256").alias("kept_sha256"),
-    )
+    return without_repeats(docs, window=200).drop("text")
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_toxicity, op2_sharding, op3_quality, op4_url_filter, op5_packing, op6_token_counts, op7_order_minhash, op8_decontamination, op9_simhash, op10_suffix_array)}

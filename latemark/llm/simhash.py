@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latemark.llm.components import components
-from latemark.llm.frames import extended, kept, map_batches, split_join, whole
+from latemark.llm.frames import extended, free, kept, map_batches, quoted, split_join, whole
 
 SEED = 42
 SHINGLE = 3
@@ -69,7 +69,7 @@ def with_fingerprints(docs: DataFrame, name: str = "fingerprint", text: str = "t
             )
 
     schema = extended(docs, f"`{name}` long")
-    return map_batches(docs.select(*[F.col(f"`{c}`") for c in columns], whole(text).alias("__text")), work, schema)
+    return map_batches(docs.select(*quoted(columns), whole(text).alias(free(docs, "__text"))), work, schema)
 
 
 def _nearest_words() -> np.ndarray:
@@ -243,7 +243,8 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("__f")]
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash")
     chosen = joined.groupBy(*group).agg(F.min(first).alias("__first")).select("__first.doc_id", "__first.__hash")
-    chosen = chosen.distinct().select(F.col("doc_id").alias("__id"), F.col("__hash").alias("__h"))
-    marked = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h"))
-    return marked.join(chosen, same).dropDuplicates(["__id", "__h"]).select(*[F.col(f"`{c}`") for c in columns])
+    id_, hash_, own = (free(docs, n) for n in ("__id", "__h", "__hash"))
+    chosen = chosen.distinct().select(F.col("doc_id").alias(id_), F.col("__hash").alias(hash_))
+    marked = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_))
+    return marked.join(chosen, same).dropDuplicates([id_, hash_]).select(*quoted(columns))

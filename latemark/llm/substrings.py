@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from latemark.llm.anchors import segments
-from latemark.llm.frames import extended, kept, map_batches, whole, with_totals
+from latemark.llm.frames import extended, free, kept, map_batches, quoted, whole, with_totals
 from latemark.llm.induced import repeats
 
 GRAM = 48
@@ -34,6 +34,7 @@ CROWD = 2000
 STEP = 8
 #: Bytes sorted at once; anchors are not divided.
 SHARD = 256 << 10
+NO_ID = -(1 << 63)
 
 
 def _packed(first: np.ndarray, last: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -183,19 +184,19 @@ def repeated_spans(texts: DataFrame, window: int = 200, memory: int = 64 << 20)
     return whole_spans.unionByName(found)
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__id``: a long that only rows alike in doc_id and text share.
+def identified(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a long ``name`` that only rows alike in doc_id and text share.
 
     That is doc_id where no two rows have the same, else a number of the (doc_id, text).
     """
     counted = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     if counted.filter((F.col("n") > 1) | F.col("doc_id").isNull()).isEmpty():
-        return docs.withColumn("__id", F.col("doc_id").cast("long"))
-    null = -(1 << 63)
-    keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), F.lit(null))).withColumn("__h", F.xxhash64(whole()))
-    classes = keyed.select("__key", "__h").distinct().withColumn("one", F.lit(1).cast("long"))
-    numbers = kept(with_totals(classes, ["__key", "__h"], "one", "__id").drop("one"), "ids")
-    return kept(keyed.join(numbers, ["__key", "__h"]).drop("__key", "__h"), "identified")
+        return docs.withColumn(name, F.col("doc_id").cast("long"))
+    key, hash_ = free(docs, "__key"), free(docs, "__h")
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(hash_, F.xxhash64(whole()))
+    classes = keyed.select(key, hash_).distinct().withColumn("__one", F.lit(1).cast("long"))
+    numbers = kept(with_totals(classes, [key, hash_], "__one", name).drop("__one"), "ids")
+    return kept(keyed.join(numbers, [key, hash_]).drop(key, hash_), "identified")
 
 
 def runs(spans: list[dict], window: int) -> list[tuple[int, int]]:
@@ -214,18 +215,20 @@ def without_repeats(docs: DataFrame, window: int = 200, memory: int = 64 << 20)
 
     Every byte covered by a string of ``window`` bytes that also starts anywhere else, in the
     same or another document, is removed; strings are judged on the input. Columns stay but
-    for ``text``, which becomes the kept bytes read as UTF-8 without incomplete characters;
-    added are ``__bytes``, ``__removed``, ``__spans`` (maximal runs) and ``__sha256`` of the
-    kept bytes. Null texts count as empty for these and stay null. Texts shorter than the
-    window keep all. ``memory`` bounds the arrays of one sort before they go to files.
+    for ``text``, which becomes the kept bytes read as UTF-8 without incomplete characters.
+    Four columns are added, called as ``added_names`` says: bytes, bytes removed, maximal
+    runs removed, and sha256 of the kept bytes. Null texts count as empty for these and stay
+    null. Texts shorter than the window keep all. ``memory`` bounds the arrays of one sort
+    before they go to files.
     """
-    columns = docs.columns
-    rows = identified(docs)
-    texts = rows.select(F.col("__id").alias("id"), whole().alias("text"))
-    spans = repeated_spans(texts, window, memory).groupBy(F.col("id").alias("__id")).agg(
-        F.collect_list(F.struct("first", "last")).alias("__found")
+    columns, names = docs.columns, added_names(docs)
+    id_, found_ = free(docs, "__id"), free(docs, "__found")
+    rows = identified(docs, id_)
+    texts = rows.select(F.col(id_).alias("id"), whole().alias("text"))
+    spans = repeated_spans(texts, window, memory).groupBy(F.col("id").alias(id_)).agg(
+        F.collect_list(F.struct("first", "last")).alias(found_)
     )
-    joined = rows.join(spans, "__id", "left").select(*[F.col(f"`{c}`") for c in columns], "__found")
+    joined = rows.join(spans, id_, "left").select(*quoted(columns), found_)
     place, last = columns.index("text"), len(columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +242,7 @@ def without_repeats(docs: DataFrame, window: int = 200, memory: int = 64 << 20)
                     at = end
                 left.append(body[at:])
                 rest = b"".join(left)
-                whole_text = rest.decode("utf-8", "ignore") if cuts else (None if text is None else body.decode())
+                whole_text = None if text is None else rest.decode("utf-8", "ignore")
                 for column, value in zip(results, (
                     whole_text, len(body), len(body) - len(rest), len(cuts), hashlib.sha256(rest).hexdigest(),
                 )):
@@ -247,10 +250,12 @@ def without_repeats(docs: DataFrame, window: int = 200, memory: int = 64 << 20)
             arrays = list(batch.columns[:last])
             arrays[place] = pa.array(results[0], pa.string())
             arrays += [pa.array(c, k) for c, k in zip(results[1:], (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *ADDED])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *names])
 
-    schema = extended(docs, ", ".join(f"{n} {k}" for n, k in zip(ADDED, ("long", "long", "long", "string"))))
-    return map_batches(joined, work, schema)
+    kinds = ("long", "long", "long", "string")
+    return map_batches(joined, work, extended(docs, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds))))
 
 
-ADDED = ("__bytes", "__removed", "__spans", "__sha256")
+def added_names(docs: DataFrame) -> list[str]:
+    """What ``without_repeats`` calls its columns, apart from those of ``docs``."""
+    return [free(docs, n) for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256")]

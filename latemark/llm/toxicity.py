@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latemark.llm.frames import extended, map_batches, whole
+from latemark.llm.frames import extended, free, map_batches, quoted, whole
 from latemark.llm.labelled import class_weights, sample
 
 #: At most so many labelled documents of each class are learnt from, none above LETTERS.
@@ -182,7 +182,7 @@ def scored(docs: DataFrame, model: SentenceModel, score: str = "score", spans: s
             )
 
     schema = extended(docs, f"`{score}` double, `{spans}` array<struct<start:int,end:int,chance:double>>")
-    return map_batches(docs.select(*[F.col(f"`{c}`") for c in columns], whole().alias("__text")), work, schema)
+    return map_batches(docs.select(*quoted(columns), whole().alias(free(docs, "__text"))), work, schema)
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("chance", pa.float64())]))
