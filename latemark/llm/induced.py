@@ -1,7 +1,8 @@
 """External induced sorting of all suffixes of one shard.
 
 The suffixes that start at a local valley (S* suffixes) are sorted first: their substrings
-are named by one induction, and the names are sorted by recursion. From them the L suffixes
+are sorted as tuples of packed symbols and named, and the names are sorted by recursion. From
+them the L suffixes
 are induced and from those the S suffixes. Induction runs in waves: the suffixes right before
 those placed last enter a priority queue as tuples (first symbol and rank of the next suffix,
 place), and one pass over the placed suffixes merges the queue into them. Queue and order
@@ -15,7 +16,9 @@ import tempfile
 
 import numpy as np
 
-BLOCK = 1 << 18
+#: Suffixes that enter the queue as one sorted run, and placed suffixes merged at a time.
+RUN = 1 << 18
+BLOCK = 1 << 13
 
 
 class Scratch:
@@ -75,8 +78,13 @@ class TupleQueue:
         return keys, places
 
 
-def _blocks(size: int):
-    return ((at, min(at + BLOCK, size)) for at in range(0, size, BLOCK))
+def _blocks(size: int, block: int = RUN):
+    return ((at, min(at + block, size)) for at in range(0, size, block))
+
+
+def _places(size: int) -> type:
+    """The integer type of places in a text of so many symbols."""
+    return np.int32 if size < 1 << 31 else np.int64
 
 
 def _waves(text, of_kind, placed, own_keys, width, lift, scratch, rank):
@@ -99,13 +107,18 @@ def _waves(text, of_kind, placed, own_keys, width, lift, scratch, rank):
         if not len(queue):
             return order
         count = len(queue)
-        merged, front = scratch.array(len(order) + count), scratch.array(count)
+        kind = _places(len(text))
+        merged, front = scratch.array(len(order) + count, kind), scratch.array(count, kind)
         out = met = 0
-        for start, end in _blocks(len(order)):
+        for start, end in _blocks(len(order), BLOCK):
             block = order[start:end]
-            keys = own_keys(block, np.arange(start, end))
-            more_keys, more = queue.pop_until(int(keys[-1]) if end < len(order) else None)
-            merged[out:out + len(block) + len(more)] = np.insert(block, np.searchsorted(keys, more_keys), more)
+            last = int(own_keys(block[-1:], np.array([end - 1]))[0])
+            more_keys, more = queue.pop_until(last if end < len(order) else None)
+            if len(more):
+                keys = own_keys(block, np.arange(start, end))
+                merged[out:out + len(block) + len(more)] = np.insert(block, np.searchsorted(keys, more_keys), more)
+            else:
+                merged[out:out + len(block)] = block
             front[met:met + len(more)] = more
             out, met = out + len(block) + len(more), met + len(more)
         order = merged
@@ -118,7 +131,7 @@ def _induced(text: np.ndarray, rising: np.ndarray, valleys: np.ndarray, scratch:
     """The order of all suffixes from the sorted valleys."""
     width = 4 * (len(text) + 1)
     half = width // 2
-    rank = scratch.array(len(text))
+    rank = scratch.array(len(text), _places(len(text)))
     rank[:] = -1
 
     def keys_falling(block, ranks):
@@ -154,35 +167,49 @@ def suffix_order(text: np.ndarray, scratch: Scratch) -> np.ndarray:
     valley[1:] = rising[1:] & ~rising[:-1]
     places = np.flatnonzero(valley)
     if len(places) > 1:
-        rough = _induced(text, rising, places[np.argsort(text[places], kind="stable")], scratch)
-        sorted_ = rough[valley[rough]]
-        names = _names(text, places, sorted_)
-        if names[-1] + 1 < len(places):
-            spelled = np.empty(size, np.int64)
-            spelled[sorted_] = names
-            places_in_order = suffix_order(spelled[places], scratch)
-            sorted_ = places[places_in_order]
+        names = _names(text, rising, places)
+        if names.max() + 1 < len(places):
+            sorted_ = places[suffix_order(names, scratch)]
+        else:
+            sorted_ = places[np.argsort(names)]
     else:
         sorted_ = places
     return _induced(text, rising, sorted_, scratch)
 
 
-def _names(text: np.ndarray, places: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
-    """Names 0, 1, ... of sorted valley substrings; equal ones have one name."""
-    index = np.empty(len(text), np.int64)
-    index[places] = np.arange(len(places))
-    ends = np.concatenate([places[1:], [len(text) - 1]])
-    length = (ends - places)[index[sorted_]]
-    same = length[1:] == length[:-1]
-    left = np.flatnonzero(same)
-    offset = 0
+def _names(text: np.ndarray, rising: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Ranks 0, 1, ... of the valley substrings; equal ones have one rank.
+
+    A substring reaches from its valley to the next, both included. Symbols carry whether they
+    rise, so that none is the beginning of another. Several are packed in a word; words beyond
+    the first are only sorted for substrings that are still alike.
+    """
+    typed = 2 * text + rising
+    bits = max(1, int(typed.max()).bit_length())
+    per = max(1, 63 // bits)
+    length = np.diff(np.concatenate([places, [len(text) - 1]])) + 1
+    rank = np.zeros(len(places), np.int64)
+    left, offset = np.arange(len(places)), 0
     while len(left):
-        a, b = sorted_[left], sorted_[left + 1]
-        equal = text[a + offset] == text[b + offset]
-        same[left[~equal]] = False
-        left = left[equal & (offset < length[left])]
-        offset += 1
-    return np.concatenate([[0], np.cumsum(~same)])
+        word = np.zeros(len(left), np.int64)
+        for at in range(offset, offset + per):
+            inside = at < length[left]
+            symbol = typed[np.minimum(places[left] + at, len(text) - 1)]
+            word = word << bits | np.where(inside, symbol, 0)
+        order = np.lexsort((word, rank[left]))
+        left, word = left[order], word[order]
+        old = rank[left]
+        head = np.concatenate([[True], (old[1:] != old[:-1]) | (word[1:] != word[:-1])])
+        start = np.flatnonzero(head)
+        group = np.cumsum(head) - 1
+        # ranks are places in the sorted order: that of the old group, and the place within it
+        old_head = np.flatnonzero(np.concatenate([[True], old[1:] != old[:-1]]))
+        within = start - old_head[np.searchsorted(old_head, start, side="right") - 1]
+        rank[left] = (old[start] + within)[group]
+        size = np.diff(np.concatenate([start, [len(left)]]))[group]
+        offset += per
+        left = left[(size > 1) & (length[left] > offset)]
+    return np.unique(rank, return_inverse=True)[1].astype(np.int64)
 
 
 def repeats(pieces: list[bytes], window: int, memory: int = 64 << 20) -> list[np.ndarray]:
