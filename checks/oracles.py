@@ -252,9 +252,20 @@ def oracles() -> dict[str, str]:
 
     return {
         "read_csv_roundtrip": f"WITH {LEGS_SQL} SELECT {picked(legs_columns)} FROM legs",
+        "read_csv_decimal_ints": f"WITH {LEGS_SQL} SELECT {picked(legs_columns)} FROM legs",
+        "malformed_counts": f"WITH {LEGS_SQL} " + " UNION ALL ".join(
+            f"SELECT '{c}' AS column, count({c}) AS entries, {bad} AS malformed FROM legs"
+            for c, bad in ((c, {"origin_id": "count(*) FILTER (origin_id % 5 = 0)", "day": "count(*) FILTER (day = 31)"}.get(c, "CAST(0 AS BIGINT)"))
+                           for c in legs_columns if c != "carrier")
+        ),
+        "tree_split_sizes": f"""WITH {LEGS_SQL}, labelled AS (SELECT delay > 15 AS late, count(*) AS n FROM legs WHERE cancelled = 0
+              AND diverted = 0 AND year >= 1995 AND NOT {LEFT_OUT} AND delay IS NOT NULL GROUP BY 1)
+            SELECT CAST(sum(n - floor(n * 0.2 + 0.5)) AS BIGINT) AS learning_rows, CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) AS test_rows
+            FROM labelled""",
+        "tree_model_is_measured_model": LATE_OK,
         "read_csv_strict": f"WITH {LEGS_SQL} SELECT {FLIGHT_COLUMNS} FROM legs",
         "staged_roundtrip": f"""WITH {LEGS_SQL} SELECT year, count(*) AS rows, CAST(sum(sched_hhmm) AS BIGINT) AS hhmm_sum,
-            count(delay) AS delays FROM legs WHERE year >= 1998 GROUP BY year""",
+            count(delay) AS delays FROM legs GROUP BY year""",
         "sample_roundtrip": f"WITH {CLEANED_SQL} SELECT {ALL_CLEAN} FROM cleaned WHERE {sampled}",
         "metrics_roundtrip": CLOCK_DOCUMENT,
         "confusion_roundtrip": CONFUSION,
@@ -270,6 +281,13 @@ def oracles() -> dict[str, str]:
               count(*) FILTER (b AND delay IS NOT NULL AND year >= 1996 AND NOT {LEFT_OUT}) AS outside_periods,
               count(*) FILTER (b AND delay IS NOT NULL AND year >= 1996 AND NOT {LEFT_OUT} AND carrier IS NOT NULL) AS kept_rows,
               count(*) FILTER (year < 1996) AS dropped_by_year FROM steps""",
+        "job_row_accounting": f"""WITH {LEGS_SQL}, steps AS (SELECT *, cancelled = 0 AS a, cancelled = 0 AND diverted = 0 AS b FROM legs)
+            SELECT count(*) AS total_rows, count(*) FILTER (a) AS not_cancelled, count(*) FILTER (b) AS not_diverted,
+              count(*) FILTER (b AND delay IS NOT NULL) AS delay_known,
+              count(*) FILTER (b AND delay IS NOT NULL AND year >= 1996) AS from_start_year,
+              count(*) FILTER (b AND delay IS NOT NULL AND year >= 1996 AND NOT {LEFT_OUT}) AS outside_periods,
+              count(*) FILTER (b AND delay IS NOT NULL AND year >= 1996 AND NOT {LEFT_OUT} AND carrier IS NOT NULL) AS kept_rows,
+              count(*) FILTER (year < 1996) AS dropped_by_year FROM steps""",
         "label_inclusive": f"""WITH {LEGS_SQL} SELECT year, month, day, origin_id, dest_id, delay,
             CAST(CASE WHEN delay >= 15 THEN 1 ELSE 0 END AS INT) AS label FROM legs WHERE delay IS NOT NULL""",
         "label_exclusive_unknown": f"""WITH {LEGS_SQL} SELECT year, month, day, origin_id, dest_id, delay,
@@ -341,7 +359,7 @@ def oracles() -> dict[str, str]:
         "pr_curve_points": clock_both + f""" SELECT {r6("s", "threshold")}, {r6("cp / (cp + cq)", "precision")}, {r6("cp / np", "recall")},
             {r6("np / (np + nq)", "prevalence")} FROM curve""",
         "pr_curve_thinned": "WITH " + by_distance + MEASURES_SQL + f""", kept AS (SELECT *, row_number() OVER (
-              PARTITION BY ceil(cp / np * 100) ORDER BY s) AS place FROM curve)
+              PARTITION BY ceil(cp * 100 / np) ORDER BY s) AS place FROM curve)
             SELECT {r6("s", "threshold")}, {r6("cp / (cp + cq)", "precision")}, {r6("cp / np", "recall")},
               {r6("np / (np + nq)", "prevalence")} FROM kept WHERE place = 1""",
         "ranking_by_carrier": f"""WITH {CLEANED_SQL},

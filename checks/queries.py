@@ -34,7 +34,7 @@ from latemark.plans.onehot import positive_probability
 from latemark.plans.trees import LABEL, fit_encoders, labelled_legs, rate_columns, tree_features
 from latemark.session import held, scratch_path
 from latemark.sources import (
-    load_model, read_legs, read_metrics, read_sample, read_staged, restaged, save_model, stage_legs,
+    load_model, malformed_entries, read_legs, read_metrics, read_sample, read_staged, restaged, save_model, stage_legs,
     write_confusion, write_metrics, write_predictions, write_sample,
 )
 from latemark.evaluation.documents import DOCUMENT_SCHEMA
@@ -88,10 +88,11 @@ def split_legs(spark: SparkSession, sf_dir: str):
     return ops.temporal_split(staged(spark, sf_dir), "year", RATIO)
 
 
-def by_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+def by_clock(spark: SparkSession, sf_dir: str, passes: int = 1) -> DataFrame:
     """Cleaned legs scored by their departure time: many ties, some signal."""
     score = F.col("sched_hhmm") / F.lit(2400.0)
-    return staged(spark, sf_dir).select(
+    rows = cleaned(spark, sf_dir) if passes == 1 else staged(spark, sf_dir)
+    return rows.select(
         "label", score.alias("probability"), (score >= 0.5).cast("int").alias("prediction")
     )
 
@@ -109,6 +110,30 @@ def read_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(read_legs(spark, path, types=LEG_TYPES))
 
 
+@query
+def read_csv_decimal_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers written as ``7.0``, as exports of float columns have them."""
+    path = scratch_path(spark, "legs-decimal")
+    written = [
+        (F.concat(F.col(c).cast("string"), F.lit(".0")) if kind in ("int", "bigint") else F.col(c)).alias(c)
+        for c, kind in LEG_TYPES.items()
+    ]
+    legs(spark, sf_dir).select(*written).write.option("header", True).option("nullValue", "NA").csv(path)
+    return rounded(read_legs(spark, path, types=LEG_TYPES))
+
+
+@query
+def malformed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries that do not fit: every fifth supplier number gets a fraction, some days a word."""
+    path = scratch_path(spark, "legs-malformed")
+    spoilt = legs(spark, sf_dir).select(*LEG_TYPES).withColumns({
+        "origin_id": F.when(F.col("origin_id") % 5 == 0, F.col("origin_id") + 0.5).otherwise(F.col("origin_id")),
+        "day": F.when(F.col("day") == 31, F.lit("last")).otherwise(F.col("day").cast("string")),
+    })
+    spoilt.write.option("header", True).option("nullValue", "NA").csv(path)
+    return malformed_entries(spark, path, types=LEG_TYPES)
+
+
 @query
 def read_csv_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "flights-csv")
@@ -126,8 +151,7 @@ def read_csv_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "legs-staged")
     stage_legs(legs(spark, sf_dir), path)
-    recent = read_staged(spark, path, [*LEG_TYPES]).filter(F.col("year") >= 1998)
-    return recent.groupBy("year").agg(
+    return read_staged(spark, path, [*LEG_TYPES]).groupBy("year").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("sched_hhmm").alias("hhmm_sum"),
         F.count("delay").alias("delays"),
     )
@@ -391,14 +415,14 @@ def temporal_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, test = ops.hash_split(staged(spark, sf_dir), RATIO, SEED)
+    _, test = ops.hash_split(cleaned(spark, sf_dir), RATIO, SEED)
     return rounded(test)
 
 
 @query
 def hash_three_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = {"train": 0.64, "validation": 0.16, "test": 0.2}
-    marked = ops.mark_parts(staged(spark, sf_dir), shares, SEED)
+    marked = ops.mark_parts(cleaned(spark, sf_dir), shares, SEED)
     return marked.groupBy("part", "label").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("sched_hhmm").alias("hhmm_sum")
     )
@@ -406,7 +430,7 @@ def hash_three_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(ops.stratified_sample(staged(spark, sf_dir), "label", {0: 0.05, 1: 0.2}, SEED))
+    return rounded(ops.stratified_sample(cleaned(spark, sf_dir), "label", {0: 0.05, 1: 0.2}, SEED))
 
 
 @query
@@ -504,7 +528,7 @@ def class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def roc_auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(roc_auc(by_clock(spark, sf_dir)))
+    return rounded(roc_auc(by_clock(spark, sf_dir, passes=2)))
 
 
 @query
@@ -515,17 +539,17 @@ def roc_auc_fine_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rank_sum_statistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rank_statistics(by_clock(spark, sf_dir)))
+    return rounded(rank_statistics(by_clock(spark, sf_dir, passes=2)))
 
 
 @query
 def average_precision_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(average_precision(by_clock(spark, sf_dir)))
+    return rounded(average_precision(by_clock(spark, sf_dir, passes=2)))
 
 
 @query
 def pr_curve_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(pr_curve(by_clock(spark, sf_dir)))
+    return rounded(pr_curve(by_clock(spark, sf_dir, passes=2)))
 
 
 @query
@@ -541,7 +565,7 @@ def ranking_by_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def metrics_match_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Own metrics against Spark's evaluators on the same predictions."""
-    doubles = by_clock(spark, sf_dir).withColumn("prediction", F.col("prediction").cast("double"))
+    doubles = by_clock(spark, sf_dir, passes=2).withColumn("prediction", F.col("prediction").cast("double"))
     with held(doubles.withColumnRenamed("probability", "score")) as scores:
         metrics, _ = measured(scores.withColumnRenamed("score", "probability"))
         auc = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(scores)
@@ -668,9 +692,18 @@ def gbt_first_trees_same(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gbt_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With a validation column boosting ends early or runs all rounds, never more."""
-    with _boosted(spark, sf_dir, on_loss=True) as (booster, _, _):
-        return only_ok(spark, 1 <= booster.getNumTrees <= 5)
+    """Boosting stops early where validation labels are turned round, and not where they are like the others."""
+    rows = ops.add_calendar_features(cleaned(spark, sf_dir), ROLES)
+    rows = ops.mark_parts(rows, {"train": 0.8, "validation": 0.2}, SEED)
+    # the hour alone decides, so that every round gains on rows like those learnt from
+    rows = rows.withColumn("in_validation", F.col("part") == "validation").withColumn("late", (F.col("dep_hour") >= 12).cast("int"))
+    turned = rows.withColumn("late", F.when(F.col("in_validation"), 1 - F.col("late")).otherwise(F.col("late")))
+    stages = gbt_stages(["dep_hour", "distance"], "late", validation="in_validation", rounds=5, depth=2, validation_tol=1e-6, row_share=1.0, feature_share=1.0)
+    grown = []
+    for frame in (rows, turned):
+        kept = restaged(frame.select("dep_hour", "distance", "late", "in_validation"), "stop")
+        grown.append(stages.fit(kept).stages[-1].getNumTrees)
+    return only_ok(spark, grown[0] == 5 and grown[1] < 5)
 
 
 @query
@@ -705,6 +738,34 @@ def boosting_curve_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return only_ok(spark, abs(whole - last) < 1e-9 and 1 <= best_round(curve, 30) <= booster.getNumTrees)
 
 
+@query
+def tree_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the tree job counts in all its parts, with trees grown on a share of them."""
+    config = TreeConfig(roles=ROLES, periods=PERIODS, sample_fraction=0.3, rounds=2, depth=2, positive_weight=None)
+    document = run_trees(spark, config, legs(spark, sf_dir)).document
+    return document.select((F.col("train_rows") + F.col("validation_rows")).alias("learning_rows"), "test_rows")
+
+
+@query
+def tree_model_is_measured_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The returned model, before and after saving, gives the scores that were measured."""
+    config = TreeConfig(roles=ROLES, periods=PERIODS, rounds=6, depth=3, positive_weight=None, patience=1)
+    run = run_trees(spark, config, legs(spark, sf_dir))
+    again = load_model(save_model(run.model, scratch_path(spark, "run"), "trees"))
+    booster = again.stages[-1]
+    measured_scores = run.scored.withColumnRenamed("probability", "before").drop("prediction")
+    both = positive_probability(booster.transform(measured_scores))
+    apart = both.agg(F.max(F.abs(F.col("before") - F.col("probability")))).first()[0]
+    return only_ok(spark, apart < 1e-12 and booster.getNumTrees == run.rounds_used)
+
+
+@query
+def job_row_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the rows of a run went, from the run itself."""
+    config = DescentConfig(roles=ROLES, periods=PERIODS, start_year=1996, max_iter=2, train_ratio=RATIO)
+    return run_descent(spark, config, legs(spark, sf_dir)).accounting
+
+
 @query
 def tree_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = TreeConfig(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fields of a metrics document, in the order they are written.
+# Fields of a metrics document, in the order they are written.
 DOCUMENT_FIELDS: dict[str, str] = {
     "model": "string",
     "optimizer": "string",
@@ -22,6 +22,7 @@ DOCUMENT_FIELDS: dict[str, str] = {
     "seed": "bigint",
     "test_year_start": "int",
     "train_rows": "bigint",
+    "validation_rows": "bigint",
     "test_rows": "bigint",
     "exclude_covid": "boolean",
     "positive_weight": "double",
@@ -47,18 +48,15 @@ METRIC_NAMES = (
 DOCUMENT_SCHEMA = ", ".join(f"`{name}` {kind}" for name, kind in DOCUMENT_FIELDS.items())
 
 
-def _literal(value: object, kind: str) -> Column:
-    if value is None:
-        return F.lit(None).cast(kind)
+def _plain(value: object, kind: str) -> object:
+    """A field as ``createDataFrame`` takes it for its declared type."""
     if isinstance(value, dict):
-        flat = [F.lit(x) for name, number in value.items() for x in (name, float(number))]
-        return F.create_map(*flat).cast(kind)
-    if kind == "array<string>":
-        return F.array(*[F.lit(v) for v in value]).cast(kind)
+        return [(name, float(number)) for name, number in value.items()]
     if isinstance(value, (list, tuple)):
-        cells = [F.struct(*[F.lit(v) for v in row]) for row in value]
-        return F.array(*cells).cast(kind)
-    return F.lit(value).cast(kind)
+        return list(value)
+    if value is not None and kind == "double":
+        return float(value)
+    return value
 
 
 def metrics_document(spark: SparkSession, **fields: object) -> DataFrame:
@@ -70,9 +68,10 @@ def metrics_document(spark: SparkSession, **fields: object) -> DataFrame:
     unknown = set(fields) - set(DOCUMENT_FIELDS)
     if unknown:
         raise ValueError(f"not part of a metrics document: {', '.join(sorted(unknown))}")
-    return spark.range(1).select(*[
-        _literal(fields.get(name), kind).alias(name) for name, kind in DOCUMENT_FIELDS.items()
-    ])
+    row = tuple(_plain(fields.get(name), kind) for name, kind in DOCUMENT_FIELDS.items())
+    # a map handed over as one would lose its order
+    listed = DOCUMENT_SCHEMA.replace("map<string,double>", "array<struct<key:string,value:double>>")
+    return spark.createDataFrame([row], listed).withColumn("weights", F.map_from_entries("weights"))
 
 
 def compare_models(documents: DataFrame | Sequence[DataFrame], baseline_auc: float | None = None) -> DataFrame:

@@ -168,12 +168,13 @@ def pr_curve(
         (cum_pos / (cum_pos + cum_neg)).alias("precision"),
         F.try_divide(cum_pos, all_pos).alias("recall"),
         (all_pos / (all_pos + all_neg)).alias("prevalence"),
+        # whole numbers divided once, so that a share like 7 of 100 falls on its own step
+        F.ceil(F.try_divide(cum_pos * (points or 1), all_pos)).alias("_step"),
     )
     if points is None:
-        return curve
-    step = F.ceil(F.col("recall") * points)
+        return curve.drop("_step")
     return (
-        curve.groupBy(step.alias("_step"))
-        .agg(F.min_by(F.struct("*"), "threshold").alias("_last"))
+        curve.groupBy("_step")
+        .agg(F.min_by(F.struct("threshold", "precision", "recall", "prevalence"), "threshold").alias("_last"))
         .select("_last.*")
     )

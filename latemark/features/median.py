@@ -37,6 +37,8 @@ class GroupMedianImputer(
 ):
     """Group and overall medians from one scan (grouping sets over mergeable sketches)."""
 
+    accuracy = Param(Params._dummy(), "accuracy", "medians have rank error 1 / accuracy", TypeConverters.toInt)
+
     def __init__(
         self,
         inputCols: list[str] | None = None,
@@ -45,8 +47,7 @@ class GroupMedianImputer(
         accuracy: int = 10000,
     ):
         super().__init__()
-        self._set(keyCol=keyCol)
-        self._accuracy = accuracy
+        self._set(keyCol=keyCol, accuracy=accuracy)
         if inputCols:
             self._set(inputCols=inputCols, outputCols=outputCols or [f"{c}_clean" for c in inputCols])
 
@@ -57,7 +58,7 @@ class GroupMedianImputer(
             F.grouping_id().alias("_overall"),
             F.count(F.lit(1)).alias(ROWS),
             *[
-                F.percentile_approx(c, 0.5, self._accuracy).alias(m)
+                F.percentile_approx(c, 0.5, self.getOrDefault(self.accuracy)).alias(m)
                 for c, m in zip(inputs, medians)
             ],
         ))

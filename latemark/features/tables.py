@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Model
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter,
 )
@@ -107,11 +108,13 @@ class _TableModelReader(MLReader):
 class TableModel(Model, MLReadable, MLWritable):
     """Base of fitted models: ``lookups`` by key column, ``scalars`` by name."""
 
-    #: lookup tables up to this many rows are broadcast
-    broadcast_rows: int = BROADCAST_ROWS
+    broadcastRows = Param(
+        Params._dummy(), "broadcastRows", "lookup tables up to this many rows are broadcast", TypeConverters.toInt
+    )
 
     def __init__(self) -> None:
         super().__init__()
+        self._setDefault(broadcastRows=BROADCAST_ROWS)
         self.lookups: dict[str, LookupTable] = {}
         self.scalars: dict = {}
 
@@ -119,6 +122,14 @@ class TableModel(Model, MLReadable, MLWritable):
         self.lookups, self.scalars = lookups, scalars
         return self
 
+    @property
+    def broadcast_rows(self) -> int:
+        return self.getOrDefault(self.broadcastRows)
+
+    @broadcast_rows.setter
+    def broadcast_rows(self, rows: int) -> None:
+        self._set(broadcastRows=rows)
+
     def _joined(self, df: DataFrame) -> DataFrame:
         for table in self.lookups.values():
             df = table.join_to(df, self.broadcast_rows)

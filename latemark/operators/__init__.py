@@ -8,7 +8,8 @@ from latemark.operators.cleaning import (
 )
 from latemark.operators.lookup import lookup_join
 from latemark.operators.splits import (
-    hash_parts, hash_split, mark_parts, stratified_sample, stratified_split, temporal_split,
+    hash_parts, hash_split, mark_parts, stratified_sample, stratified_split,
+    stratified_test, temporal_split,
 )
 
 __all__ = [
@@ -16,5 +17,5 @@ __all__ = [
     "class_balance", "clean_legs", "cleaning_report", "delay_rates", "distinct_years",
     "exclude_periods", "feature_stats", "group_medians", "hash_parts", "hash_split",
     "keyed_aggregates", "label_counts", "lookup_join", "mark_parts", "select_features", "split_summary",
-    "stratified_sample", "stratified_split", "temporal_split",
+    "stratified_sample", "stratified_split", "stratified_test", "temporal_split",
 ]

@@ -6,13 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
+
+from latemark.session import checkpointed
 
 #: A lookup table of at most this many rows is broadcast.
 BROADCAST_ROWS = 500_000
 
-#: Keys holding at least this share of the counted rows are treated as hot. Shares add up
-#: to one, so there are never more than 1 / HOT_SHARE of them.
-HOT_SHARE = 0.002
+#: A key is hot if it holds this many times the mean rows of a shuffle task.
+HOT_MEANS = 0.25
+
 
 def lookup_join(
     df: DataFrame,
@@ -26,32 +29,38 @@ def lookup_join(
 ) -> DataFrame:
     """Add ``values`` of ``table`` to every row of ``df``; null where the key is not there.
 
-    ``table_rows`` is the checked size of ``table`` and ``total_rows`` the sum of its
-    ``rows_column``, the rows behind each key when the table was made. A small table is
-    broadcast and nothing is shuffled. For a larger one the hot keys are answered by
-    broadcast, since their number is bounded, and only the remaining keys are shuffled.
-    Rows whose key is hot or null take part in that shuffle under a spread-out key that
-    matches nothing, so they stay balanced over the tasks.
+    ``table_rows`` is the checked size of ``table``; a small one is broadcast and nothing is
+    shuffled. For a larger one the keys of ``df`` itself are counted, in one pass over the key
+    column that adds up before it shuffles. Keys that would fill a good part of a task are
+    answered by broadcast: there are at most tasks / HOT_MEANS of them, whether the table
+    knows them or not. Only the remaining keys are shuffled. Rows with a hot or null key take
+    part in that shuffle under a key that matches nothing and spreads them by the task they
+    come from and one narrow column, so no other column is read for it.
     """
     slim = table.select(key, rows_column, *values)
     if table_rows <= broadcast_rows:
         return df.join(F.broadcast(slim.drop(rows_column)), on=key, how="left")
 
-    hot = slim.filter(F.col(rows_column) >= max(1, total_rows) * HOT_SHARE).select(
-        F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot"),
-    )
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counted = checkpointed(counted)
+    total = counted.agg(F.sum("_n")).first()[0] or 0
+    heavy = counted.filter(F.col("_n") > total / tasks * HOT_MEANS).select(F.col(key).alias("_hot_key"))
+    known = slim.select(F.col(key).alias("_known"), F.struct(*values).alias("_hot"))
+    hot = checkpointed(heavy.join(known, F.col("_hot_key") == F.col("_known"), "left").drop("_known"))
     marked = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
     aside = F.col(key).isNull() | F.col("_hot_key").isNotNull()
-    # the task number keeps equal rows apart; unlike a random number it gives the same
-    # value when a lost task runs again
-    spread = F.xxhash64(F.spark_partition_id(), *df.columns)
+    narrow = min((f for f in df.schema.fields if f.name != key), key=_width, default=df.schema[key])
+    # equal again when a lost task runs again, unlike a random number
+    spread = F.xxhash64(F.spark_partition_id(), F.col(f"`{narrow.name}`"))
     marked = marked.withColumn("_place", F.when(aside, spread).otherwise(F.xxhash64(key)))
+    marked = marked.withColumn("_cold_only", F.when(~aside, F.col(key)))
     cold = slim.select(
         F.col(key).alias("_cold_key"), F.xxhash64(key).alias("_cold_place"), F.struct(*values).alias("_cold"),
     )
     joined = marked.join(
         cold.hint("shuffle_merge"),
-        (F.col("_place") == F.col("_cold_place")) & (F.col(key) == F.col("_cold_key")),
+        (F.col("_place") == F.col("_cold_place")) & (F.col("_cold_only") == F.col("_cold_key")),
         "left",
     )
     picked = [
@@ -60,3 +69,10 @@ def lookup_join(
     ]
     rest = [c for c in df.columns if c != key]
     return joined.select(key, *rest, *picked)
+
+
+def _width(field: StructField) -> int:
+    """Numbers with a fraction first: they differ most from row to row for their size."""
+    order = ("double", "float", "bigint", "long", "timestamp", "date", "integer", "int")
+    name = field.dataType.typeName()
+    return order.index(name) if name in order else len(order)

@@ -127,7 +127,20 @@ def stratified_split(
     columns: Sequence[str] | None = None,
     cell_bits: int = 16,
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with exactly ``round(n * test_share)`` test rows of every label.
+    """(train, test) as told by :func:`stratified_test`."""
+    in_test = stratified_test(df, label, test_share, seed, columns, cell_bits)
+    return df.filter(~in_test), df.filter(in_test)
+
+
+def stratified_test(
+    df: DataFrame,
+    label: str,
+    test_share: float,
+    seed: int,
+    columns: Sequence[str] | None = None,
+    cell_bits: int = 16,
+) -> Column:
+    """Whether a row of ``df`` is a test row, with exactly ``round(n * test_share)`` test rows of every label.
 
     Test rows are those with the smallest content digests of their label. The digest to
     cut at is found without sorting a label: a histogram over the leading digest bits
@@ -155,7 +168,7 @@ def stratified_split(
     ).collect()  # one row per label
 
     if not cut_cells:
-        return df, df.filter(F.lit(False))
+        return F.lit(False)
     cut_filter = F.lit(False)
     take = F.lit(None).cast("bigint")
     for row in cut_cells:
@@ -174,5 +187,4 @@ def stratified_split(
     last_test_digest = F.lit("")
     for row in cuts:
         last_test_digest = F.when(F.col(label) == row["_label"], F.lit(row[_DIGEST])).otherwise(last_test_digest)
-    in_test = digest <= last_test_digest
-    return df.filter(~in_test), df.filter(in_test)
+    return digest <= last_test_digest

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from latemark.evaluation import METRIC_NAMES, binary_metrics, confusion_matrix, ranking_metrics
-from latemark.operators import clean_legs
+from latemark.operators import clean_legs, cleaning_report
 from latemark.plans.config import _Config
-from latemark.sources import read_legs, write_confusion, write_metrics, write_predictions
+from latemark.sources import malformed_entries, read_legs, write_confusion, write_metrics, write_predictions
 
 
 def load(spark: SparkSession, config: _Config, columns: tuple[str, ...]) -> DataFrame:
@@ -24,6 +24,17 @@ def cleaned_legs(spark: SparkSession, config, legs: DataFrame | None) -> DataFra
     return clean_legs(raw, roles, config.start_year, config.periods, config.threshold)
 
 
+def accounting(spark: SparkSession, config, legs: DataFrame | None) -> DataFrame:
+    """Where the rows of the input went, as one lazy row."""
+    roles = config.roles
+    raw = load(spark, config, roles.required) if legs is None else legs
+    return cleaning_report(raw, roles, config.start_year, config.periods)
+
+
+def malformed(spark: SparkSession, config: _Config) -> DataFrame | None:
+    return malformed_entries(spark, config.input, config.roles.required) if config.input else None
+
+
 def scores_only(scored: DataFrame, label: str = "label") -> DataFrame:
     """The three columns metrics need, so that only they are kept."""
     return scored.select(

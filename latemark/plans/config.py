@@ -50,8 +50,9 @@ class TreeConfig(_Config):
     periods: Sequence[Period] = ()
     mode: str = "trees"
     start_year: int = 1995
-    #: 1.0 trains on all rows
-    sample_fraction: float = 0.05
+    #: share of the training rows that the trees are grown on; encoders are fitted and
+    #: models measured on all rows whatever it is
+    sample_fraction: float = 1.0
     test_share: float = 0.20
     #: share of the remaining rows used to choose the number of rounds
     validation_share: float = 0.20
@@ -82,6 +83,10 @@ class RunResult:
     model: PipelineModel
     scored: DataFrame
     written: dict[str, str]
+    #: one row: rows read, rows past each cleaning rule in turn, rows kept
+    accounting: DataFrame
+    #: entries of the input that do not fit their column; None if a frame was given
+    malformed: DataFrame | None
 
 
 def check_mode(mode: str) -> bool:

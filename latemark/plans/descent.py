@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from latemark.evaluation import metrics_document
 from latemark.features import FrequencyEncoder, ZScore
 from latemark.operators import add_class_weight, temporal_split
-from latemark.plans.common import cleaned_legs, measured, publish, scores_only
+from latemark.plans.common import accounting, cleaned_legs, malformed, measured, publish, scores_only
 from latemark.plans.config import DescentConfig, RunResult, check_mode
 from latemark.session import held
 from latemark.sources import restaged
@@ -57,4 +57,4 @@ def run_descent(spark: SparkSession, config: DescentConfig, legs: DataFrame | No
             numerical_cols=roles.numeric, feature_cols=features, confusion=confusion, **metrics,
         )
         written = publish(config, config.mode, document, scores)
-    return RunResult(document, model, scored, written)
+    return RunResult(document, model, scored, written, accounting(spark, config, legs), malformed(spark, config))

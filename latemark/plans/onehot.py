@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from latemark.evaluation import metrics_document
 from latemark.evaluation.curves import feature_names
 from latemark.operators import add_class_weight, mark_parts
-from latemark.plans.common import cleaned_legs, measured, publish, scores_only
+from latemark.plans.common import accounting, cleaned_legs, malformed, measured, publish, scores_only
 from latemark.plans.config import OneHotConfig, RunResult, check_mode
 from latemark.session import held
 from latemark.sources import restaged, save_model
 from latemark.training import onehot_logit_stages
-from latemark.training.builtin import check_categories
 from latemark.training.weights import positive_weight
 
 
@@ -28,7 +27,7 @@ def run_onehot(spark: SparkSession, config: OneHotConfig, legs: DataFrame | None
     roles = config.roles
     shares = {"train": config.train_ratio, "test": 1.0 - config.train_ratio}
     marked = mark_parts(cleaned_legs(spark, config, legs), shares, config.seed)
-    cleaned = restaged(marked, "cleaned", roles.year)
+    cleaned = restaged(marked, "cleaned")
     counts = {
         (row["part"], row["label"]): row["n"]
         for row in cleaned.groupBy("part", "label").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -40,7 +39,6 @@ def run_onehot(spark: SparkSession, config: OneHotConfig, legs: DataFrame | None
     ]) if weighted else None
 
     train = add_class_weight(cleaned.filter(F.col("part") == "train"), weight)
-    check_categories(train, roles.categorical)
     stages = onehot_logit_stages(
         roles.categorical, roles.numeric, "weight" if weighted else None, config.max_iter
     )
@@ -64,4 +62,4 @@ def run_onehot(spark: SparkSession, config: OneHotConfig, legs: DataFrame | None
         written = publish(config, config.mode, document, scores)
     if config.output:
         written["model"] = save_model(model, config.output, config.mode)
-    return RunResult(document, model, scored, written)
+    return RunResult(document, model, scored, written, accounting(spark, config, legs), malformed(spark, config))

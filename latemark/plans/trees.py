@@ -17,14 +17,16 @@ from latemark.evaluation.curves import feature_names
 from latemark.features import GroupMedianImputer, TargetMeanEncoder
 from latemark.operators import (
     add_calendar_features, add_class_weight, add_label, exclude_periods, mark_parts,
-    select_features, stratified_sample, stratified_split,
+    select_features, stratified_sample, stratified_test,
 )
-from latemark.plans.common import load, measured, publish, scores_only
+from latemark.plans.common import accounting, load, malformed, measured, publish, scores_only
 from latemark.plans.config import RunResult, TreeConfig
+from latemark.plans.onehot import positive_probability
 from latemark.roles import FLIGHTS, LegRoles
 from latemark.session import held
-from latemark.sources import restaged
-from latemark.training import class_weight, first_trees, gbt_stages
+from latemark.sources import restaged, save_model, write_table
+from latemark.training import gbt_stages, truncated
+from latemark.training.weights import positive_weight
 
 LABEL = "is_delayed"
 
@@ -98,21 +100,32 @@ def run_trees(spark: SparkSession, config: TreeConfig, legs: DataFrame | None =
     features = tree_features(roles, config.after_departure)
     raw = load(spark, config, needed_columns(roles)) if legs is None else legs
     base = labelled_legs(raw.select(*needed_columns(roles)), config)
-    if config.sample_fraction < 1.0:
-        rate = config.sample_fraction
-        base = stratified_sample(base, LABEL, {0: rate, 1: rate}, config.seed)
-    rows = restaged(base, "labelled", roles.year)
-    learning, test = stratified_split(rows, LABEL, config.test_share, config.seed)
+    columns = base.columns
+    in_test = stratified_test(base, LABEL, config.test_share, config.seed)
     shares = {"train": 1.0 - config.validation_share, "validation": config.validation_share}
-    marked = mark_parts(learning, shares, config.seed + 1)
-    train = marked.filter(F.col("part") == "train")
-    weight = config.positive_weight or class_weight(train, LABEL)
+    marked = mark_parts(base, shares, config.seed + 1, columns)
+    marked = marked.withColumn("part", F.when(in_test, F.lit("test")).otherwise(F.col("part")))
+    # parts are told once; what is staged is read by every later pass
+    rows = restaged(marked, "labelled")
+    counts = {
+        (r["part"], r[LABEL]): r["n"]
+        for r in rows.groupBy("part", LABEL).agg(F.count(F.lit(1)).alias("n")).collect()  # six rows
+    }
+    sizes = {p: sum(n for (part, _), n in counts.items() if part == p) for p in ("train", "validation", "test")}
+    train, test = (rows.filter(F.col("part") == p) for p in ("train", "test"))
+    weight = config.positive_weight or positive_weight(*[counts.get(("train", k), 0) for k in (0, 1)])
     encoders = PipelineModel(fit_encoders(train, roles, imputed))
 
     def table(part: DataFrame, *extra: str) -> DataFrame:
         return select_features(encoders.transform(part), [*extra, *features], LABEL)
 
-    in_validation = marked.withColumn("in_validation", F.col("part") == "validation")
+    grown_on = train
+    if config.sample_fraction < 1.0:
+        rate = config.sample_fraction
+        # another seed than the split's, or the sample would lie next to the test rows
+        grown_on = stratified_sample(train, LABEL, {0: rate, 1: rate}, config.seed + 2, columns)
+    learning = grown_on.unionByName(rows.filter(F.col("part") == "validation"))
+    in_validation = learning.withColumn("in_validation", F.col("part") == "validation")
     learned = add_class_weight(table(in_validation, "in_validation"), weight, LABEL)
     on_loss = config.stop_on == "loss"
     with held(learned):
@@ -129,17 +142,18 @@ def run_trees(spark: SparkSession, config: TreeConfig, legs: DataFrame | None =
     # rounds build on each other, so cutting later equals having stopped there
     used = booster.getNumTrees if on_loss else best_round(auc_by_round, config.patience)
 
+    booster = truncated(booster, used)
+    model = PipelineModel([*encoders.stages, assembler, booster])
     held_out = assembler.transform(table(test))
-    scored = first_trees(booster, held_out, used)
+    scored = positive_probability(booster.transform(held_out)).drop("rawPrediction")
     with held(scores_only(scored, LABEL)) as scores:
         metrics, confusion = measured(scores)
-        train_rows, test_rows = learning.count(), sum(n for _, _, n in confusion)
         document = metrics_document(
             spark, model="boosted_trees", optimizer="gradient boosting", encoding="target mean",
             split="stratified by content hash", mode=config.mode, input=config.input,
             start_year=config.start_year, max_iter=used, learning_rate=config.learning_rate,
-            train_ratio=1.0 - config.test_share, seed=config.seed, train_rows=train_rows,
-            test_rows=test_rows, exclude_covid=bool(config.periods), positive_weight=weight,
+            train_ratio=1.0 - config.test_share, seed=config.seed, train_rows=sizes["train"],
+            validation_rows=sizes["validation"], test_rows=sizes["test"], exclude_covid=bool(config.periods), positive_weight=weight,
             feature_cols=features, confusion=confusion, **metrics,
         )
         report = classification_report(scores)
@@ -148,8 +162,15 @@ def run_trees(spark: SparkSession, config: TreeConfig, legs: DataFrame | None =
         curve = spark.createDataFrame(curve.collect(), curve.schema)  # about 1000 rows
         written = publish(config, config.mode, document, scores)
     importances = feature_importances(spark, booster.featureImportances.toArray(), feature_names(held_out))
+    if config.output:
+        tables = {
+            "report": report, "importances": importances, "pr_curve": curve,
+            "auc_by_round": auc_by_round, "loss_by_round": loss_by_round,
+        }
+        written |= {name: write_table(t, config.output, config.mode, name) for name, t in tables.items()}
+        written["model"] = save_model(model, config.output, config.mode)
     return TreeResult(
-        document, PipelineModel([*encoders.stages, assembler, booster]), scored, written, report,
-        importances, auc_by_round, loss_by_round, curve,
+        document, model, scored, written, accounting(spark, config, legs), malformed(spark, config),
+        report, importances, auc_by_round, loss_by_round, curve,
         compare_models(document, config.baseline_auc), used,
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +55,40 @@ RAW_TYPES: dict[str, str] = {
 MISSING_MARK = "NA"
 
 
+#: Whole numbers are parsed by a type that also takes ``7.0``.
+PARSED_AS = {"int": "double", "bigint": "decimal(38,6)"}
+
+
+def _typed(parsed: Column, kind: str) -> Column:
+    """A parsed whole number in its own type, null where it has a fraction or does not fit."""
+    if kind not in PARSED_AS:
+        return parsed
+    return F.when(parsed == F.floor(parsed), parsed.try_cast(kind))
+
+
+def malformed_entries(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
+    types: dict[str, str] | None = None,
+) -> DataFrame:
+    """(column, entries, malformed): entries present and those that do not fit their type."""
+    types = RAW_TYPES if types is None else types
+    by_name = {written.strip().lower(): written for written in _header(spark, path)}
+    wanted = [c for c in (columns or types) if c in by_name and types.get(c, "string") != "string"]
+    paths = [path] if isinstance(path, str) else list(path)
+    raw = spark.read.option("header", True).option("nullValue", MISSING_MARK).csv(paths)
+
+    def bad(name: str) -> Column:
+        entry, kind = F.trim(F.col(f"`{by_name[name]}`")), types[name]
+        fits = _typed(entry.try_cast(PARSED_AS.get(kind, kind)), kind)
+        return F.count_if(F.col(f"`{by_name[name]}`").isNotNull() & fits.isNull())
+
+    counted = raw.agg(*[
+        F.struct(F.lit(c).alias("column"), F.count(F.col(f"`{by_name[c]}`")).alias("entries"), bad(c).alias("malformed")).alias(c)
+        for c in wanted
+    ])
+    return counted.select(F.inline(F.array(*[F.col(f"`{c}`") for c in wanted])))
+
+
 def _header(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
     """Column names as written in the files; reads one line, infers nothing."""
     paths = [path] if isinstance(path, str) else list(path)
@@ -72,9 +106,10 @@ def read_legs(
     """Scan header-first CSV files into canonical lower-case columns.
 
     Columns are bound by the names in the header, in any order and any case. Files of
-    one call whose headers disagree fail instead of being read shifted. Entries that do
-    not fit their type become null, and the whole line is kept in ``corrupt_column``
-    when one is named.
+    one call whose headers disagree fail instead of being read shifted. A whole number
+    may be written with a decimal point (``7.0``). Entries that do not fit their type become
+    null, and the whole line is kept in ``corrupt_column`` when one is named;
+    :func:`malformed_entries` counts them.
 
     ``strict`` asks for every known column to be present; otherwise only ``columns``
     (default: all known ones found in the header) are needed.
@@ -94,7 +129,7 @@ def read_legs(
         raise ValueError(f"columns missing from {path}: {', '.join(missing)}")
 
     schema = T.StructType([
-        T.StructField(written, T.DataType.fromDDL(types.get(canonical, "string")), True)
+        T.StructField(written, T.DataType.fromDDL(PARSED_AS.get(kind := types.get(canonical, "string"), kind)), True)
         for canonical, written in by_name.items()
     ])
     reader = (
@@ -107,7 +142,7 @@ def read_legs(
         schema = schema.add(corrupt_column, T.StringType(), True)
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     raw = reader.schema(schema).csv([path] if isinstance(path, str) else list(path))
-    picked = [F.col(f"`{by_name[c]}`").alias(c) for c in wanted]
+    picked = [_typed(F.col(f"`{by_name[c]}`"), types.get(c, "string")).alias(c) for c in wanted]
     return raw.select(*picked, *([corrupt_column] if corrupt_column else []))
 
 
@@ -129,13 +164,17 @@ def read_staged(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
-def restaged(df: DataFrame, name: str = "legs", partition_column: str = "year") -> DataFrame:
+def restaged(df: DataFrame, name: str = "legs", partition_column: str | None = None) -> DataFrame:
     """Write ``df`` once below the shared folder and go on from there.
 
-    For rows that several passes read: each pass then scans only its columns and years,
-    in evenly sized files, and nothing before the write is ever done again, whichever
-    executors are lost.
+    For rows that several passes read: each pass then scans only its columns, and nothing
+    before the write is ever done again, whichever executors are lost. Rows are written
+    where they are; a ``partition_column`` pays only if later passes filter by it, and
+    costs a shuffle.
     """
     path = scratch_path(df.sparkSession, name)
-    stage_legs(df, path, partition_column)
+    if partition_column is None:
+        df.write.parquet(path)
+    else:
+        stage_legs(df, path, partition_column)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The names of what a run leaves below its output folder.
 def _under(base: str, mode: str, name: str) -> str:
     return f"{base.rstrip('/')}/{mode}_{name}"
 
@@ -16,7 +17,7 @@ def _under(base: str, mode: str, name: str) -> str:
 def write_metrics(document: DataFrame, base: str, mode: str) -> str:
     """One-row metrics document as a single text file. Returns the folder written."""
     target = _under(base, mode, "metrics_json")
-    text = document.select(F.to_json(F.struct("*")).alias("value"))
+    text = document.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
     text.coalesce(1).write.mode("overwrite").text(target)  # one row
     return target
 
@@ -34,6 +35,13 @@ def write_confusion(confusion: DataFrame, base: str, mode: str) -> str:
     return target
 
 
+def write_table(table: DataFrame, base: str, mode: str, name: str) -> str:
+    """A small result table (report, importances, curve) as one CSV file with a header."""
+    target = _under(base, mode, f"{name}_csv")
+    table.coalesce(1).write.mode("overwrite").option("header", True).csv(target)
+    return target
+
+
 def write_predictions(scored: DataFrame, base: str, mode: str) -> str:
     target = _under(base, mode, "test_predictions_parquet")
     (

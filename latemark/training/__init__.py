@@ -1,8 +1,8 @@
-from latemark.training.builtin import first_trees, gbt_stages, onehot_logit_stages
+from latemark.training.builtin import first_trees, gbt_stages, onehot_logit_stages, truncated
 from latemark.training.descent import GradientDescentLogit, GradientDescentLogitModel, score_linear
 from latemark.training.weights import class_weight
 
 __all__ = [
     "GradientDescentLogit", "GradientDescentLogitModel", "class_weight", "first_trees",
-    "gbt_stages", "onehot_logit_stages", "score_linear",
+    "gbt_stages", "onehot_logit_stages", "score_linear", "truncated",
 ]

@@ -7,21 +7,9 @@ from collections.abc import Sequence
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.pipeline import Pipeline
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Category labels of a string index travel through the driver, so their number is checked.
-MAX_CATEGORIES = 1_000_000
-
-
-def check_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    """Refuse columns with more categories than a string index can hold."""
-    found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = {c: found[c] for c in columns if found[c] > limit}
-    if wide:
-        raise ValueError(f"too many categories for one-hot encoding: {wide} (limit {limit})")
-
-
 def encoding_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
     """Index, one-hot encode and assemble; unseen categories become all zeros.
 
@@ -81,6 +69,29 @@ def gbt_stages(
     return Pipeline(stages=[assembler, trees])
 
 
+def truncated(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The same model cut to its first ``rounds`` trees; it scores, saves and loads like any."""
+    if not 1 <= rounds <= model.getNumTrees:
+        raise ValueError(f"rounds must lie between 1 and {model.getNumTrees}, got {rounds}")
+    whole = model._java_obj
+    session = SparkSession.active()
+    trees, weights = whole.trees()[:rounds], list(model.treeWeights[:rounds])
+    gateway = session.sparkContext._gateway
+    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    scales = gateway.new_array(gateway.jvm.double, rounds)
+    for index in range(rounds):
+        kept[index], scales[index] = trees[index], weights[index]
+    cut = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        f"{model.uid}_first{rounds}", kept, scales, whole.numFeatures(), whole.numClasses()
+    )
+    result = GBTClassificationModel(cut)
+    for param, value in model.extractParamMap().items():
+        if model.isSet(param) and result.hasParam(param.name):
+            result.set(result.getParam(param.name), value)
+    result._transfer_params_to_java()
+    return result
+
+
 def first_trees(
     model: GBTClassificationModel, df: DataFrame, rounds: int, threshold: float = 0.5
 ) -> DataFrame:

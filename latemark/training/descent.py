@@ -44,10 +44,16 @@ def _packer() -> Callable[[Iterator], Iterator]:
 
         for batch in batches:
             if batch.num_rows:
+                # null and NaN both arrive as NaN; such rows have no gradient
                 block = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                block = block[:, ~np.isnan(block).any(axis=0)]
+                kept = block.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block.tobytes()], pa.binary()), pa.array([batch.num_rows], pa.int64())],
-                    names=["block", "rows"],
+                    [
+                        pa.array([block.tobytes()], pa.binary()), pa.array([kept], pa.int64()),
+                        pa.array([batch.num_rows - kept], pa.int64()),
+                    ],
+                    names=["block", "rows", "skipped"],
                 )
 
     return pack
@@ -78,6 +84,8 @@ def _gradient(weights: Sequence[float], bias: float) -> Callable[[Iterator], Ite
 class RowBlocks:
     """Packed training rows, kept for the length of a ``with`` block.
 
+    Rows with a null or NaN label, weight or feature are left out and counted in ``skipped``.
+
     Packing is a DataFrame pass. The passes over the blocks are RDD jobs: an iteration
     is the same imperative step on every partition, and going without a new query plan
     makes it several times cheaper when iterations are short.
@@ -91,14 +99,14 @@ class RowBlocks:
         columns = [F.col(label), row_weight, *[F.col(c) for c in features]]
         doubles = df.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
         self.width = len(features)
-        packed = doubles.mapInArrow(_packer(), "block binary, rows bigint")
+        packed = doubles.mapInArrow(_packer(), "block binary, rows bigint, skipped bigint")
         if reliable:
             packed = checkpointed(packed)
-        self._packed = packed.rdd.map(lambda row: (row[1], bytes(row[0])))
+        self._packed = packed.rdd.map(lambda row: ((row[1], row[2]), bytes(row[0])))
 
     def __enter__(self) -> RowBlocks:
         self._packed.persist(StorageLevel.MEMORY_AND_DISK)
-        self.rows = self._packed.keys().sum()
+        self.rows, self.skipped = self._packed.keys().fold((0, 0), lambda a, b: (a[0] + b[0], a[1] + b[1]))
         self._blocks = self._packed.values()
         return self
 
@@ -191,6 +199,6 @@ class GradientDescentLogit(
             if tol and max(map(abs, [*moves, step * bias_slope])) <= tol:
                 break
         return {
-            "weights": weights, "bias": bias, "rows": blocks.rows, "iterations": done,
+            "weights": weights, "bias": bias, "rows": blocks.rows, "skipped": blocks.skipped, "iterations": done,
             "threshold": self.getOrDefault(self.threshold),
         }

@@ -93,6 +93,12 @@ def test_curve_ends_at_full_recall(spark):
     assert thin.exceptAll(pr_curve(df)).isEmpty()
 
 
+def test_steps_of_the_thinned_curve_are_exact(spark):
+    df = spark.createDataFrame([(1, i / 100) for i in range(100)], SCORED)
+    thin = pr_curve(df, points=100)
+    assert thin.count() == 100 and thin.exceptAll(pr_curve(df)).isEmpty()
+
+
 def test_best_round_looks_no_further_than_patience(spark):
     curve = spark.createDataFrame([(1, .5), (2, .6), (3, .55), (4, .5), (5, .9)], "round int, auc double")
     assert best_round(curve) == 5 and best_round(curve, patience=2) == 2 and best_round(curve, patience=3) == 5

@@ -95,6 +95,40 @@ def test_hot_keys_do_not_share_a_task(skewed, spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_unseen_and_middling_keys_do_not_share_a_task(spark):
+    """Half of the rows on a key that the table lacks, many keys just below a task's share."""
+    unseen = spark.range(8000).select(F.lit(-1).alias("k"), F.col("id").alias("v"))
+    middling = spark.range(8000).select((F.col("id") % 80).cast("int").alias("k"), F.col("id").alias("v"))
+    rows = unseen.unionAll(middling).repartition(16)
+    table = middling.groupBy("k").agg(F.count(F.lit(1)).alias("rows"), F.sum("v").alias("s"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup_join(rows, table, "k", ["s"], 80, 8000, broadcast_rows=0)
+        placed = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum("s")).collect()
+        assert max(r["n"] for r in placed) < 2 * 16000 / 8
+        assert joined.filter("k = -1 and s is not null").isEmpty() and joined.filter("k >= 0 and s is null").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_shuffled_lookup_reads_only_what_is_asked_for(spark, tmp_path):
+    wide = spark.range(1000).select((F.col("id") % 50).cast("int").alias("k"), *[(F.col("id") * i).alias(f"c{i}") for i in range(6)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    rows = spark.read.parquet(str(tmp_path / "wide"))
+    table = wide.groupBy("k").agg(F.count(F.lit(1)).alias("rows"), F.max("c1").alias("top"))
+    joined = lookup_join(rows, table, "k", ["top"], 50, 1000, broadcast_rows=0).select("k", "top")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line and "wide" in line]
+    assert scans and all(line.split("ReadSchema:")[1].count(":") <= 2 for line in scans)
+
+
+def test_imputer_keeps_its_accuracy(spark, tmp_path):
+    imputer = GroupMedianImputer(["v"], keyCol="k", accuracy=77)
+    imputer.write().save(str(tmp_path / "imputer"))
+    again = GroupMedianImputer.load(str(tmp_path / "imputer"))
+    assert again.getOrDefault(again.accuracy) == 77
+
+
 def test_small_table_is_broadcast_and_large_is_not(skewed):
     table = skewed.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
     table = table.withColumn("x", F.col("rows"))

@@ -5,7 +5,7 @@ import pytest
 
 from latemark.evaluation import metrics_document
 from latemark.sources import (
-    RAW_TYPES, read_legs, read_sample, read_staged, stage_legs, write_confusion, write_metrics, write_sample,
+    RAW_TYPES, malformed_entries, read_legs, read_sample, read_staged, stage_legs, write_confusion, write_metrics, write_sample,
 )
 
 TYPES = {"a": "int", "b": "double", "c": "string"}
@@ -41,6 +41,16 @@ def test_malformed_values_keep_the_line(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(None, 2.0, "z", "seven,2.0,z")]
 
 
+def test_whole_numbers_with_a_point(spark, tmp_path):
+    path = written(tmp_path, one="a,b,c\n7.0,1,x\n-3.00,2,y\n7.5,3,z\n9999999999,4,v\nx,5,w\nNA,6,u\n 8 ,7,t\n")
+    rows = {r["c"]: r["a"] for r in read_legs(spark, path, types=TYPES).collect()}
+    assert {k: rows[k] for k in "xyzvwu"} == {"x": 7, "y": -3, "z": None, "v": None, "w": None, "u": None}
+    counts = {r["column"]: (r["entries"], r["malformed"]) for r in malformed_entries(spark, path, types=TYPES).collect()}
+    assert counts == {"a": (6, 3), "b": (7, 0)}
+    big = written(tmp_path, one="a,b,c\n9007199254740993.0,1,x\n")
+    assert read_legs(spark, big, types=TYPES | {"a": "bigint"}).first()["a"] == 9007199254740993
+
+
 def test_absent_columns_are_named(spark, tmp_path):
     path = written(tmp_path, one="a,b\n1,2\n")
     with pytest.raises(ValueError, match="c"):
@@ -73,10 +83,20 @@ def test_metrics_text_is_one_ordered_document(spark, tmp_path):
     told = json.loads(line)
     assert list(told["weights"]) == ["bias", "z", "a"] and told["auc"] == 0.75
     assert told["confusion"][1] == {"label": 1, "prediction": 1, "count": 2}
+    # what is not known is written as null, not left out
+    assert told["positive_weight"] is None and "positive_weight" in told
     with pytest.raises(ValueError, match="colour"):
         metrics_document(spark, colour="red")
 
 
+def test_document_of_many_weights(spark):
+    import time
+
+    start = time.perf_counter()
+    row = metrics_document(spark, weights={f"w{i}": i for i in range(100_000)}).first()
+    assert len(row["weights"]) == 100_000 and time.perf_counter() - start < 20
+
+
 def test_confusion_file_layout(spark, tmp_path):
     df = spark.createDataFrame([(1, 0, 4), (0, 0, 3)], "label int, prediction int, count bigint")
     path = write_confusion(df, str(tmp_path), "weighted")

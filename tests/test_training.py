@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from checks.legs import PERIODS, ROLES, START_YEAR, legs
 from latemark.plans import DescentConfig, OneHotConfig, TreeConfig, run_descent, run_onehot, run_trees
-from latemark.plans.trees import TREE_FEATURES
-from latemark.training import GradientDescentLogit, class_weight, score_linear
-from latemark.training.builtin import check_categories, encoding_stages
+from latemark.plans.onehot import positive_probability
+from latemark.plans.trees import TREE_FEATURES, labelled_legs
+from latemark.training import GradientDescentLogit, class_weight, score_linear, truncated
+from latemark.training.builtin import encoding_stages
 
 
 def brute_force(x, y, w, steps, rate):
@@ -73,11 +74,6 @@ def test_unseen_category_is_all_zero(spark):
     assert [list(r["features"].toArray()) for r in found.collect()] == [[0, 0, 4], [0, 0, 5], [0, 1, 6]]
 
 
-def test_too_many_categories_are_refused(spark):
-    with pytest.raises(ValueError, match="too many"):
-        check_categories(spark.range(1000).withColumnRenamed("id", "c"), ["c"], limit=100)
-
-
 def test_descent_run_publishes_everything(spark, small, tmp_path):
     config = DescentConfig(roles=ROLES, periods=PERIODS, start_year=START_YEAR, max_iter=5,
                            output=str(tmp_path), save_predictions=True, mode="baseline")
@@ -123,6 +119,37 @@ def test_tree_run(spark, small, stop_on):
     assert {r["name"] for r in run.report.collect()} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
     assert run.comparison.first()["auc_gain"] == pytest.approx(run.document.first()["auc"] - 0.5)
     assert run.curve.count() > 2 and run.auc_by_round.count() == run.loss_by_round.count()
+    row = run.document.first()
+    # the share bounds what trees are grown on, not what is counted and measured
+    assert row["train_rows"] + row["validation_rows"] + row["test_rows"] == labelled_legs(legs(spark, small), config).count()
+    assert run.model.stages[-1].getNumTrees == run.rounds_used
+    assert run.accounting.first()["total_rows"] == legs(spark, small).count()
+
+
+def test_tree_model_is_the_measured_one(spark, small, tmp_path):
+    config = TreeConfig(roles=ROLES, periods=PERIODS, rounds=6, depth=3, positive_weight=None, patience=1, output=str(tmp_path))
+    raw = legs(spark, small)
+    run = run_trees(spark, config, raw)
+    assert {"report", "importances", "pr_curve", "auc_by_round", "loss_by_round", "model"} <= set(run.written)
+    again = PipelineModel.load(run.written["model"])
+    assert again.stages[-1].getNumTrees == run.rounds_used
+    scored = run.scored.drop("features").persist()
+    features = [c for c in scored.columns if c not in ("probability", "prediction")]
+    rows = labelled_legs(raw, config)
+    one, other = (positive_probability(m.transform(rows)).select("probability").agg(F.sum("probability")).first()[0] for m in (run.model, again))
+    assert one == pytest.approx(other, abs=1e-9)
+    assert scored.filter(F.col("probability").isNull()).isEmpty() and features
+    whole = run.model.stages[-1]
+    with pytest.raises(ValueError, match="rounds"):
+        truncated(whole, whole.getNumTrees + 1)
+
+
+def test_incomplete_rows_are_left_out_of_descent(spark):
+    rows = [(1, 1.0), (0, -1.0), (1, None), (None, 2.0), (1, float("nan")), (1, 0.5), (0, -0.5)]
+    df = spark.createDataFrame(rows, "label int, x double")
+    model = GradientDescentLogit(["x"], maxIter=3).fit(df)
+    clean = GradientDescentLogit(["x"], maxIter=3).fit(df.dropna().filter("not isnan(x)"))
+    assert model.weights == pytest.approx(clean.weights) and model.scalars["skipped"] == 3 and model.scalars["rows"] == 4
 
 
 def test_tree_feature_list():
