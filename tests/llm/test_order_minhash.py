@@ -101,7 +101,7 @@ def test_repeats_nulls_and_empty(documents, awkward):
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in found)
     assert omh.edit_fingerprints(documents([])).count() == 0
     single = omh.edit_fingerprints(documents([(1, "a b c d e f")])).first()
-    assert single["edited_sha256"] == hashlib.sha256(b"a b c a b c"[:6] + b"a b c ").hexdigest() and single["near_next"] == 1
+    assert single["edited_sha256"] == hashlib.sha256(b"a b c a b c").hexdigest() and single["near_next"] == 1
     alike = omh.edit_fingerprints(documents([(1, "a b c d e f")] * 5 + [(2, "q r s t u v w")])).collect()
     assert sorted(r["near_next"] for r in alike) == [0, 0, 1, 1, 1, 1]
     assert len({r["fingerprint"] for r in alike if r["doc_id"] == 1}) == 1
