@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latemark.evaluation.ranking import ranking_metrics
+from latemark.sources import restaged
 
 
 def feature_names(df: DataFrame, features: str = "features") -> list[str]:
@@ -27,21 +28,23 @@ def feature_importances(spark: SparkSession, importances: Sequence[float], names
 def training_curve(model: GBTClassificationModel, rows: DataFrame, label: str) -> DataFrame:
     """(round, auc): ROC AUC on ``rows`` after each boosting round.
 
-    Every tree scores a row once; the running sum of its votes is the row's score after
-    each round. Few-valued early scores collapse in the first partial counts.
+    Every tree scores a row once, and its votes are staged; one running sum over them is
+    the row's score after each round. Few-valued early scores collapse in the first partial
+    counts.
     """
     scored = rows
     votes = []
     for index, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
         scored = tree.setPredictionCol(f"_tree{index}").transform(scored)
         votes.append(F.col(f"_tree{index}") * F.lit(weight))
-    staged = scored.select(F.col(label), F.array(*votes).alias("_votes")).select(
-        label,
-        F.posexplode(F.transform(
-            F.sequence(F.lit(1), F.lit(len(votes))),
-            lambda k: F.aggregate(F.slice("_votes", 1, k), F.lit(0.0), lambda a, b: a + b),
-        )).alias("_at", "_margin"),
-    ).select(label, (F.col("_at") + 1).alias("round"), "_margin")
+    kept = restaged(scored.select(F.col(label), F.array(*votes).alias("_votes")), "votes")
+    running = F.aggregate(
+        "_votes", F.array().cast("array<double>"),
+        lambda sums, vote: F.array_append(sums, F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0.0)) + vote),
+    )
+    staged = kept.select(label, F.posexplode(running).alias("_at", "_margin")).select(
+        label, (F.col("_at") + 1).alias("round"), "_margin"
+    )
     return ranking_metrics(staged, label, "_margin", by=["round"]).select("round", "auc").orderBy("round")
 
 

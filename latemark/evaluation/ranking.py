@@ -4,11 +4,11 @@ Everything follows from one table, the tie groups: per distinct score the positi
 negatives at it and at or above it. It is built without a global sort or window:
 
 1. rows are counted per score (partial counts first, so equal scores collapse early);
-2. scores fall into ordered buckets cut at sketched quantiles; bucket totals are few and
-   give every bucket its offset;
+2. scores fall into ordered buckets cut at quantiles of a hash sample of distinct scores;
+   bucket totals are few and give every bucket its offset;
 3. a running sum inside each bucket completes the counts.
 
-The sketch decides only where buckets end, i.e. how even they are. The numbers are exact
+The sample decides only where buckets end, i.e. how even they are. The numbers are exact
 for any cut.
 """
 
@@ -22,10 +22,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: quantile intervals taken from the sketch
+#: quantile intervals taken from the sample, and the distinct scores that it has, about
 INTERVALS = 1024
+SAMPLE = 1 << 16
 
-#: each interval is cut further into equal widths once it would hold more rows than this
+#: each interval is cut further into equal widths once it would hold more scores than this
 ROWS_PER_BUCKET = 1_000_000
 
 #: upper bound of those further cuts; with INTERVALS it bounds the table of bucket totals
@@ -33,23 +34,27 @@ MAX_CUTS = 1024
 
 
 def _bucket(rows: DataFrame, score: str) -> DataFrame:
-    """Add ``_bucket``, non-decreasing in the score. One pass to count and sketch."""
-    shares = [i / INTERVALS for i in range(INTERVALS + 1)]
-    seen = rows.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.percentile_approx(score, shares, INTERVALS * 10).alias("edges"),
-    ).first()
-    if not seen["rows"]:
+    """Add ``_bucket``, non-decreasing in the score.
+
+    Rows of one score are counted together before buckets are summed, so even buckets are
+    those of equally many distinct scores. What tasks send for the cuts is a fixed-size
+    counter and their part of the sample.
+    """
+    distinct = rows.agg(F.approx_count_distinct(score)).first()[0]
+    if not distinct:
         return rows.withColumn("_bucket", F.lit(0).cast("bigint"))
-    edges = sorted(set(seen["edges"]))
-    # few rows need few buckets, yet enough to keep all cores busy
-    wanted = min(INTERVALS, max(16, math.ceil(seen["rows"] / ROWS_PER_BUCKET)))
+    every = max(1, distinct // SAMPLE)
+    drawn = rows.filter(F.pmod(F.xxhash64(score), F.lit(every)) == 0).select(score).distinct()
+    drawn = sorted(r[0] for r in drawn.collect())
+    edges = sorted({drawn[(len(drawn) - 1) * i // INTERVALS] for i in range(INTERVALS + 1)}) if drawn else [0.0]
+    # few scores need few buckets, yet enough to keep all cores busy
+    wanted = min(INTERVALS, max(16, math.ceil(distinct / ROWS_PER_BUCKET)))
     inner = edges[1:-1][:: max(1, len(edges) // wanted)] or edges[:1]
     splits = [-math.inf, *inner, math.inf]
     placed = Bucketizer(splits=splits, inputCol=score, outputCol="_interval").transform(rows)
     interval = F.col("_interval").cast("int")
 
-    cuts = min(MAX_CUTS, math.ceil(seen["rows"] / (len(splits) - 1) / ROWS_PER_BUCKET))
+    cuts = min(MAX_CUTS, math.ceil(distinct / (len(splits) - 1) / ROWS_PER_BUCKET))
     if cuts == 1:
         return placed.withColumn("_bucket", interval.cast("bigint")).drop("_interval")
     bounds = F.array(*[F.lit(e) for e in [edges[0], *inner, edges[-1]]])

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from latemark.functions.predicates import PANDEMIC_PERIODS, Period
 from latemark.roles import FLIGHTS, LegRoles
+from latemark.session import remove_paths
 
 
 @dataclass(kw_only=True)
@@ -87,6 +88,13 @@ class RunResult:
     accounting: DataFrame
     #: entries of the input that do not fit their column; None if a frame was given
     malformed: DataFrame | None
+    #: folders that the lazy frames above still read
+    scratch: list[str] = field(default_factory=list, kw_only=True)
+
+    def discard(self, spark: SparkSession) -> None:
+        """Delete what the run staged; ``scored`` cannot be read afterwards, written results can."""
+        remove_paths(spark, self.scratch)
+        self.scratch = []
 
 
 def check_mode(mode: str) -> bool:

@@ -11,12 +11,13 @@ from latemark.features import FrequencyEncoder, ZScore
 from latemark.operators import add_class_weight, temporal_split
 from latemark.plans.common import accounting, cleaned_legs, malformed, measured, publish, scores_only
 from latemark.plans.config import DescentConfig, RunResult, check_mode
-from latemark.session import held
+from latemark.session import held, owning_scratch
 from latemark.sources import restaged
 from latemark.training import GradientDescentLogit
 from latemark.training.weights import positive_weight
 
 
+@owning_scratch
 def run_descent(spark: SparkSession, config: DescentConfig, legs: DataFrame | None = None) -> RunResult:
     """Read, clean, split by year, encode, train, score, measure and publish."""
     weighted = check_mode(config.mode)

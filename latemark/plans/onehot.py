@@ -11,7 +11,7 @@ from latemark.evaluation.curves import feature_names
 from latemark.operators import add_class_weight, mark_parts
 from latemark.plans.common import accounting, cleaned_legs, malformed, measured, publish, scores_only
 from latemark.plans.config import OneHotConfig, RunResult, check_mode
-from latemark.session import held
+from latemark.session import held, owning_scratch
 from latemark.sources import restaged, save_model
 from latemark.training import onehot_logit_stages
 from latemark.training.weights import positive_weight
@@ -22,6 +22,7 @@ def positive_probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("probability", vector_to_array("probability")[1])
 
 
+@owning_scratch
 def run_onehot(spark: SparkSession, config: OneHotConfig, legs: DataFrame | None = None) -> RunResult:
     weighted = check_mode(config.mode)
     roles = config.roles

@@ -23,7 +23,7 @@ from latemark.plans.common import accounting, load, malformed, measured, publish
 from latemark.plans.config import RunResult, TreeConfig
 from latemark.plans.onehot import positive_probability
 from latemark.roles import FLIGHTS, LegRoles
-from latemark.session import held
+from latemark.session import held, owning_scratch
 from latemark.sources import restaged, save_model, write_table
 from latemark.training import gbt_stages, truncated
 from latemark.training.weights import positive_weight
@@ -93,6 +93,7 @@ def fit_encoders(train: DataFrame, roles: LegRoles, imputed: Sequence[str]) -> l
     return stages
 
 
+@owning_scratch
 def run_trees(spark: SparkSession, config: TreeConfig, legs: DataFrame | None = None) -> TreeResult:
     """Train on the training part, stop on the validation part, report on the test part."""
     roles = config.roles

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -32,9 +34,40 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Scratch paths made since the innermost run began; none outside a run.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+def owning_scratch(run: Callable) -> Callable:
+    """A job whose result lists the scratch paths that its frames read, in ``scratch``."""
+
+    @wraps(run)
+    def owned(*args, **kwargs):
+        token = _made.set([])
+        try:
+            result = run(*args, **kwargs)
+            result.scratch = list(_made.get())
+            return result
+        finally:
+            _made.reset(token)
+
+    return owned
+
+
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders wherever Spark can reach them."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
 
 
 @contextmanager

@@ -102,6 +102,16 @@ def test_onehot_run_reads_csv(spark, small, tmp_path):
     assert row["weights"]["bias"] is not None and len(row["weights"]) > 40
 
 
+def test_discard_leaves_no_staged_rows(spark, small):
+    from pathlib import Path
+
+    run = run_onehot(spark, OneHotConfig(roles=ROLES, periods=PERIODS, start_year=START_YEAR, max_iter=2), legs(spark, small))
+    assert run.scratch and all(Path(p).exists() for p in run.scratch)
+    paths = list(run.scratch)
+    run.discard(spark)
+    assert not any(Path(p).exists() for p in paths) and run.document.first()["model"] == "logistic_regression"
+
+
 def test_bad_mode_and_missing_input(spark):
     with pytest.raises(ValueError, match="mode"):
         run_descent(spark, DescentConfig(mode="other"))
