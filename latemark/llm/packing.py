@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from latemark.llm.frames import kept, map_batches, whole, with_totals
+from latemark.llm.word_codes import WordCoder, agrees, ranks_of
 
 WINDOW = 2048
 STEP = 8
 DEPTH = 3
 END_ID = 1
-CACHE = 200_000
+CACHE = 300_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, ids: bool = False) -> DataFrame:
@@ -37,11 +38,11 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, ids: bool = Fa
     piece is the end id.
     """
 
+    fast = agrees(*ranks_of(tokenizer))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_file(tokenizer)
+        coder = WordCoder(tokenizer, fast)
         known: dict[bytes, bytes] = {}
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
@@ -55,8 +56,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, ids: bool = Fa
                     new = list(set(words))
                 for at in range(0, len(new), 1 << 16):
                     part = new[at:at + (1 << 16)]
-                    for word, code in zip(part, encoder.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                        known[word] = np.array(code.ids, "<u4").tobytes()
+                    known.update(zip(part, coder.codes(part)))
                 body = b"".join(map(known.__getitem__, words)) + end
                 total = len(body) // 4
                 for start in range(0, total, window):

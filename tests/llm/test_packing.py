@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from latemark.llm import packing
+from latemark.llm import packing, word_codes
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -46,6 +46,20 @@ def test_plan_fills_windows():
     assert windows <= 1.02 * sum(s * n for s, n in histogram.items()) / 64
 
 
+def test_word_codes_are_those_of_the_library(prose):
+    ranks, pairs = word_codes.ranks_of(PATH)
+    assert len(pairs) > 48_000 and word_codes.agrees(ranks, pairs)
+    # a token that neighbours other than its listed pair make first
+    assert not word_codes.agrees({b"a": 0, b"b": 1, b"c": 2, b"bc": 3, b"ab": 4, b"abc": 5}, [(b"b", b"c"), (b"a", b"b"), (b"ab", b"c")])
+    words = prose(11, 3000).split() + [
+        "it's", "I'LL<|endoftext|>", "x\x01y", "\x02", "漢字", "a\xa0b", "ﬁ", "²³", "don't!!", "É'S", "''s", "a1b2", "ÿþ", "\xad-", "İI", "e\u0301",
+    ]
+    encoder = Tokenizer.from_file(PATH)
+    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.encode_batch(words, add_special_tokens=False)]
+    for fast in (True, False):
+        assert word_codes.WordCoder(PATH, fast).codes([w.encode() for w in words]) == want
+
+
 def test_round_trip(documents, awkward):
     rows = [(i, text) for i, (_, text) in enumerate(awkward)] + [(50, "<|endoftext|> It's A\u00a0B c\u0301a\u2028x I'LL 漢字 don't"), (51, "x" * 20_000)]
     encoder = Tokenizer.from_file(PATH)
