@@ -75,6 +75,9 @@ ALL_CLEAN = picked(CLEAN_COLUMNS)
 DIGEST = "md5(concat_ws('|', '42', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in CLEAN_COLUMNS) + "))"
 POSITION = f"CAST('0x' || substr({DIGEST}, 1, 8) AS BIGINT)"
 PLACES = 4294967296
+# the same over the columns that a job has left after cleaning
+JOB_DIGEST = "md5(concat_ws('|', '42', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in (*NUMERIC, *CATEGORICAL, "label")) + "))"
+JOB_POSITION = f"CAST('0x' || substr({JOB_DIGEST}, 1, 8) AS BIGINT)"
 
 CALENDAR_SQL = """
   CAST(trunc(sched_hhmm / 100.0) AS INT) AS dep_hour,
@@ -328,6 +331,16 @@ def oracles() -> dict[str, str]:
             FROM ctest LEFT JOIN medians ON route = mr""",
         "zscore": f"WITH {SCALED_SQL} SELECT " + ", ".join(r6(x, f) for x, f in zip(XS, FEATURES)) + ", label FROM stest",
         "temporal_split": f"WITH {SPLIT_SQL} SELECT {ALL_CLEAN}, first_test_year FROM test, cut",
+        "onehot_job": f"""WITH {CLEANED_SQL}, placed AS (SELECT label, {JOB_POSITION} < CAST(floor(0.8 * {PLACES}) AS BIGINT) AS learnt FROM cleaned)
+            SELECT 'weighted' AS mode, CAST(20 AS INT) AS max_iter, count(*) FILTER (learnt) AS train_rows, count(*) FILTER (NOT learnt) AS test_rows,
+              count(*) FILTER (NOT learnt AND label = 1) AS late_test_rows,
+              {r6("count(*) FILTER (learnt AND label = 0) / CAST(count(*) FILTER (learnt AND label = 1) AS DOUBLE)", "positive_weight")} FROM placed""",
+        "onehot_job_metrics_hold": LATE_OK,
+        "tree_job": f"""WITH {LEGS_SQL}, tested AS (SELECT delay > 15 AS late, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS n FROM legs
+              WHERE cancelled = 0 AND diverted = 0 AND year >= 1995 AND NOT {LEFT_OUT} AND delay IS NOT NULL GROUP BY 1)
+            SELECT CASE WHEN late THEN '1' ELSE '0' END AS name, n AS support FROM tested
+            UNION ALL SELECT name, CAST((SELECT sum(n) FROM tested) AS BIGINT) FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) v(name)""",
+        "tree_job_metrics_hold": LATE_OK,
         "hash_split": f"WITH {CLEANED_SQL} SELECT {ALL_CLEAN} FROM cleaned WHERE {POSITION} >= CAST(floor(0.8 * {PLACES}) AS BIGINT)",
         "hash_three_parts": f"""WITH {CLEANED_SQL} SELECT {part} AS part, label, count(*) AS rows,
             CAST(sum(sched_hhmm) AS BIGINT) AS hhmm_sum FROM cleaned GROUP BY ALL""",
