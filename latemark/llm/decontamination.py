@@ -1,18 +1,18 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Benchmark items are taken in blocks of bounded size and every block meets all documents, so
-what is broadcast does not grow with the benchmark. A pass over the documents counts in how
-many of them each n-gram of the block stands; an item keeps as seeds the n-grams that are not
-much more frequent than its rarer ones, so function words seed nothing and an item that leaked
-often keeps its seeds. A second pass finds the seeds in the words of each document, takes the
-stretch around where the item would lie, and aligns the two word by word; edited and
-paraphrased copies align with gaps and mismatches.
+what is broadcast does not grow with the benchmark. All n-grams of an item are seeds, however
+many documents hold them, so how often an item leaked changes nothing. One pass over the
+documents finds the seeds in the words of each. An item is aligned only where enough of its
+words stand, in any order, to reach the similarity asked for; that leaves out no copy. There
+the stretch around the seeds and the item are aligned word by word; edited and paraphrased
+copies align with gaps and mismatches.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,8 +26,6 @@ NGRAM = 3
 #: Share of an item's words that must align in their order.
 SIMILARITY = 0.8
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: An n-gram is a seed if not in more documents than so many times the item's lower quartile.
-COMMON = 8
 #: Words of benchmark text in one block.
 BLOCK_WORDS = 500_000
 WORD = re.compile(r"\w+")
@@ -37,9 +35,21 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def needed(length: int) -> int:
+    """The least number of equal words that makes a copy of an item of ``length`` words."""
+    if not length:
+        return 0
+    least = int(length * SIMILARITY)
+    return least if least / length >= SIMILARITY else least + 1
+
+
 def grams_of(words: list[str]) -> list[tuple[str, ...]]:
-    """The n-grams of an item; of one shorter than that, all its words as one."""
-    size = min(NGRAM, len(words))
+    """The n-grams of an item, shorter where fewer words in a row are sure to stay in a copy.
+
+    Words that a copy may lack cut an item in one part more; the longest is left whole.
+    """
+    lost = len(words) - needed(len(words))
+    size = min(NGRAM, -(-(len(words) - lost) // (lost + 1)))
     return [tuple(words[i:i + size]) for i in range(len(words) - size + 1)] if size else []
 
 
@@ -91,17 +101,36 @@ def _stretches(places: list[tuple[int, int]], length: int, total: int) -> list[t
     return merged
 
 
-def matches_in(words: list[str], items: list[list[str]], seeds: dict, sizes: tuple[int, ...]) -> list[tuple[int, float, int, int, int, int]]:
+def may_hold(have: Counter, bag: list[tuple[str, int]], lost: int) -> bool:
+    """Whether not more than ``lost`` words of an item, given with their numbers, are missing."""
+    for word, times in bag:
+        there = have.get(word, 0)
+        if there < times:
+            lost -= times - there
+            if lost < 0:
+                return False
+    return True
+
+
+def matches_in(words: list[str], items: list[list[str]], seeds: dict, bags: list, sizes: tuple[int, ...]) -> list[tuple[int, float, int, int, int, int]]:
     """(item, similarity, score, equal words, first word, end) of every item that the words hold a copy of."""
     places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    have: Counter = Counter()
+    able: dict[int, bool] = {}
     for at, gram in gram_places(words, seeds, sizes):
+        have = have or Counter(words)
         for item, own in seeds[gram]:
-            places[item].append((at, own))
+            if item not in able:
+                able[item] = may_hold(have, *bags[item])
+            if able[item]:
+                places[item].append((at, own))
     found = []
     for item, seen in places.items():
         own = items[item]
         best = None
         for low, high in _stretches(seen, len(own), len(words)):
+            if not may_hold(Counter(words[low:high]), *bags[item]):
+                continue
             code: dict[str, int] = {}
             coded = [np.array([code.setdefault(w, len(code)) for w in ws]) for ws in (own, words[low:high])]
             score, equal, first, end = align(*coded)
@@ -123,53 +152,36 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, list[str]]]
         yield [(r["item_id"], words_of(r["text"])) for r in part.collect()]
 
 
-def _frequencies(docs: DataFrame, items: list[list[str]]) -> dict[tuple[str, ...], int]:
-    """In how many documents each n-gram of the items stands."""
-    grams = {g: i for i, g in enumerate(sorted({g for words in items for g in grams_of(words)}))}
-    sizes = tuple(sorted({len(g) for g in grams}))
-    shared = docs.sparkSession.sparkContext.broadcast(grams)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, counts = shared.value, defaultdict(int)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for gram in {gram for _, gram in gram_places(words_of(text), wanted, sizes)}:
-                    counts[wanted[gram]] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["gram", "n"]
-        )
-
-    counted = map_batches(docs.select(whole().alias("text")), work, "gram long, n long")
-    totals = {r["gram"]: r["n"] for r in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-    return {g: totals.get(i, 0) for g, i in grams.items()}
-
-
-def seeds_of(items: list[list[str]], frequency: dict[tuple[str, ...], int]) -> dict[tuple[str, ...], list[tuple[int, int]]]:
-    """Where the rare n-grams of each item stand: gram -> (item, place)."""
+def seeds_of(items: list[list[str]]) -> dict[tuple[str, ...], list[tuple[int, int]]]:
+    """Where all n-grams of the items stand: gram -> (item, place)."""
     seeds: dict[tuple[str, ...], list[tuple[int, int]]] = defaultdict(list)
     for item, words in enumerate(items):
-        grams = grams_of(words)
-        if not grams:
-            continue
-        seen = sorted(frequency.get(g, 0) for g in grams)
-        limit = COMMON * max(1, seen[len(seen) // 4])
-        for place, gram in enumerate(grams):
-            if frequency.get(gram, 0) <= limit:
-                seeds[gram].append((item, place))
+        for place, gram in enumerate(grams_of(words)):
+            seeds[gram].append((item, place))
     return dict(seeds)
 
 
+def bags_of(items: list[list[str]]) -> list[tuple[list[tuple[str, int]], int]]:
+    """The words of each item with their numbers, those of fewest items first, and how many a copy may lack."""
+    bags = [Counter(words) for words in items]
+    spread = Counter(w for bag in bags for w in bag)
+    return [
+        (sorted(bag.items(), key=lambda x: (spread[x[0]], -x[1], x[0])), len(words) - needed(len(words)))
+        for bag, words in zip(bags, items)
+    ]
+
+
 def _matchers(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[list, Callable[[str], list]]]:
     """For each block: the ids of its items, and a function from a text to its matches."""
     for block in _blocks(benchmark):
         ids, items = [i for i, _ in block], [w for _, w in block]
-        seeds = seeds_of(items, _frequencies(docs, items))
+        seeds = seeds_of(items)
         sizes = tuple(sorted({len(g) for g in seeds}))
-        shared = docs.sparkSession.sparkContext.broadcast((items, seeds))
+        shared = docs.sparkSession.sparkContext.broadcast((items, seeds, bags_of(items)))
 
         def matcher(text: str, shared=shared, sizes=sizes) -> list:
-            items, seeds = shared.value
-            return matches_in(words_of(text), items, seeds, sizes)
+            items, seeds, bags = shared.value
+            return matches_in(words_of(text), items, seeds, bags, sizes)
 
         yield ids, matcher
 

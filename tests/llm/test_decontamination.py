@@ -67,6 +67,43 @@ def test_item_that_leaked_everywhere(spark, documents, prose):
     assert {r["doc_id"] for r in dec.contaminations(documents(rows), benchmark).collect()} == set(range(60))
 
 
+def test_edited_copy_in_a_thousand_documents(spark, documents, prose):
+    item, five = prose(78, 40), "alpha beta gamma delta epsilon"
+    words = item.split()
+    for at in (4, 14, 24, 34):
+        words[at] = "changed"
+    copy = " ".join(words)
+    rows = [(i, prose(i, 12) + " " + copy + " " + prose(i + 5000, 12)) for i in range(1000)]
+    rows += [(1000, prose(1, 60)), (1001, "so alpha beta changed delta epsilon it was")]
+    benchmark = spark.createDataFrame([(5, item), (6, five)], "item_id long, text string")
+    found = dec.contaminations(documents(rows), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"], r["equal_words"]) for r in found} == {*((i, 5, 36) for i in range(1000)), (1001, 6, 4)}
+    assert {r["doc_id"] for r in dec.without_benchmark(documents(rows), benchmark).collect()} == {1000}
+
+
+def test_word_counts_leave_out_no_copy():
+    draw = random.Random(3)
+    items = [[draw.choice("abcdefgh") for _ in range(draw.randint(1, 14))] for _ in range(40)]
+    seeds, bags = dec.seeds_of(items), dec.bags_of(items)
+    met = 0
+    for _ in range(60):
+        own = draw.choice(items)
+        words = ["x", *own, "y"]
+        for _ in range(len(own) - dec.needed(len(own))):
+            words[draw.randrange(1, len(own) + 1)] = "z"
+        found = {m[0] for m in dec.matches_in(words, items, seeds, bags, (1, 2, 3))}
+        want = {i for i, it in enumerate(items) if dec.align(*coded(it, words))[1] >= dec.SIMILARITY * len(it)}
+        # words changed near an end may leave the best local alignment too short
+        assert found <= want and want & {items.index(own)} <= found
+        met += items.index(own) in want
+    assert met > 40
+
+
+def coded(*texts):
+    code = {}
+    return [np.array([code.setdefault(w, len(code)) for w in t]) for t in texts]
+
+
 def test_awkward_rows(spark, documents, awkward):
     docs = documents([(*a, i, "y") for i, a in enumerate(awkward)], "row int, __clean string")
     items = spark.createDataFrame([(1, None), (None, ""), (2, "one"), (2, "one"), (None, awkward[0][1])], "item_id long, text string")
