@@ -4,9 +4,10 @@ Windows of ``window`` bytes are cut into segments at content-defined anchors (se
 so equal windows lie in segments of the same anchor hash. Segments that repeat whole are
 known by their hash: within a batch at once, across batches after one shuffle by anchor.
 Segments that share an anchor but differ go to shards by their anchor, where all suffixes are
-sorted by external induced sorting (see induced) and neighbours in that order with a common
-prefix of a window are repeats. An anchor with very many different segments is cut further by
-the bytes that its windows have in common around it, so that no shard holds all of them.
+sorted by induced sorting (see induced) and neighbours in that order with a common prefix of a
+window are repeats. An anchor with very many different segments is not sorted: its windows are
+compared by 128-bit hashes, equal ones within a partition merged before they are shuffled, so
+no task gathers them however many documents hold a passage.
 
 Only hashes and places are shuffled for segments that stand once; the text of a document is
 fetched once for the segments to sort and once to cut what repeats.
@@ -28,10 +29,10 @@ from latemark.llm.frames import extended, free, kept, map_batches, quoted, whole
 from latemark.llm.induced import repeats
 
 GRAM = 48
-#: Different segments of one anchor above which it is cut by common bytes.
+#: Different segments of one anchor above which its windows are compared by hashes.
 CROWD = 2000
-#: Window starts of a crowded anchor that are dealt together.
-STEP = 8
+#: Different windows of crowded anchors that a task merges at a time.
+MERGED = 1 << 17
 #: Bytes sorted at once; anchors are not divided.
 SHARD = 256 << 10
 NO_ID = -(1 << 63)
@@ -78,40 +79,93 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
     return map_batches(texts, work, "anchor long, segment long, n long, id long, spot long")
 
 
+def _asked(wanted: DataFrame, texts: DataFrame) -> DataFrame:
+    asked = wanted.groupBy("id").agg(F.collect_list(F.struct("anchor", "spot", "pending")).alias("asked"))
+    return texts.join(asked, "id").select("id", "text", "asked")
+
+
+def _opened(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(id, text, anchor, first and last window start, pending) of each segment asked for."""
+    for id_, text, asked in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
+        for ask in asked:
+            first = ask["spot"] >> 16
+            yield id_, text, ask["anchor"], first, first + (ask["spot"] >> 8 & 0xFF), ask["pending"]
+
+
 def _fetched(wanted: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     """(shard, id, start, piece) of the wanted segments; start is null where only compared."""
-    asked = wanted.groupBy("id").agg(F.collect_list(F.struct("anchor", "spot", "pending", "crowd")).alias("asked"))
-    rows = texts.join(asked, "id").select("id", "text", "asked")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list, list, list] = ([], [], [], [])
             size = 0
-            for id_, text, asked_ in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
-                for ask in asked_:
-                    spot, anchor = ask["spot"], ask["anchor"]
-                    first = spot >> 16
-                    last, place = first + (spot >> 8 & 0xFF), first + (spot & 0xFF)
-                    parts = [(anchor, first, last)]
-                    if ask["crowd"]:
-                        parts = []
-                        for j in range((place - last) // STEP, (place - first) // STEP + 1):
-                            low, high = place - STEP * j - STEP + 1, place - STEP * j
-                            core = text[high:low + window]
-                            key = xxhash.xxh64_intdigest(core, anchor + j & 0xFFFFFFFFFFFFFFFF)
-                            parts.append((key - (1 << 63), max(low, first), min(high, last)))
-                    for key, start, end in parts:
-                        piece = text[start:end + window]
-                        size += len(piece)
-                        for column, value in zip(out, (key, id_, start if ask["pending"] else None, piece)):
-                            column.append(value)
+            for id_, text, anchor, first, last, pending in _opened(batch):
+                piece = text[first:last + window]
+                size += len(piece)
+                for column, value in zip(out, (anchor, id_, first if pending else None, piece)):
+                    column.append(value)
                 if size > 8 << 20:
                     yield _pieces(out)
                     out, size = ([], [], [], []), 0
             if out[0]:
                 yield _pieces(out)
 
-    return map_batches(rows, work, "shard long, id long, start long, piece binary")
+    return map_batches(_asked(wanted, texts), work, "shard long, id long, start long, piece binary")
+
+
+def _crowded_repeats(wanted: DataFrame, texts: DataFrame, window: int) -> DataFrame:
+    """(id, first, last): window starts of the wanted segments of crowded anchors that repeat.
+
+    A window that a task meets again is a repeat, whatever else there is: both places give a
+    row with n = 0, and the window goes on once with n = 2 to tell other tasks.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[bytes, list] = {}  # window -> times up to 2, id, start, pending
+        marks: list[tuple] = []
+
+        def told(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+            columns = list(zip(*rows)) if rows else [()] * 5
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "n", "id", "start", "pending"]
+            )
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            rows = [(key, *one) for key, one in met.items()]
+            for at in range(0, len(rows), 1 << 15):
+                yield told(rows[at:at + (1 << 15)])
+            met.clear()
+
+        for batch in batches:
+            for id_, text, anchor, first, last, pending in _opened(batch):
+                for start in range(first, last + 1):
+                    key = xxhash.xxh3_128_digest(text[start:start + window], anchor & 0xFFFFFFFFFFFFFFFF)
+                    one = met.get(key)
+                    if one is None:
+                        met[key] = [1, id_, start, pending]
+                        continue
+                    one[0] = 2
+                    if one[3]:
+                        marks.append((None, 0, one[1], one[2], True))
+                        one[3] = False
+                    if pending:
+                        marks.append((None, 0, id_, start, True))
+                if len(marks) > 1 << 15:
+                    yield told(marks)
+                    marks = []
+                if len(met) > MERGED:
+                    yield from flushed()
+        yield told(marks)
+        yield from flushed()
+
+    windows = kept(
+        map_batches(_asked(wanted, texts), work, "key binary, n long, id long, start long, pending boolean"), "windows"
+    )
+    same = Window.partitionBy("key")
+    later = windows.filter("n > 0").withColumn("times", F.sum("n").over(same)).filter("pending and times > 1")
+    found = windows.filter("n = 0").select("id", "start").unionByName(later.select("id", "start"))
+    return found.select("id", F.col("start").alias("first"), F.col("start").alias("last"))
 
 
 def _pieces(out) -> pa.RecordBatch:
@@ -122,7 +176,10 @@ def _pieces(out) -> pa.RecordBatch:
 
 
 def _sorted_repeats(pieces: DataFrame, window: int, memory: int) -> DataFrame:
-    """(id, first, last): runs of repeated window starts of the pending pieces."""
+    """(id, first, last): runs of repeated window starts of the pending pieces.
+
+    No anchor has more than ``CROWD`` pieces here, so rows gathered for one sort are bounded.
+    """
 
     def solved(rows: list) -> pa.RecordBatch:
         ids, firsts, lasts = [], [], []
@@ -180,8 +237,11 @@ def repeated_spans(texts: DataFrame, window: int = 200, memory: int = 64 << 20)
         "id", start.alias("first"), (start + F.shiftright("spot", 8).bitwiseAND(F.lit(255))).alias("last")
     )
     wanted = judged.filter("wanted").select("anchor", "id", "spot", "crowd", (~F.col("repeated")).alias("pending"))
-    found = kept(_sorted_repeats(_fetched(wanted, texts, window), window, memory), "repeats")
-    return whole_spans.unionByName(found)
+    few, many = wanted.filter("not crowd"), wanted.filter("crowd")
+    found = kept(_sorted_repeats(_fetched(few, texts, window), window, memory), "repeats")
+    if many.isEmpty():
+        return whole_spans.unionByName(found)
+    return whole_spans.unionByName(found).unionByName(_crowded_repeats(many, texts, window))
 
 
 def identified(docs: DataFrame, name: str) -> DataFrame:

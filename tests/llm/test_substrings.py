@@ -82,6 +82,29 @@ def test_against_brute_force(documents, prose, monkeypatch, crowd):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]]
 
 
+def test_passage_in_many_documents_is_never_gathered(documents, prose, monkeypatch, tmp_path):
+    monkeypatch.setattr(substrings, "CROWD", 20)
+    passage = prose(1, 90)
+    monkeypatch.setattr(substrings, "SHARD", 1)
+    texts = [prose(10 + i, 30) + " " + passage + " " + prose(5000 + i, 30) for i in range(400)]
+    log = tmp_path / "sizes"
+    log.touch()
+
+    def sorter(pieces, window, memory):
+        with open(log, "a") as out:
+            out.write(f"{len(pieces)}\n")
+        return induced.repeats(pieces, window, memory)
+
+    monkeypatch.setattr(substrings, "repeats", sorter)
+    rows = substrings.without_repeats(documents([*enumerate(texts), (400, prose(1, 60)), (401, prose(1, 55) + " x")]), window=200).collect()
+    texts += [prose(1, 60), prose(1, 55) + " x"]
+    sizes = [int(x) for x in log.read_text().split()]
+    want = brute([t.encode() for t in texts], 200)
+    for r in rows:
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]]
+    assert max(sizes, default=0) <= 100
+
+
 def test_awkward_rows(documents, awkward):
     docs = documents([(*a, i, "y") for i, a in enumerate(awkward)], "row int, __id string")
     found = substrings.without_repeats(docs, window=200)
