@@ -5,14 +5,15 @@ are sorted as tuples of packed symbols and named, and the names are sorted by re
 them the L suffixes
 are induced and from those the S suffixes. Induction runs in waves: the suffixes right before
 those placed last enter a priority queue as tuples (first symbol and rank of the next suffix,
-place), and one pass over the placed suffixes merges the queue into them. Queue and order
-live in memory up to a bound and in files of the task's own scratch folder beyond it, and are
-passed over in blocks.
+place), and one pass over the placed suffixes merges the queue into them. Text, ranks, queue
+and order together live in memory up to a bound and in files of the task's own scratch folder
+beyond it. Types, valleys and names are always in memory; what bounds them is the shard.
 """
 
 from __future__ import annotations
 
 import tempfile
+import weakref
 
 import numpy as np
 
@@ -22,20 +23,26 @@ BLOCK = 1 << 13
 
 
 class Scratch:
-    """Arrays in memory while ``memory`` bytes last, then in files that close with the block."""
+    """Arrays in memory while ``memory`` bytes last for all in use, then in files that close with the block."""
 
     def __init__(self, memory: int):
-        self.memory, self.folder, self.files = memory, None, 0
+        self.memory, self.folder, self.files, self.used = memory, None, 0, 0
 
     def array(self, size: int, kind=np.int64) -> np.ndarray:
         room = size * np.dtype(kind).itemsize
-        if room * 8 <= self.memory or not size:
-            return np.empty(size, kind)
+        if self.used + room <= self.memory or not size:
+            self.used += room
+            found = np.empty(size, kind)
+            weakref.finalize(found, self._back, room)  # views keep the array in use
+            return found
         if self.folder is None:
             self.folder = tempfile.TemporaryDirectory(prefix="induced-")
         self.files += 1
         return np.memmap(f"{self.folder.name}/{self.files}", kind, "w+", shape=(size,))
 
+    def _back(self, room: int) -> None:
+        self.used -= room
+
     def __enter__(self) -> Scratch:
         return self
 

@@ -47,6 +47,17 @@ def test_scratch_files_go():
     assert not os.path.exists(folder)
 
 
+def test_runs_of_a_queue_count_together():
+    with induced.Scratch(1 << 12) as scratch:
+        queue = induced.TupleQueue(scratch)
+        for k in range(40):  # 512 bytes each
+            queue.push(np.arange(32) * 40 + k, np.arange(32))
+        assert scratch.files == 32 and scratch.used == 1 << 12
+        assert list(queue.pop_until(None)[0]) == list(range(1280))
+        del queue
+        assert scratch.used == 0
+
+
 def test_queue_gives_ascending_tuples():
     with induced.Scratch(1 << 30) as scratch:
         queue = induced.TupleQueue(scratch)
