@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from latemark.session import scratch_path
+from latemark.session import remove_paths, scratch_path
 
 #: A key is hot when it has more than this share of the rows; so at most 256 keys are hot.
 HOT_PARTS = 256
@@ -23,7 +23,14 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once into the shared folder; what reads it survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.scratch = path
+    return found
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete kept tables of which all that reads them is written."""
+    remove_paths(tables[0].sparkSession, [t.scratch for t in tables])
 
 
 def whole(name: str = "text") -> Column:

@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 from latemark.llm import quality, toxicity
 from latemark.llm.decontamination import contaminations
 from latemark.llm.frames import table
+from latemark.llm.hard_negatives import hard_negatives
 from latemark.llm.labelled import held_out
+from latemark.llm.licenses import license_scan
+from latemark.llm.oracles import ORACLES
 from latemark.llm.order_minhash import edit_fingerprints
 from latemark.llm.packing import packed
 from latemark.llm.sharding import shard_rows
 from latemark.llm.simhash import near_duplicates
+from latemark.llm.spellings import spelling_variants
 from latemark.llm.substrings import without_repeats
 from latemark.llm.token_counts import token_counts
 from latemark.llm.url_filter import Rule, judged_urls
@@ -88,8 +92,24 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(docs, window=200).drop("text")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_toxicity, op2_sharding, op3_quality, op4_url_filter, op5_packing, op6_token_counts, op7_order_minhash, op8_decontamination, op9_simhash, op10_suffix_array)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
 
-#: None of the ten can be told in SQL that another engine would run with the same hashes,
-#: tokenizers or trained models; tests hold each against a brute-force version.
-ORACLES: dict[str, str] = {}
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+_ALL = (
+    op1_toxicity, op2_sharding, op3_quality, op4_url_filter, op5_packing, op6_token_counts, op7_order_minhash,
+    op8_decontamination, op9_simhash, op10_suffix_array, op11_hard_negatives, op12_license_scan, op13_spelling_variants,
+)
+QUERIES: dict[str, Query] = {q.__name__: q for q in _ALL}
+
+__all__ = ["ORACLES", "QUERIES"]

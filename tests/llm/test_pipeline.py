@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 
-DEALT = ["toxicity", "sharding", "quality", "url_filter", "packing", "token_counts", "order_minhash", "decontamination", "simhash", "suffix_array"]
+DEALT = ["toxicity", "sharding", "quality", "url_filter", "packing", "token_counts", "order_minhash", "decontamination", "simhash", "suffix_array", "hard_negatives", "license_scan", "spelling_variants"]
 
 
 def test_registered():
