@@ -11,11 +11,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latemark.llm import decontamination, overlap, packing, substrings, toxicity
+from latemark.llm import decontamination, packing, simhash, substrings, toxicity
 from latemark.llm.frames import free, kept, table
+from latemark.session import remove_paths, scratch_made
 
-#: Documents of at least this chance of being toxic go.
-TOXIC = 0.5
+#: Documents of at least this chance of being toxic go, as in op1_toxicity.
+TOXIC = 0.3
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -27,8 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: linked fingerprints, or 0.8 of five-word shingles."""
-    return overlap.without_near_copies(docs)
+    """One document of each group stays whose fingerprints of three-word shingles link at three bits."""
+    return simhash.without_near_duplicates(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +64,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage has put aside goes when its result is written."""
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = kept(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch_made() as paths:
+            docs = kept(stage(spark, docs, sf_dir), f"stage-{name}")
+        remove_paths(spark, last + [p for p in paths if p != docs.scratch])
+        last = [docs.scratch]
     return docs
