@@ -46,18 +46,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def scratch_made() -> Iterator[list[str]]:
+    """The scratch paths made in a block, for the caller to remove; an outer block knows them too."""
+    outer, paths = _made.get(), []
+    token = _made.set(paths)
+    try:
+        yield paths
+    finally:
+        _made.reset(token)
+        if outer is not None:
+            outer.extend(paths)
+
+
 def owning_scratch(run: Callable) -> Callable:
     """A job whose result lists the scratch paths that its frames read, in ``scratch``."""
 
     @wraps(run)
     def owned(*args, **kwargs):
-        token = _made.set([])
-        try:
+        with scratch_made() as paths:
             result = run(*args, **kwargs)
-            result.scratch = list(_made.get())
-            return result
-        finally:
-            _made.reset(token)
+        result.scratch = list(paths)
+        return result
 
     return owned
 
