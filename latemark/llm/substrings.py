@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from latemark.llm.anchors import segments
-from latemark.llm.frames import extended, free, kept, map_batches, quoted, whole, with_totals
+from latemark.llm.frames import extended, forget, free, kept, map_batches, quoted, whole, with_totals
 from latemark.llm.induced import repeats
 
 GRAM = 48
@@ -79,42 +79,43 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
     return map_batches(texts, work, "anchor long, segment long, n long, id long, spot long")
 
 
-def _asked(wanted: DataFrame, texts: DataFrame) -> DataFrame:
-    asked = wanted.groupBy("id").agg(F.collect_list(F.struct("anchor", "spot", "pending")).alias("asked"))
-    return texts.join(asked, "id").select("id", "text", "asked")
-
-
-def _opened(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """(id, text, anchor, first and last window start, pending) of each segment asked for."""
-    for id_, text, asked in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
-        for ask in asked:
-            first = ask["spot"] >> 16
-            yield id_, text, ask["anchor"], first, first + (ask["spot"] >> 8 & 0xFF), ask["pending"]
-
-
 def _fetched(wanted: DataFrame, texts: DataFrame, window: int) -> DataFrame:
-    """(shard, id, start, piece) of the wanted segments; start is null where only compared."""
+    """(shard, crowd, id, start, pending, piece) of the wanted segments, in one pass over the texts."""
+    asked = wanted.groupBy("id").agg(F.collect_list(F.struct("anchor", "crowd", "spot", "pending")).alias("asked"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [])
             size = 0
-            for id_, text, anchor, first, last, pending in _opened(batch):
-                piece = text[first:last + window]
-                size += len(piece)
-                for column, value in zip(out, (anchor, id_, first if pending else None, piece)):
-                    column.append(value)
-                if size > 8 << 20:
-                    yield _pieces(out)
-                    out, size = ([], [], [], []), 0
+            columns = (batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist())
+            for id_, text, asked in zip(*columns):
+                for ask in asked:
+                    first = ask["spot"] >> 16
+                    piece = text[first:first + (ask["spot"] >> 8 & 0xFF) + window]
+                    size += len(piece)
+                    for column, value in zip(out, (ask["anchor"], ask["crowd"], id_, first, ask["pending"], piece)):
+                        column.append(value)
+                    if size > 8 << 20:
+                        yield _pieces(out)
+                        out, size = ([], [], [], [], [], []), 0
             if out[0]:
                 yield _pieces(out)
 
-    return map_batches(_asked(wanted, texts), work, "shard long, id long, start long, piece binary")
+    return map_batches(texts.join(asked, "id").select("id", "text", "asked"), work, PIECES)
+
+
+PIECES = "shard long, crowd boolean, id long, start long, pending boolean, piece binary"
+
 
+def _pieces(out: tuple[list, ...]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(out, kinds)], names=[f.split()[0] for f in PIECES.split(", ")]
+    )
 
-def _crowded_repeats(wanted: DataFrame, texts: DataFrame, window: int) -> DataFrame:
-    """(id, first, last): window starts of the wanted segments of crowded anchors that repeat.
+
+def _crowded_repeats(pieces: DataFrame, window: int) -> DataFrame:
+    """(id, first, last): window starts of pending pieces of crowded anchors that repeat.
 
     A window that a task meets again is a repeat, whatever else there is: both places give a
     row with n = 0, and the window goes on once with n = 2 to tell other tasks.
@@ -138,19 +139,19 @@ def _crowded_repeats(wanted: DataFrame, texts: DataFrame, window: int) -> DataFr
             met.clear()
 
         for batch in batches:
-            for id_, text, anchor, first, last, pending in _opened(batch):
-                for start in range(first, last + 1):
-                    key = xxhash.xxh3_128_digest(text[start:start + window], anchor & 0xFFFFFFFFFFFFFFFF)
+            for anchor, id_, first, pending, piece in zip(*(c.to_pylist() for c in batch.columns)):
+                for at in range(len(piece) - window + 1):
+                    key = xxhash.xxh3_128_digest(piece[at:at + window], anchor & 0xFFFFFFFFFFFFFFFF)
                     one = met.get(key)
                     if one is None:
-                        met[key] = [1, id_, start, pending]
+                        met[key] = [1, id_, first + at, pending]
                         continue
                     one[0] = 2
                     if one[3]:
                         marks.append((None, 0, one[1], one[2], True))
                         one[3] = False
                     if pending:
-                        marks.append((None, 0, id_, start, True))
+                        marks.append((None, 0, id_, first + at, True))
                 if len(marks) > 1 << 15:
                     yield told(marks)
                     marks = []
@@ -159,20 +160,14 @@ def _crowded_repeats(wanted: DataFrame, texts: DataFrame, window: int) -> DataFr
         yield told(marks)
         yield from flushed()
 
-    windows = kept(
-        map_batches(_asked(wanted, texts), work, "key binary, n long, id long, start long, pending boolean"), "windows"
-    )
+    rows = pieces.select("shard", "id", "start", "pending", "piece")
+    windows = kept(map_batches(rows, work, "key binary, n long, id long, start long, pending boolean"), "windows")
     same = Window.partitionBy("key")
     later = windows.filter("n > 0").withColumn("times", F.sum("n").over(same)).filter("pending and times > 1")
     found = windows.filter("n = 0").select("id", "start").unionByName(later.select("id", "start"))
-    return found.select("id", F.col("start").alias("first"), F.col("start").alias("last"))
-
-
-def _pieces(out) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(out, kinds)], names=["shard", "id", "start", "piece"]
-    )
+    found = kept(found.select("id", F.col("start").alias("first"), F.col("start").alias("last")), "crowds")
+    forget(windows)
+    return found
 
 
 def _sorted_repeats(pieces: DataFrame, window: int, memory: int) -> DataFrame:
@@ -183,8 +178,8 @@ def _sorted_repeats(pieces: DataFrame, window: int, memory: int) -> DataFrame:
 
     def solved(rows: list) -> pa.RecordBatch:
         ids, firsts, lasts = [], [], []
-        for (_, id_, start, _), mask in zip(rows, repeats([r[3] for r in rows], window, memory)):
-            if start is not None and mask.any():
+        for (_, id_, start, pending, _), mask in zip(rows, repeats([r[4] for r in rows], window, memory)):
+            if pending and mask.any():
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
                 for a, b in zip(edges[::2], edges[1::2]):
                     ids.append(id_)
@@ -203,11 +198,11 @@ def _sorted_repeats(pieces: DataFrame, window: int, memory: int) -> DataFrame:
                     yield solved(rows)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[3])
+                size += len(row[4])
         if rows:
             yield solved(rows)
 
-    dealt = pieces.repartition("shard").sortWithinPartitions("shard")
+    dealt = pieces.select("shard", "id", "start", "pending", "piece").repartition("shard").sortWithinPartitions("shard")
     return map_batches(dealt, work, "id long, first long, last long")
 
 
@@ -223,7 +218,9 @@ def repeated_spans(texts: DataFrame, window: int = 200, memory: int = 64 << 20)
     judged = (
         cut.repartition("anchor")
         .withColumn("times", F.sum("n").over(same)).withColumn("differ", least != most)
-        .withColumn("crowd", F.count(F.lit(1)).over(anchor) > CROWD).withColumn("first", first == 1)
+        .withColumn("first", first == 1)
+        # different segments; a task may send a segment that others send as well
+        .withColumn("crowd", F.sum((known & F.col("first")).cast("int")).over(anchor) > CROWD)
         .filter((F.col("n") == 0) | (F.col("times") > 1) | F.col("differ"))
         .select(
             "anchor", "id", "spot", "crowd",
@@ -237,11 +234,13 @@ def repeated_spans(texts: DataFrame, window: int = 200, memory: int = 64 << 20)
         "id", start.alias("first"), (start + F.shiftright("spot", 8).bitwiseAND(F.lit(255))).alias("last")
     )
     wanted = judged.filter("wanted").select("anchor", "id", "spot", "crowd", (~F.col("repeated")).alias("pending"))
-    few, many = wanted.filter("not crowd"), wanted.filter("crowd")
-    found = kept(_sorted_repeats(_fetched(few, texts, window), window, memory), "repeats")
-    if many.isEmpty():
-        return whole_spans.unionByName(found)
-    return whole_spans.unionByName(found).unionByName(_crowded_repeats(many, texts, window))
+    pieces = kept(_fetched(wanted, texts, window), "pieces")
+    found = kept(_sorted_repeats(pieces.filter("not crowd"), window, memory), "repeats")
+    many = pieces.filter("crowd")
+    if not many.isEmpty():
+        found = found.unionByName(_crowded_repeats(many, window))
+    forget(pieces)
+    return whole_spans.unionByName(found)
 
 
 def identified(docs: DataFrame, name: str) -> DataFrame:
