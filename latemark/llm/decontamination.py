@@ -1,12 +1,14 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare seeds, then Smith-Waterman alignment.
 
 Benchmark items are taken in blocks of bounded size and every block meets all documents, so
-what is broadcast does not grow with the benchmark. All n-grams of an item are seeds, however
-many documents hold them, so how often an item leaked changes nothing. One pass over the
-documents finds the seeds in the words of each. An item is aligned only where enough of its
-words stand, in any order, to reach the similarity asked for; that leaves out no copy. There
-the stretch around the seeds and the item are aligned word by word; edited and paraphrased
-copies align with gaps and mismatches.
+what is broadcast does not grow with the benchmark. A copy may lack some words of its item, say
+k of them, and have any number put in; so no run of words is sure to stay, but of any k + 1
+words one is. The seeds of an item are its k + 1 rarest words, by how many documents hold each
+(n-grams of one word). How often an item leaked changes which words are rarest, never that a
+copy has one. One pass counts documents, one finds the seeds. An item is aligned only where
+enough of its words stand, in any order, to reach the similarity asked for; that leaves out no
+copy. There the stretch around the seeds and the item are aligned word by word; edited and
+paraphrased copies align with gaps and mismatches.
 """
 
 from __future__ import annotations
@@ -22,12 +24,11 @@ from pyspark.sql import functions as F
 
 from latemark.llm.frames import extended, free, map_batches, quoted, whole
 
-NGRAM = 3
 #: Share of an item's words that must align in their order.
 SIMILARITY = 0.8
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Words of benchmark text in one block.
-BLOCK_WORDS = 500_000
+#: Words that the benchmark text of one block can have, at one letter and one space a word.
+BLOCK_WORDS = 1_000_000
 WORD = re.compile(r"\w+")
 
 
@@ -43,21 +44,10 @@ def needed(length: int) -> int:
     return least if least / length >= SIMILARITY else least + 1
 
 
-def grams_of(words: list[str]) -> list[tuple[str, ...]]:
-    """The n-grams of an item, shorter where fewer words in a row are sure to stay in a copy.
-
-    Words that a copy may lack cut an item in one part more; the longest is left whole.
-    """
+def seed_places(words: list[str], counts: dict[str, int]) -> list[int]:
+    """The places of the rarest words of an item, one more than a copy may lack."""
     lost = len(words) - needed(len(words))
-    size = min(NGRAM, -(-(len(words) - lost) // (lost + 1)))
-    return [tuple(words[i:i + size]) for i in range(len(words) - size + 1)] if size else []
-
-
-def gram_places(words: list[str], wanted: dict, sizes: tuple[int, ...]) -> Iterator[tuple[int, tuple[str, ...]]]:
-    for size in sizes:
-        for place, gram in enumerate(zip(*(words[i:] for i in range(size)))):
-            if gram in wanted:
-                yield place, gram
+    return sorted(range(len(words)), key=lambda i: (counts.get(words[i], 0), words[i], i))[:lost + 1]
 
 
 def align(item: np.ndarray, part: np.ndarray) -> tuple[int, int, int, int]:
@@ -89,8 +79,11 @@ def align(item: np.ndarray, part: np.ndarray) -> tuple[int, int, int, int]:
 
 
 def _stretches(places: list[tuple[int, int]], length: int, total: int) -> list[tuple[int, int]]:
-    """Document stretches that an item of ``length`` words may cover, from (document, item) seed places."""
-    slack = 3 + length // 3
+    """Document stretches that an item of ``length`` words may cover, from (document, item) seed places.
+
+    An alignment above zero has no more than two gaps for each equal word.
+    """
+    slack = 2 * length
     spans = sorted((max(0, at - own - slack), min(total, at - own + length + slack)) for at, own in places)
     merged = [spans[0]]
     for low, high in spans[1:]:
@@ -112,14 +105,16 @@ def may_hold(have: Counter, bag: list[tuple[str, int]], lost: int) -> bool:
     return True
 
 
-def matches_in(words: list[str], items: list[list[str]], seeds: dict, bags: list, sizes: tuple[int, ...]) -> list[tuple[int, float, int, int, int, int]]:
+def matches_in(words: list[str], items: list[list[str]], seeds: dict, bags: list) -> list[tuple[int, float, int, int, int, int]]:
     """(item, similarity, score, equal words, first word, end) of every item that the words hold a copy of."""
     places: dict[int, list[tuple[int, int]]] = defaultdict(list)
     have: Counter = Counter()
     able: dict[int, bool] = {}
-    for at, gram in gram_places(words, seeds, sizes):
+    for at, word in enumerate(words):
+        if word not in seeds:
+            continue
         have = have or Counter(words)
-        for item, own in seeds[gram]:
+        for item, own in seeds[word]:
             if item not in able:
                 able[item] = may_hold(have, *bags[item])
             if able[item]:
@@ -145,43 +140,58 @@ def matches_in(words: list[str], items: list[list[str]], seeds: dict, bags: list
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, list[str]]]]:
     """The items, some ``BLOCK_WORDS`` words at a time; ties and nulls are items of their own."""
     items = benchmark.select("item_id", whole().alias("text"))
-    total = items.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0
+    # letters bound the words of any script
+    total = items.agg(F.sum(F.floor((F.length("text") + 1) / 2))).first()[0] or 0
     count = -(-total // BLOCK_WORDS)
     for block in range(count):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block).orderBy("item_id", "text")
         yield [(r["item_id"], words_of(r["text"])) for r in part.collect()]
 
 
-def seeds_of(items: list[list[str]]) -> dict[tuple[str, ...], list[tuple[int, int]]]:
-    """Where all n-grams of the items stand: gram -> (item, place)."""
-    seeds: dict[tuple[str, ...], list[tuple[int, int]]] = defaultdict(list)
+def seeds_of(items: list[list[str]], counts: dict[str, int]) -> dict[str, list[tuple[int, int]]]:
+    """Where the rarest words of the items stand: word -> (item, place)."""
+    seeds: dict[str, list[tuple[int, int]]] = defaultdict(list)
     for item, words in enumerate(items):
-        for place, gram in enumerate(grams_of(words)):
-            seeds[gram].append((item, place))
+        for place in seed_places(words, counts):
+            seeds[words[place]].append((item, place))
     return dict(seeds)
 
 
-def bags_of(items: list[list[str]]) -> list[tuple[list[tuple[str, int]], int]]:
-    """The words of each item with their numbers, those of fewest items first, and how many a copy may lack."""
-    bags = [Counter(words) for words in items]
-    spread = Counter(w for bag in bags for w in bag)
+def bags_of(items: list[list[str]], counts: dict[str, int]) -> list[tuple[list[tuple[str, int]], int]]:
+    """The words of each item with their numbers, the rarest first, and how many a copy may lack."""
     return [
-        (sorted(bag.items(), key=lambda x: (spread[x[0]], -x[1], x[0])), len(words) - needed(len(words)))
-        for bag, words in zip(bags, items)
+        (sorted(Counter(words).items(), key=lambda x: (counts.get(x[0], 0), -x[1], x[0])), len(words) - needed(len(words)))
+        for words in items
     ]
 
 
+def document_counts(docs: DataFrame, vocabulary: set[str]) -> dict[str, int]:
+    """How many of all documents hold each word of a bounded vocabulary; words of none are left out."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                met.update(shared.value.intersection(words_of(text)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(met), pa.string()), pa.array(list(met.values()), pa.int64())], names=["word", "n"]
+        )
+
+    counted = map_batches(docs.select(whole().alias("text")), work, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return {r["word"]: r["n"] for r in counted.collect()}
+
+
 def _matchers(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[list, Callable[[str], list]]]:
     """For each block: the ids of its items, and a function from a text to its matches."""
     for block in _blocks(benchmark):
         ids, items = [i for i, _ in block], [w for _, w in block]
-        seeds = seeds_of(items)
-        sizes = tuple(sorted({len(g) for g in seeds}))
-        shared = docs.sparkSession.sparkContext.broadcast((items, seeds, bags_of(items)))
+        counts = document_counts(docs, {w for words in items for w in words})
+        shared = docs.sparkSession.sparkContext.broadcast((items, seeds_of(items, counts), bags_of(items, counts)))
 
-        def matcher(text: str, shared=shared, sizes=sizes) -> list:
+        def matcher(text: str, shared=shared) -> list:
             items, seeds, bags = shared.value
-            return matches_in(words_of(text), items, seeds, bags, sizes)
+            return matches_in(words_of(text), items, seeds, bags)
 
         yield ids, matcher
 

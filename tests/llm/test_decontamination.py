@@ -84,14 +84,15 @@ def test_edited_copy_in_a_thousand_documents(spark, documents, prose):
 def test_word_counts_leave_out_no_copy():
     draw = random.Random(3)
     items = [[draw.choice("abcdefgh") for _ in range(draw.randint(1, 14))] for _ in range(40)]
-    seeds, bags = dec.seeds_of(items), dec.bags_of(items)
+    counts = {w: draw.randint(0, 9) for w in "abcdefgh"}
+    seeds, bags = dec.seeds_of(items, counts), dec.bags_of(items, counts)
     met = 0
     for _ in range(60):
         own = draw.choice(items)
         words = ["x", *own, "y"]
         for _ in range(len(own) - dec.needed(len(own))):
             words[draw.randrange(1, len(own) + 1)] = "z"
-        found = {m[0] for m in dec.matches_in(words, items, seeds, bags, (1, 2, 3))}
+        found = {m[0] for m in dec.matches_in(words, items, seeds, bags)}
         want = {i for i, it in enumerate(items) if dec.align(*coded(it, words))[1] >= dec.SIMILARITY * len(it)}
         # words changed near an end may leave the best local alignment too short
         assert found <= want and want & {items.index(own)} <= found
@@ -115,3 +116,45 @@ def test_awkward_rows(spark, documents, awkward):
     assert {r["row"] for r in clean.collect()} == {i for i, a in enumerate(awkward) if a[0] not in (1, 6) and a[1] != awkward[0][1]}
     assert dec.contaminations(documents([]), items).count() == 0
     assert dec.without_benchmark(docs, items.limit(0)).count() == len(awkward)
+
+
+def test_seeds_lose_nothing_to_unseeded_alignment(spark, documents, prose):
+    """Copies with words put in, left out and replaced at random, against every item with every document."""
+    draw = random.Random(31)
+    items = [prose(3000 + i, draw.choice([6, 15, 40])) for i in range(8)]
+    rows = [(0, prose(1, 60)), (1, " ".join(f"{w} foreign" for w in items[0].split())), (2, " ".join(f"{w} so" for w in prose(3002, 40).split()))]
+    for i in range(3, 90):
+        words = draw.choice(items).split()
+        for _ in range(draw.randint(0, len(words) // 4)):
+            kind, at = draw.randrange(3), draw.randrange(len(words))
+            words[at:at + 1] = [[], ["new"], [words[at], "more", "words"]][kind]
+        if i % 3 == 0:  # a foreign word after every second one
+            words = [x for k, w in enumerate(words) for x in ([w, f"f{k}"] if k % 2 else [w])]
+        rows.append((i, f"{prose(i, 30)} {' '.join(words)} {prose(i + 400, 30)}"))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = set()
+    for i, text in rows:
+        for n, item in enumerate(items):
+            one, many = coded(item.split(), text.split())
+            if dec.align(one, many)[1] >= dec.SIMILARITY * len(one):
+                want.add((i, n))
+    found = {(r["doc_id"], r["item_id"]) for r in dec.contaminations(documents(rows), benchmark).collect()}
+    assert len(want) > 50 and found >= want
+    assert all(dec.needed(len(items[n].split())) <= len(set(items[n].split()) & set(rows[i][1].split())) for i, n in found - want)
+
+
+def test_other_scripts_come_in_blocks(spark, documents, monkeypatch):
+    monkeypatch.setattr(dec, "BLOCK_WORDS", 60)
+    items = [" ".join(chr(0x430 + (i * 7 + k * k) % 32) * (1 + k % 3) for k in range(20)) for i in range(12)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    blocks = list(dec._blocks(benchmark))
+    assert len(blocks) > 4 and max(sum(len(w) for _, w in b) for b in blocks) < 240
+    found = dec.contaminations(documents([(i, f"so {t} на") for i, t in enumerate(items)]), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} >= {(i, i) for i in range(12)}
+
+
+def test_one_table_empty(spark, documents):
+    items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    docs = documents([(1, "one two three"), (2, "four")])
+    assert dec.contaminations(documents([]), items).count() == 0 and dec.without_benchmark(documents([]), items).count() == 0
+    assert dec.contaminations(docs, items.limit(0)).count() == 0 and dec.without_benchmark(docs, items.limit(0)).count() == 2
