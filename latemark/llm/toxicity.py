@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -171,8 +172,10 @@ def scored(docs: DataFrame, model: SentenceModel, score: str = "score", spans: s
                         if weight is None:
                             weight = known[word] = float(sum(weights[i] for i in features(word)))
                         z += weight
-                    hazard += float(np.logaddexp(0, z)) if z > -12 else 0.0
-                    if z > -5 and (chance := 1 / (1 + float(np.exp(-z)))) >= least:
+                    small = math.exp(-abs(z))
+                    hazard += max(z, 0.0) + math.log1p(small)
+                    chance = (1.0 if z > 0 else small) / (1.0 + small)
+                    if chance >= least:
                         where.append({"start": start, "end": end, "chance": chance})
                 chances.append(float(-np.expm1(-hazard)))
                 found.append(where)

@@ -72,3 +72,17 @@ def test_extra_columns_and_empty_tables(spark, planted, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_run_leaves_its_result_only(spark, planted):
+    from latemark.session import scratch_made
+
+    with scratch_made() as paths:
+        rows = corpus_pipeline.run(spark, planted[0])
+    there = {p for p in paths if _exists(spark, p)}
+    assert len(paths) > 10 and there == {rows.scratch} and rows.count() > 200
+
+
+def _exists(spark, name):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
