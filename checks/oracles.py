@@ -224,6 +224,50 @@ def _turned(expression: str) -> str:
     return f"1 - {expression}"
 
 
+NEWTON_FEATURES = ("dep_hour", "month", "day", "dayofweek")
+NEWTON_ROUNDS, NEWTON_DEPTH, NEWTON_RATE = 12, 6, 0.2
+
+
+def newton_sql() -> str:
+    """Trees grown level by level: histograms, running sums, best split of each node, leaves.
+
+    Gives ``state`` with the margin of each row after each round, ``splits`` and ``curve``.
+    """
+    steps = [f"""{CLEANED_SQL}, m0 AS MATERIALIZED (SELECT dep_hour, month, day, dayofweek, label, day % 5 = 0 AS valid, 0.0::DOUBLE AS margin
+        FROM (SELECT *, {CALENDAR_SQL} FROM cleaned))"""]
+    splits, curves = [], []
+    for t in range(NEWTON_ROUNDS):
+        steps.append(f"""n{t}_0 AS MATERIALIZED (SELECT *, 1 / (1 + exp(-margin)) - label AS g,
+            1 / (1 + exp(-margin)) * (1 - 1 / (1 + exp(-margin))) AS h, 0 AS node FROM m{t})""")
+        for d in range(NEWTON_DEPTH):
+            at = f"{t}_{d}"
+            cells = " UNION ALL ".join(
+                f"SELECT node, {i} AS f, {name} AS v, sum(g) AS g, sum(h) AS h FROM n{at} WHERE NOT valid AND node >= {2**d - 1} GROUP BY node, {name}"
+                for i, name in enumerate(NEWTON_FEATURES)
+            )
+            goes = " ".join(f"WHEN {i} THEN {name}" for i, name in enumerate(NEWTON_FEATURES))
+            steps.append(f"c{at} AS MATERIALIZED ({cells})")
+            steps.append(f"""r{at} AS (SELECT node, f, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl,
+                sum(g) OVER (PARTITION BY node, f) AS gs, sum(h) OVER (PARTITION BY node, f) AS hs FROM c{at} WINDOW w AS (PARTITION BY node, f ORDER BY v))""")
+            steps.append(f"""b{at} AS MATERIALIZED (SELECT node, f, v, round(gl * gl / (hl + 1) + (gs - gl) * (gs - gl) / (hs - hl + 1) - gs * gs / (hs + 1), 6) AS gain
+                FROM r{at} WHERE hl >= 1 AND hs - hl >= 1 AND gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1)""")
+            steps.append(f"""n{t}_{d + 1} AS MATERIALIZED (SELECT n.* REPLACE (CASE WHEN b.f IS NULL THEN n.node
+                ELSE 2 * n.node + 1 + CASE WHEN CASE b.f {goes} END <= b.v THEN 0 ELSE 1 END END AS node) FROM n{at} n LEFT JOIN b{at} b ON n.node = b.node)""")
+            splits.append(f"SELECT {t + 1} AS round, node, f, v, gain FROM b{at}")
+        steps.append(f"l{t} AS (SELECT node, -sum(g) / (sum(h) + 1) * {NEWTON_RATE} AS value FROM n{t}_{NEWTON_DEPTH} WHERE NOT valid GROUP BY node)")
+        steps.append(f"""m{t + 1} AS MATERIALIZED (SELECT dep_hour, month, day, dayofweek, label, valid, margin + value AS margin
+            FROM n{t}_{NEWTON_DEPTH} JOIN l{t} USING (node))""")
+        curves.append(f"""SELECT {t + 1} AS round, sum(neg * (above + pos / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM (
+            SELECT pos, neg, coalesce(sum(pos) OVER (ORDER BY m DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM (
+                SELECT round(margin, 9) AS m, sum(label) AS pos, sum(1 - label) AS neg FROM m{t + 1} WHERE valid GROUP BY 1))""")
+    steps.append("curve AS MATERIALIZED (" + " UNION ALL ".join(curves) + ")")
+    steps.append("best AS (SELECT round FROM curve ORDER BY auc DESC, round LIMIT 1)")
+    names = "[" + ", ".join(f"'{n}'" for n in NEWTON_FEATURES) + "]"
+    steps.append(f"splits AS MATERIALIZED (SELECT s.round, node, {names}[f + 1] AS feature, v, gain FROM (" + " UNION ALL ".join(splits) + ") s)")
+    steps.append("state AS (" + " UNION ALL ".join(f"SELECT {t} AS round, * FROM m{t}" for t in range(1, NEWTON_ROUNDS + 1)) + ")")
+    return "WITH " + ", ".join(steps)
+
+
 def oracles() -> dict[str, str]:
     legs_columns = ("year", "month", "day", "dayofweek", "carrier", "origin_id", "dest_id", "sched_hhmm",
                     "distance", "sched_elapsed", "taxi_out", "air_time", "delay", "cancelled", "diverted")
@@ -261,6 +305,13 @@ def oracles() -> dict[str, str]:
             for c, bad in ((c, {"origin_id": "count(*) FILTER (origin_id % 5 = 0)", "day": "count(*) FILTER (day = 31)"}.get(c, "CAST(0 AS BIGINT)"))
                            for c in legs_columns if c != "carrier")
         ),
+        "newton_splits": f"{newton_sql()} SELECT CAST(round AS INT) AS round, CAST(node AS INT) AS node, feature, CAST(v AS DOUBLE) AS cut, {r6('gain', 'gain')} FROM splits",
+        "newton_gains": f"""{newton_sql()}, names AS (SELECT unnest([{', '.join(f"'{n}'" for n in NEWTON_FEATURES)}]) AS feature)
+            SELECT feature, CAST(count(gain) AS INT) AS splits, {r6('coalesce(sum(gain), 0)', 'gain')},
+                   {r6('coalesce(sum(gain), 0) / (SELECT sum(gain) FROM splits)', 'importance')} FROM names LEFT JOIN splits USING (feature) GROUP BY feature""",
+        "newton_curve": f"{newton_sql()} SELECT CAST(round AS INT) AS round, {r6('auc', 'auc')} FROM curve",
+        "newton_scores": f"""{newton_sql()} SELECT dep_hour, month, day, dayofweek, label, {r6('1 / (1 + exp(-margin))', 'probability')},
+            CAST(1 / (1 + exp(-margin)) >= 0.5 AS INT) AS prediction FROM state JOIN best USING (round)""",
         "tree_split_sizes": f"""WITH {LEGS_SQL}, labelled AS (SELECT delay > 15 AS late, count(*) AS n FROM legs WHERE cancelled = 0
               AND diverted = 0 AND year >= 1995 AND NOT {LEFT_OUT} AND delay IS NOT NULL GROUP BY 1)
             SELECT CAST(sum(n - floor(n * 0.2 + 0.5)) AS BIGINT) AS learning_rows, CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) AS test_rows

@@ -39,7 +39,7 @@ from latemark.sources import (
 )
 from latemark.evaluation.documents import DOCUMENT_SCHEMA
 from latemark.training import (
-    GradientDescentLogit, class_weight, first_trees, gbt_stages, onehot_logit_stages, score_linear,
+    GradientDescentLogit, NewtonTrees, class_weight, first_trees, gbt_stages, onehot_logit_stages, score_linear,
 )
 from latemark.training.builtin import encoding_stages
 from latemark.training.descent import RowBlocks
@@ -762,6 +762,46 @@ def boosting_curve_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return only_ok(spark, abs(whole - last) < 1e-9 and 1 <= best_round(curve, 30) <= booster.getNumTrees)
 
 
+#: whole-numbered features, so that bins are values
+NEWTON_FEATURES = ("dep_hour", "month", "day", "dayofweek")
+NEWTON_ROUNDS, NEWTON_DEPTH, NEWTON_RATE = 12, 6, 0.2
+
+
+def _newton(spark: SparkSession, sf_dir: str, stop: bool):
+    """(model, all rows): rows of every fifth day are not learnt from; with ``stop`` they choose the round."""
+    rows = ops.add_calendar_features(staged(spark, sf_dir), ROLES).withColumn("held_back", F.col("day") % 5 == 0)
+    trees = NewtonTrees(
+        list(NEWTON_FEATURES), validationCol="held_back" if stop else None, maxIter=NEWTON_ROUNDS, depth=NEWTON_DEPTH,
+        stepSize=NEWTON_RATE, rowShare=1.0, featureShare=1.0,
+    )
+    return trees.fit(rows if stop else rows.filter(~F.col("held_back"))), rows
+
+
+@query
+def newton_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every split of the second-order trees with its gain, of all rounds."""
+    return rounded(_newton(spark, sf_dir, False)[0].splits(spark), "gain")
+
+
+@query
+def newton_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance of the features by the gain of all splits."""
+    return rounded(_newton(spark, sf_dir, False)[0].gains(spark))
+
+
+@query
+def newton_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC of the rows held back after every round."""
+    return rounded(_newton(spark, sf_dir, True)[0].curve(spark))
+
+
+@query
+def newton_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all rows by the round of the best AUC."""
+    model, rows = _newton(spark, sf_dir, True)
+    return rounded(model.transform(rows).select(*NEWTON_FEATURES, "label", "probability", "prediction"), "probability")
+
+
 @query
 def tree_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the tree job counts in all its parts, with trees grown on a share of them."""
