@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latemark.operators.aggregates import _SET_ID, KeyedTables
-from latemark.operators.lookup import BROADCAST_ROWS, lookup_join
+from latemark.operators.lookup import BROADCAST_ROWS, key_counts, lookup_join
 from latemark.session import checkpointed
 
 ROWS = "rows"
@@ -34,10 +34,12 @@ class LookupTable:
     table_rows: int
     total_rows: int
 
-    def join_to(self, df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    def join_to(
+        self, df: DataFrame, broadcast_rows: int = BROADCAST_ROWS, counted: DataFrame | None = None
+    ) -> DataFrame:
         return lookup_join(
             df, self.frame, self.key, self.values, self.table_rows, self.total_rows,
-            ROWS, broadcast_rows,
+            ROWS, broadcast_rows, counted,
         )
 
 
@@ -131,8 +133,10 @@ class TableModel(Model, MLReadable, MLWritable):
         self._set(broadcastRows=rows)
 
     def _joined(self, df: DataFrame) -> DataFrame:
-        for table in self.lookups.values():
-            df = table.join_to(df, self.broadcast_rows)
+        large = [k for k, t in self.lookups.items() if t.table_rows > self.broadcast_rows]
+        counts = key_counts(df, large) if large else {}
+        for key, table in self.lookups.items():
+            df = table.join_to(df, self.broadcast_rows, counts.get(key))
         return df
 
     def write(self) -> MLWriter:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
+from latemark.operators.aggregates import keyed_aggregates
 from latemark.session import checkpointed
 
 #: A lookup table of at most this many rows is broadcast.
@@ -26,6 +28,7 @@ def lookup_join(
     total_rows: int,
     rows_column: str = "rows",
     broadcast_rows: int = BROADCAST_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``values`` of ``table`` to every row of ``df``; null where the key is not there.
 
@@ -36,18 +39,20 @@ def lookup_join(
     knows them or not. Only the remaining keys are shuffled. Rows with a hot or null key take
     part in that shuffle under a key that matches nothing and spreads them by the task they
     come from and one narrow column, so no other column is read for it.
+
+    ``counted`` (key, _n, _all) are the numbers of rows of the keys of ``df`` where they are known
+    already; see ``key_counts`` for several keys at once.
     """
     slim = table.select(key, rows_column, *values)
     if table_rows <= broadcast_rows:
         return df.join(F.broadcast(slim.drop(rows_column)), on=key, how="left")
 
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    counted = checkpointed(counted)
-    total = counted.agg(F.sum("_n")).first()[0] or 0
-    heavy = counted.filter(F.col("_n") > total / tasks * HOT_MEANS).select(F.col(key).alias("_hot_key"))
+    if counted is None:
+        counted = key_counts(df, [key])[key]
+    heavy = counted.filter(F.col("_n") > F.col("_all") / tasks * HOT_MEANS).select(F.col(key).alias("_hot_key"))
     known = slim.select(F.col(key).alias("_known"), F.struct(*values).alias("_hot"))
-    hot = checkpointed(heavy.join(known, F.col("_hot_key") == F.col("_known"), "left").drop("_known"))
+    hot = heavy.join(known, F.col("_hot_key") == F.col("_known"), "left").drop("_known")
     marked = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
     aside = F.col(key).isNull() | F.col("_hot_key").isNotNull()
     narrow = min((f for f in df.schema.fields if f.name != key), key=_width, default=df.schema[key])
@@ -71,6 +76,22 @@ def lookup_join(
     return joined.select(key, *rest, *picked)
 
 
+def key_counts(df: DataFrame, keys: Sequence[str]) -> dict[str, DataFrame]:
+    """For each key column (key, _n, _all) without the null key, all from one scan of ``df``.
+
+    ``_n`` counts the rows of a key, ``_all`` those of all keys of the column.
+    Joined one after the other, lookups would count the rows of a frame that holds the joins
+    before; counts of the frame they start from are the same.
+    """
+    tables = keyed_aggregates(df.select(*keys), keys, _n=F.count(F.lit(1)))
+    tables.combined = checkpointed(tables.combined)
+    known = {k: tables.table(k).filter(F.col(k).isNotNull()) for k in keys}
+    sums = [t.select(F.lit(k).alias("k"), "_n") for k, t in known.items()]
+    rows = reduce(DataFrame.unionByName, sums).groupBy("k").agg(F.sum("_n").alias("n")).collect()  # one row per key
+    every = {r["k"]: r["n"] for r in rows}
+    return {k: t.withColumn("_all", F.lit(every.get(k, 0))) for k, t in known.items()}
+
+
 def _width(field: StructField) -> int:
     """Numbers with a fraction first: they differ most from row to row for their size."""
     order = ("double", "float", "bigint", "long", "timestamp", "date", "integer", "int")
