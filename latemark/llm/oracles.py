@@ -136,7 +136,48 @@ WITH RECURSIVE bits AS (
 SELECT word, form, root, n, n_near, form_n FROM judged JOIN roots USING (word)
 """
 
+SHARDING_SIZES = """
+SELECT doc_id, CAST(coalesce(strlen(text), 0) + 1 AS BIGINT) AS size, least(16, count(*) OVER ()) AS shards, true AS even, true AS gapless
+FROM documents
+"""
+
+URL_RULES = """
+WITH parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+    FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)
+), rules AS (
+    SELECT * FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) v(verdict, h, p)
+), fits AS (
+    SELECT page_id, h || p AS rule, verdict FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC) = 1
+)
+SELECT page_id, host, path, rule, verdict AS ruled FROM parts LEFT JOIN fits USING (page_id)
+"""
+
+#: Windows of 200 bytes by a hash of 64 bits, runs of covered bytes by gaps between them.
+REPEATS_REMOVED = """
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, strlen(coalesce(text, '')) AS n_bytes, hex(encode(coalesce(text, ''))) AS code FROM documents
+), windows AS (
+    SELECT r, here, hash(substr(code, 2 * here + 1, 400)) AS h FROM (SELECT r, code, unnest(range(n_bytes - 199)) AS here FROM texts WHERE n_bytes >= 200)
+), repeated AS (
+    SELECT r, here FROM windows QUALIFY count(*) OVER (PARTITION BY h) > 1
+), begun AS (
+    SELECT r, here, CASE WHEN here - lag(here) OVER (PARTITION BY r ORDER BY here) <= 200 THEN 0 ELSE 1 END AS fresh FROM repeated
+), spans AS (
+    SELECT r, span, max(here) + 200 - min(here) AS size FROM (SELECT r, here, sum(fresh) OVER (PARTITION BY r ORDER BY here) AS span FROM begun) GROUP BY r, span
+), removed AS (
+    SELECT r, sum(size) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r
+)
+SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans
+FROM texts LEFT JOIN removed USING (r)
+"""
+
 ORACLES: dict[str, str] = {
+    "sharding_sizes": SHARDING_SIZES,
+    "url_rules": URL_RULES,
+    "repeats_removed": REPEATS_REMOVED,
     "op11_hard_negatives": HARD_NEGATIVES,
     "op12_license_scan": _license_scan(),
     "op13_spelling_variants": SPELLINGS,

@@ -106,9 +106,37 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def sharding_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of the shards: sizes, and that rows are dealt evenly without gaps."""
+    rows = op2_sharding(spark, sf_dir)
+    shards = rows.groupBy("shard").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("slot").alias("slots"), F.min("slot").alias("least"), F.max("slot").alias("most")
+    )
+    told = shards.agg(
+        F.count(F.lit(1)).alias("shards"), (F.max("n") - F.min("n")).alias("apart"),
+        F.bool_and((F.col("n") == F.col("slots")) & (F.col("least") == 0) & (F.col("most") == F.col("n") - 1)).alias("gapless"),
+    ).first()
+    even = told["apart"] is not None and told["apart"] <= 1
+    return rows.select(
+        "doc_id", "size", F.lit(told["shards"]).cast("long").alias("shards"), F.lit(even).alias("even"), F.lit(told["gapless"]).alias("gapless")
+    )
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts and rules of all URLs, and the verdicts that rules give."""
+    verdict = F.when(F.col("rule").isNotNull(), F.col("verdict"))
+    return op4_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule", verdict.alias("ruled"))
+
+
+def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes, removed bytes and removed runs of all documents."""
+    return op10_suffix_array(spark, sf_dir).select("doc_id", "n_bytes", "n_removed", "n_spans")
+
+
 _ALL = (
     op1_toxicity, op2_sharding, op3_quality, op4_url_filter, op5_packing, op6_token_counts, op7_order_minhash,
     op8_decontamination, op9_simhash, op10_suffix_array, op11_hard_negatives, op12_license_scan, op13_spelling_variants,
+    sharding_sizes, url_rules, repeats_removed,
 )
 QUERIES: dict[str, Query] = {q.__name__: q for q in _ALL}
 
