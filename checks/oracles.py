@@ -391,6 +391,10 @@ def oracles() -> dict[str, str]:
               WHERE cancelled = 0 AND diverted = 0 AND year >= 1995 AND NOT {LEFT_OUT} AND delay IS NOT NULL GROUP BY 1)
             SELECT CASE WHEN late THEN '1' ELSE '0' END AS name, n AS support FROM tested
             UNION ALL SELECT name, CAST((SELECT sum(n) FROM tested) AS BIGINT) FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) v(name)""",
+        "newton_job": f"""WITH {LEGS_SQL}, tested AS (SELECT delay > 15 AS late, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS n FROM legs
+              WHERE cancelled = 0 AND diverted = 0 AND year >= 1995 AND NOT {LEFT_OUT} AND delay IS NOT NULL GROUP BY 1)
+            SELECT CASE WHEN late THEN '1' ELSE '0' END AS name, n AS support FROM tested
+            UNION ALL SELECT name, CAST((SELECT sum(n) FROM tested) AS BIGINT) FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) v(name)""",
         "tree_job_metrics_hold": LATE_OK,
         "hash_split": f"WITH {CLEANED_SQL} SELECT {ALL_CLEAN} FROM cleaned WHERE {POSITION} >= CAST(floor(0.8 * {PLACES}) AS BIGINT)",
         "hash_three_parts": f"""WITH {CLEANED_SQL} SELECT {part} AS part, label, count(*) AS rows,

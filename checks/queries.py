@@ -837,6 +837,13 @@ def tree_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_trees(spark, config, legs(spark, sf_dir)).report.select("name", "support")
 
 
+@query
+def newton_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job with second-order trees at its full size: rows of each class that the report rests on."""
+    config = TreeConfig(roles=ROLES, periods=PERIODS, positive_weight=None, second_order=True, patience=5)
+    return run_trees(spark, config, legs(spark, sf_dir)).report.select("name", "support")
+
+
 # ---- documents ---------------------------------------------------------------------
 
 @query

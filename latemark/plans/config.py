@@ -63,6 +63,10 @@ class TreeConfig(_Config):
     depth: int = 6
     row_share: float = 0.8
     feature_share: float = 0.8
+    #: trees by gradient and hessian, which end while training; features are drawn per tree
+    second_order: bool = False
+    #: L2 penalty of the leaves of second-order trees
+    penalty: float = 1.0
     #: None takes it from the training rows
     positive_weight: float | None = 4.9
     #: "auc": run all rounds, keep them up to the best validation auc; "loss": stop

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +25,7 @@ from latemark.plans.onehot import positive_probability
 from latemark.roles import FLIGHTS, LegRoles
 from latemark.session import held, owning_scratch
 from latemark.sources import restaged, save_model, write_table
-from latemark.training import gbt_stages, truncated
+from latemark.training import NewtonTrees, gbt_stages, truncated
 from latemark.training.weights import positive_weight
 
 LABEL = "is_delayed"
@@ -63,12 +63,28 @@ class TreeResult(RunResult):
     report: DataFrame
     importances: DataFrame
     auc_by_round: DataFrame
-    loss_by_round: DataFrame
+    #: None for second-order trees, which are judged by auc alone
+    loss_by_round: DataFrame | None
     curve: DataFrame
     comparison: DataFrame
     rounds_used: int
 
 
+@dataclass
+class Grown:
+    """Fitted stages behind the encoders, and how they came about."""
+
+    stages: list[Transformer]
+    rounds: int
+    optimizer: str
+    importances: DataFrame
+    auc_by_round: DataFrame
+    loss_by_round: DataFrame | None
+
+    def scored(self, df: DataFrame) -> DataFrame:
+        return positive_probability(df).drop("rawPrediction") if "rawPrediction" in df.columns else df
+
+
 def labelled_legs(df: DataFrame, config: TreeConfig) -> DataFrame:
     """Rows to learn from with calendar features and the label (strictly above the threshold)."""
     roles = config.roles
@@ -93,9 +109,41 @@ def fit_encoders(train: DataFrame, roles: LegRoles, imputed: Sequence[str]) -> l
     return stages
 
 
+def _first_order(spark: SparkSession, config: TreeConfig, features: list[str], learned: DataFrame) -> Grown:
+    """Spark's own boosting, cut to the best round; ``learned`` is held."""
+    on_loss = config.stop_on == "loss"
+    fitted = gbt_stages(
+        features, LABEL, "weight", "in_validation" if on_loss else None, config.rounds,
+        config.learning_rate, config.depth, config.row_share, config.feature_share, config.seed,
+    ).fit(learned if on_loss else learned.filter(~F.col("in_validation")))
+    assembler, booster = fitted.stages
+    validation = assembler.transform(learned.filter("in_validation"))
+    auc_by_round = training_curve(booster, validation, LABEL)
+    # bounded by the number of rounds; kept as rows so that the frames can be released
+    auc_by_round = spark.createDataFrame(auc_by_round.collect(), "round int, auc double")
+    loss_by_round = loss_curve(booster, validation)
+    # rounds build on each other, so cutting later equals having stopped there
+    used = booster.getNumTrees if on_loss else best_round(auc_by_round, config.patience)
+    booster = truncated(booster, used)
+    importances = feature_importances(spark, booster.featureImportances.toArray(), feature_names(validation))
+    return Grown([assembler, booster], used, "gradient boosting", importances, auc_by_round, loss_by_round)
+
+
+def _second_order(spark: SparkSession, config: TreeConfig, features: list[str], learned: DataFrame) -> Grown:
+    """Trees by gradient and hessian, grown until the validation auc no longer rises; ``learned`` is held."""
+    booster = NewtonTrees(
+        features, LABEL, "weight", "in_validation", config.rounds, config.learning_rate, config.depth,
+        config.penalty, rowShare=config.row_share, featureShare=config.feature_share, patience=config.patience, seed=config.seed,
+    ).fit(learned)
+    importances = booster.gains(spark).select("feature", "importance").orderBy("importance", "feature")
+    return Grown([booster], booster.scalars["rounds"], "second-order gradient boosting", importances, booster.curve(spark), None)
+
+
 @owning_scratch
 def run_trees(spark: SparkSession, config: TreeConfig, legs: DataFrame | None = None) -> TreeResult:
     """Train on the training part, stop on the validation part, report on the test part."""
+    if config.second_order and config.stop_on != "auc":
+        raise ValueError("second-order trees stop on auc")
     roles = config.roles
     imputed = roles.imputed if config.after_departure else ()
     features = tree_features(roles, config.after_departure)
@@ -128,31 +176,17 @@ def run_trees(spark: SparkSession, config: TreeConfig, legs: DataFrame | None =
     learning = grown_on.unionByName(rows.filter(F.col("part") == "validation"))
     in_validation = learning.withColumn("in_validation", F.col("part") == "validation")
     learned = add_class_weight(table(in_validation, "in_validation"), weight, LABEL)
-    on_loss = config.stop_on == "loss"
+    grow = _second_order if config.second_order else _first_order
     with held(learned):
-        fitted = gbt_stages(
-            features, LABEL, "weight", "in_validation" if on_loss else None, config.rounds,
-            config.learning_rate, config.depth, config.row_share, config.feature_share, config.seed,
-        ).fit(learned if on_loss else learned.filter(~F.col("in_validation")))
-        assembler, booster = fitted.stages
-        validation = assembler.transform(learned.filter("in_validation"))
-        auc_by_round = training_curve(booster, validation, LABEL)
-        # bounded by the number of rounds; kept as rows so that the frames can be released
-        auc_by_round = spark.createDataFrame(auc_by_round.collect(), "round int, auc double")
-        loss_by_round = loss_curve(booster, validation)
-    # rounds build on each other, so cutting later equals having stopped there
-    used = booster.getNumTrees if on_loss else best_round(auc_by_round, config.patience)
-
-    booster = truncated(booster, used)
-    model = PipelineModel([*encoders.stages, assembler, booster])
-    held_out = assembler.transform(table(test))
-    scored = positive_probability(booster.transform(held_out)).drop("rawPrediction")
+        grown = grow(spark, config, features, learned)
+    model = PipelineModel([*encoders.stages, *grown.stages])
+    scored = grown.scored(PipelineModel(grown.stages).transform(table(test)))
     with held(scores_only(scored, LABEL)) as scores:
         metrics, confusion = measured(scores)
         document = metrics_document(
-            spark, model="boosted_trees", optimizer="gradient boosting", encoding="target mean",
+            spark, model="boosted_trees", optimizer=grown.optimizer, encoding="target mean",
             split="stratified by content hash", mode=config.mode, input=config.input,
-            start_year=config.start_year, max_iter=used, learning_rate=config.learning_rate,
+            start_year=config.start_year, max_iter=grown.rounds, learning_rate=config.learning_rate,
             train_ratio=1.0 - config.test_share, seed=config.seed, train_rows=sizes["train"],
             validation_rows=sizes["validation"], test_rows=sizes["test"], exclude_covid=bool(config.periods), positive_weight=weight,
             feature_cols=features, confusion=confusion, **metrics,
@@ -162,16 +196,17 @@ def run_trees(spark: SparkSession, config: TreeConfig, legs: DataFrame | None =
         curve = pr_curve(scores, points=1000)
         curve = spark.createDataFrame(curve.collect(), curve.schema)  # about 1000 rows
         written = publish(config, config.mode, document, scores)
-    importances = feature_importances(spark, booster.featureImportances.toArray(), feature_names(held_out))
+    importances = grown.importances
     if config.output:
         tables = {
             "report": report, "importances": importances, "pr_curve": curve,
-            "auc_by_round": auc_by_round, "loss_by_round": loss_by_round,
+            "auc_by_round": grown.auc_by_round, "loss_by_round": grown.loss_by_round,
         }
+        tables = {name: t for name, t in tables.items() if t is not None}
         written |= {name: write_table(t, config.output, config.mode, name) for name, t in tables.items()}
         written["model"] = save_model(model, config.output, config.mode)
     return TreeResult(
         document, model, scored, written, accounting(spark, config, legs), malformed(spark, config),
-        report, importances, auc_by_round, loss_by_round, curve,
-        compare_models(document, config.baseline_auc), used,
+        report, importances, grown.auc_by_round, grown.loss_by_round, curve,
+        compare_models(document, config.baseline_auc), grown.rounds,
     )

@@ -2,8 +2,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from checks.legs import PERIODS, ROLES, legs
+from latemark.plans import TreeConfig, run_trees
+from latemark.plans.trees import labelled_legs
 from latemark.training import NewtonTrees, NewtonTreesModel
 from latemark.training.newton import Tree, best_splits, binned, cut_points
 
@@ -109,3 +113,23 @@ def test_bins_and_cuts(spark):
     assert few == [0.0, 1.0] and none == [] and len(many) <= 15 and 200 < many[0] < 500
     assert best_splits(np.zeros((2, 1, 1, 4)), np.array([0]), [[1.0, 2.0]], 1.0, 1.0) == [None]
     assert Tree.empty(2).nodes(np.zeros((1, 3), np.uint8)).tolist() == [0, 0, 0]
+
+
+def test_job_with_second_order_trees(spark, small, tmp_path):
+    config = TreeConfig(
+        roles=ROLES, periods=PERIODS, rounds=5, depth=3, positive_weight=None, second_order=True, after_departure=True,
+        output=str(tmp_path), baseline_auc=0.5,
+    )
+    raw = legs(spark, small)
+    run = run_trees(spark, config, raw)
+    row = run.document.first()
+    assert row["optimizer"] == "second-order gradient boosting" and row["max_iter"] == run.rounds_used <= 5
+    assert run.importances.count() == 20 and run.loss_by_round is None and "loss_by_round" not in run.written
+    curve = [r["auc"] for r in run.auc_by_round.orderBy("round").collect()]
+    assert curve[run.rounds_used - 1] == max(curve)
+    again = PipelineModel.load(run.written["model"])
+    rows = labelled_legs(raw, config)
+    one, other = (m.transform(rows).agg(F.sum("probability")).first()[0] for m in (run.model, again))
+    assert one == pytest.approx(other)
+    with pytest.raises(ValueError):
+        run_trees(spark, TreeConfig(roles=ROLES, periods=PERIODS, second_order=True, stop_on="loss", positive_weight=None), raw)
