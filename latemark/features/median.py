@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latemark.features.tables import ROWS, LookupTable, TableModel
+from latemark.operators.medians import exact_medians
 from latemark.session import checkpointed
 
 
@@ -32,19 +33,30 @@ class GroupMedianImputerModel(TableModel, HasInputCols, HasOutputCols, _HasKeyCo
         return self._joined(dataset).withColumns(filled).drop(*[f"{c}_median" for c in inputs])
 
 
+def _sketched(df: DataFrame, key: str, columns: list[str], accuracy: int) -> DataFrame:
+    """The shape of ``exact_medians`` from mergeable sketches, grouping sets in one pass."""
+    return df.groupingSets([[F.col(key)], []], F.col(key)).agg(
+        F.grouping_id().alias("_overall"),
+        F.count(F.lit(1)).alias(ROWS),
+        *[F.percentile_approx(c, 0.5, accuracy).alias(f"{c}_median") for c in columns],
+    )
+
+
 class GroupMedianImputer(
     Estimator, HasInputCols, HasOutputCols, _HasKeyCol, DefaultParamsReadable, DefaultParamsWritable
 ):
-    """Group and overall medians from one scan (grouping sets over mergeable sketches)."""
+    """Group and overall medians from one scan of the rows, exact unless ``accuracy`` is above 0."""
 
-    accuracy = Param(Params._dummy(), "accuracy", "medians have rank error 1 / accuracy", TypeConverters.toInt)
+    accuracy = Param(
+        Params._dummy(), "accuracy", "0: exact medians, else sketches with rank error 1 / accuracy", TypeConverters.toInt
+    )
 
     def __init__(
         self,
         inputCols: list[str] | None = None,
         outputCols: list[str] | None = None,
         keyCol: str = "route",
-        accuracy: int = 10000,
+        accuracy: int = 0,
     ):
         super().__init__()
         self._set(keyCol=keyCol, accuracy=accuracy)
@@ -54,14 +66,10 @@ class GroupMedianImputer(
     def _fit(self, dataset: DataFrame) -> GroupMedianImputerModel:
         key, inputs = self.getKeyCol(), self.getInputCols()
         medians = [f"{c}_median" for c in inputs]
-        combined = checkpointed(dataset.groupingSets([[F.col(key)], []], F.col(key)).agg(
-            F.grouping_id().alias("_overall"),
-            F.count(F.lit(1)).alias(ROWS),
-            *[
-                F.percentile_approx(c, 0.5, self.getOrDefault(self.accuracy)).alias(m)
-                for c, m in zip(inputs, medians)
-            ],
-        ))
+        accuracy = self.getOrDefault(self.accuracy)
+        combined = checkpointed(
+            _sketched(dataset, key, inputs, accuracy) if accuracy else exact_medians(dataset, key, inputs)
+        )
         table_rows = combined.filter(F.col("_overall") == 0).count()
         overall = combined.filter(F.col("_overall") == 1).first()
         frame = combined.filter((F.col("_overall") == 0) & F.col(key).isNotNull()).select(key, ROWS, *medians)

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from latemark.operators.medians import exact_medians
+
 _SET_ID = "_grouping"
 
 
@@ -69,12 +71,16 @@ def delay_rates(df: DataFrame, keys: Sequence[str], label: str = "label") -> Dat
 
 
 def group_medians(
-    df: DataFrame, key: str, columns: Sequence[str], accuracy: int = 10000
+    df: DataFrame, key: str, columns: Sequence[str], accuracy: int | None = None
 ) -> DataFrame:
     """Lower median of each column per key: the smallest value with half the rows at or below.
 
-    Sketched with rank error 1/accuracy, exact while a group has fewer distinct values.
+    Exact by default, see :func:`latemark.operators.medians.exact_medians`. An ``accuracy`` asks
+    for sketches with rank error 1/accuracy instead, in one pass.
     """
+    if accuracy is None:
+        medians = exact_medians(df, key, columns).filter(F.col("_overall") == 0)
+        return medians.select(key, *[f"{c}_median" for c in columns])
     return df.groupBy(key).agg(*[
         F.percentile_approx(c, 0.5, accuracy).alias(f"{c}_median") for c in columns
     ])

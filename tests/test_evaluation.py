@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from latemark.evaluation import (
-    best_round, binary_metrics, classification_report, confusion_matrix, pr_curve, ranking, ranking_metrics,
+    best_round, binary_metrics, classification_report, confusion_matrix, pr_curve, ranking_metrics,
 )
+from latemark.operators import buckets
 
 SCORED = "label int, probability double"
 
@@ -38,8 +39,8 @@ def brute_force(rows):
 @pytest.mark.parametrize("rows_per_bucket, intervals", [(1_000_000, 1024), (5, 8), (1, 1024)])
 @pytest.mark.parametrize("kind", ["ties", "fine", "narrow", "signed"])
 def test_any_bucketing_is_exact(spark, monkeypatch, rows_per_bucket, intervals, kind):
-    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", rows_per_bucket)
-    monkeypatch.setattr(ranking, "INTERVALS", intervals)
+    monkeypatch.setattr(buckets, "ROWS_PER_BUCKET", rows_per_bucket)
+    monkeypatch.setattr(buckets, "INTERVALS", intervals)
     rng = random.Random(5)
     draw = {
         "ties": lambda: rng.randrange(4) / 4, "fine": rng.random,
@@ -52,7 +53,7 @@ def test_any_bucketing_is_exact(spark, monkeypatch, rows_per_bucket, intervals,
 
 
 def test_one_score_holding_most_rows(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 10)
+    monkeypatch.setattr(buckets, "ROWS_PER_BUCKET", 10)
     rows = [(i % 3 == 0, 0.25) for i in range(400)] + [(i % 2 == 0, i / 100) for i in range(100)]
     rows = [(int(y), s) for y, s in rows]
     assert metrics(spark, rows)["auc"] == pytest.approx(brute_force(rows)[0])

@@ -1,9 +1,12 @@
+import random
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from latemark.features import FrequencyEncoder, GroupMedianImputer, TargetMeanEncoder, ZScore
-from latemark.operators import lookup_join
+from latemark.operators import buckets, lookup_join
+from latemark.operators.medians import exact_medians
 from latemark.session import checkpointed
 
 
@@ -162,3 +165,34 @@ def test_small_table_is_broadcast_and_large_is_not(skewed):
         return joined._jdf.queryExecution().executedPlan().toString()
 
     assert "SortMergeJoin" not in plan() and "SortMergeJoin" in plan(broadcast_rows=5)
+
+
+@pytest.mark.parametrize("rows_per_bucket, intervals", [(1_000_000, 1024), (3, 8), (1, 1024)])
+def test_medians_are_exact_for_any_bucketing(spark, monkeypatch, rows_per_bucket, intervals):
+    """A third of the rows on one key, nulls and NaN left out, whole numbers stay whole."""
+    monkeypatch.setattr(buckets, "ROWS_PER_BUCKET", rows_per_bucket)
+    monkeypatch.setattr(buckets, "INTERVALS", intervals)
+    drawn = random.Random(7)
+    rows = [
+        (
+            None if i % 50 == 0 else "hot" if i % 3 == 0 else f"k{i % 40}",
+            None if i % 7 == 0 else float("nan") if i % 11 == 0 else drawn.choice([-0.0, 0.0, drawn.gauss(0, 10), 1e9 + i]),
+            None if i % 40 == 1 else drawn.randrange(-5, 30),
+        )
+        for i in range(3000)
+    ]
+    found = exact_medians(spark.createDataFrame(rows, "k string, x double, n int"), "k", ["x", "n"])
+    assert dict(found.dtypes)["n_median"] == "int"
+    told = {(r["_overall"], r["k"]): (r["rows"], r["x_median"], r["n_median"]) for r in found.collect()}
+
+    def lower(values):
+        values = sorted(v for v in values if v is not None and v == v)
+        return values[(len(values) - 1) // 2] if values else None
+
+    groups = {(0, k): [r for r in rows if r[0] == k] for k in {r[0] for r in rows}} | {(1, None): rows}
+    assert told == {g: (len(m), lower(r[1] for r in m), lower(r[2] for r in m)) for g, m in groups.items()}
+
+
+def test_medians_of_an_empty_table(spark):
+    found = exact_medians(spark.createDataFrame([], "k string, x double"), "k", ["x"])
+    assert [tuple(r) for r in found.collect()] == [(1, None, 0, None)]
