@@ -220,6 +220,37 @@ def _index_joins() -> str:
     return " ".join(f"LEFT JOIN i_{c} ON CAST(test.{c} AS VARCHAR) = i_{c}.k" for c in CATEGORICAL)
 
 
+def newton_logit_sql(weighted: bool) -> str:
+    """Ten Newton steps; each solves the three equations by cofactors. ``optimum`` has b0, b1, b2."""
+    ratio = "(SELECT count(*) FILTER (label = 0) / CAST(count(*) FILTER (label = 1) AS DOUBLE) FROM train)" if weighted else "1.0"
+    return "WITH RECURSIVE " + SPLIT_SQL + f""",
+xy AS MATERIALIZED (SELECT label, sched_hhmm / CAST(2400 AS DOUBLE) AS x1, sched_elapsed / CAST(50 AS DOUBLE) AS x2,
+  CASE WHEN label = 1 THEN CAST({ratio} AS DOUBLE) ELSE 1.0 END AS rw FROM train),
+steps AS (
+  SELECT 0 AS step, CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1, CAST(0 AS DOUBLE) AS b2
+  UNION ALL
+  SELECT step + 1,
+    b0 - ((d*f - e*e) * g0 + (c*e - b*f) * g1 + (b*e - c*d) * g2) / det,
+    b1 - ((c*e - b*f) * g0 + (a*f - c*c) * g1 + (b*c - a*e) * g2) / det,
+    b2 - ((b*e - c*d) * g0 + (b*c - a*e) * g1 + (a*d - b*b) * g2) / det
+  FROM (SELECT *, a * (d*f - e*e) + b * (c*e - b*f) + c * (b*e - c*d) AS det FROM (
+    SELECT step, b0, b1, b2, sum(v) AS a, sum(v * x1) AS b, sum(v * x2) AS c, sum(v * x1 * x1) AS d,
+           sum(v * x1 * x2) AS e, sum(v * x2 * x2) AS f, sum(r) AS g0, sum(r * x1) AS g1, sum(r * x2) AS g2
+    FROM (SELECT *, rw * p * (1 - p) AS v, rw * (p - label) AS r
+          FROM (SELECT *, 1.0 / (1.0 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM steps, xy WHERE step < 10))
+    GROUP BY step, b0, b1, b2))
+),
+optimum AS (SELECT * FROM steps WHERE step = 10)"""
+
+
+def newton_logit_weights_sql(weighted: bool, places: int = 6) -> str:
+    lines = [
+        f"SELECT '{name}' AS feature, round({b}, {places}) + 0.0 AS weight FROM optimum"
+        for name, b in (("bias", "b0"), ("hhmm", "b1"), ("elapsed", "b2"))
+    ]
+    return newton_logit_sql(weighted) + "\n" + "\nUNION ALL ".join(lines)
+
+
 def _turned(expression: str) -> str:
     return f"1 - {expression}"
 
@@ -442,11 +473,20 @@ def oracles() -> dict[str, str]:
               {r6("sum(p / np * cp / (cp + cq))", "average_precision")}, CAST(max(np) AS BIGINT) AS positives,
               CAST(max(nq) AS BIGINT) AS negatives FROM curve JOIN ranksum USING (carrier) GROUP BY carrier""",
         "metrics_match_builtin": LATE_OK,
-        "string_index": _index_sql() + f""" SELECT test.carrier, test.dest_id, test.origin_id,
+        **dict.fromkeys(("string_index", "string_index_by_lookup"), _index_sql() + f""" SELECT test.carrier, test.dest_id, test.origin_id,
             CAST(coalesce(max(i_carrier.place), (SELECT max(width) FROM i_carrier)) AS DOUBLE) AS carrier_index,
             CAST(coalesce(max(i_origin_id.place), (SELECT max(width) FROM i_origin_id)) AS DOUBLE) AS origin_id_index,
             CAST(coalesce(max(i_dest_id.place), (SELECT max(width) FROM i_dest_id)) AS DOUBLE) AS dest_id_index,
-            count(*) AS rows FROM test {_index_joins()} GROUP BY test.carrier, test.dest_id, test.origin_id""",
+            count(*) AS rows FROM test {_index_joins()} GROUP BY test.carrier, test.dest_id, test.origin_id"""),
+        "one_hot_by_lookup": _index_sql() + " SELECT " + ", ".join(f"test.{c}" for c in CATEGORICAL) + ", "
+            + ", ".join(f"CAST(coalesce(i_{c}.place, -1) AS BIGINT) AS {c}_slot" for c in CATEGORICAL)
+            + f", count(*) AS rows FROM test {_index_joins()} GROUP BY ALL",
+        "newton_logit_weights": newton_logit_weights_sql(False),
+        "newton_logit_weighted": newton_logit_weights_sql(True),
+        "logit_coefficients": newton_logit_weights_sql(True, 4),
+        "newton_logit_scores": newton_logit_sql(True) + f""" SELECT label, sched_hhmm, {r6("sched_elapsed", "sched_elapsed")},
+            {r6("p", "probability")}, CAST(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS INT) AS prediction
+            FROM (SELECT test.*, 1.0 / (1.0 + exp(-(b0 + b1 * sched_hhmm / 2400.0 + b2 * sched_elapsed / 50.0))) AS p FROM test, optimum)""",
         "one_hot_slot": _index_sql() + f""" SELECT test.carrier, test.dest_id, CAST(coalesce(i_carrier.place, -1) AS BIGINT) AS carrier_slot,
             CAST(coalesce(i_dest_id.place, -1) AS BIGINT) AS dest_id_slot, count(*) AS rows FROM test {_index_joins()} GROUP BY ALL""",
         "assemble_features": _index_sql() + " SELECT " + ", ".join(r6(f"CAST({n} AS DOUBLE)", n) for n in NUMERIC) + f""",

@@ -39,7 +39,7 @@ from latemark.sources import (
 )
 from latemark.evaluation.documents import DOCUMENT_SCHEMA
 from latemark.training import (
-    GradientDescentLogit, NewtonTrees, class_weight, first_trees, gbt_stages, onehot_logit_stages, score_linear,
+    GradientDescentLogit, NewtonLogit, NewtonTrees, class_weight, first_trees, gbt_stages, onehot_logit_stages, score_linear,
 )
 from latemark.training.builtin import encoding_stages
 from latemark.training.descent import RowBlocks
@@ -595,6 +595,31 @@ def string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _by_lookup(spark: SparkSession, sf_dir: str):
+    split = split_legs(spark, sf_dir)
+    return Pipeline(stages=encoding_stages(CATEGORICAL, NUMERIC, by_lookup=True)).fit(split.train), split
+
+
+@query
+def string_index_by_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same places from ranked tables, joined as if none were small enough to broadcast."""
+    model, split = _by_lookup(spark, sf_dir)
+    model.stages[0].broadcast_rows = 0
+    indexed = model.stages[0].transform(split.test)
+    return indexed.groupBy("carrier", "dest_id", "origin_id").agg(
+        *[F.max(f"{c}_index").alias(f"{c}_index") for c in CATEGORICAL], F.count(F.lit(1)).alias("rows")
+    )
+
+
+@query
+def one_hot_by_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position of the 1 in the slots of every category, -1 for one not seen in training."""
+    model, split = _by_lookup(spark, sf_dir)
+    slots = [(F.array_position(vector_to_array(f"{c}_slots"), 1.0) - 1).alias(f"{c}_slot") for c in CATEGORICAL]
+    hot = model.transform(split.test).select(*CATEGORICAL, *slots)
+    return hot.groupBy(*hot.columns).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def one_hot_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of the 1 in the encoded vector, -1 for a category not seen in training."""
@@ -641,6 +666,49 @@ def logit_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return only_ok(spark, abs(found["bias"]) < 1e-6 and abs(found["slope"]) < 1e-6)
 
 
+NEWTON_LOGIT = {"hhmm": ("sched_hhmm", 2400), "elapsed": ("sched_elapsed", 50)}
+
+
+def _two_features(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({name: F.col(c) / size for name, (c, size) in NEWTON_LOGIT.items()})
+
+
+def _newton_logit(spark: SparkSession, sf_dir: str, weighted: bool):
+    split = split_legs(spark, sf_dir)
+    train = ops.add_class_weight(split.train, class_weight(split.train)) if weighted else split.train
+    logit = NewtonLogit(list(NEWTON_LOGIT), weightCol="weight" if weighted else None)
+    return logit.fit(_two_features(train)), _two_features(split.test)
+
+
+@query
+def newton_logit_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _coefficients(spark, _newton_logit(spark, sf_dir, False)[0])
+
+
+@query
+def newton_logit_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _coefficients(spark, _newton_logit(spark, sf_dir, True)[0])
+
+
+@query
+def newton_logit_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = _newton_logit(spark, sf_dir, True)
+    return rounded(model.transform(test).select("label", "sched_hhmm", "sched_elapsed", "probability", "prediction"))
+
+
+@query
+def logit_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The optimum that L-BFGS finds, weighted, to four places."""
+    train = split_legs(spark, sf_dir).train
+    train = _two_features(ops.add_class_weight(train, class_weight(train)))
+    logit = onehot_logit_stages(CATEGORICAL, NUMERIC, "weight", max_iter=200).getStages()[-1].setTol(1e-12)
+    assembler = VectorAssembler(inputCols=list(NEWTON_LOGIT), outputCol="features")
+    found = Pipeline(stages=[assembler, logit]).fit(train).stages[-1]
+    rows = [("bias", found.intercept), *zip(NEWTON_LOGIT, found.coefficients.toArray().tolist())]
+    lines = spark.createDataFrame(rows, "feature string, weight double")
+    return lines.select("feature", (F.round("weight", 4) + F.lit(0.0)).alias("weight"))
+
+
 @query
 def onehot_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = OneHotConfig(roles=ROLES, periods=PERIODS, start_year=START_YEAR)

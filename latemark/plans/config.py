@@ -43,6 +43,8 @@ class OneHotConfig(_Config):
     seed: int = 42
     #: rows the class weight is taken from: "train", or "all" to include the test rows
     weight_scope: str = "train"
+    #: index categories by joined tables instead of labels in the driver, for very many labels
+    by_lookup: bool = False
 
 
 @dataclass(kw_only=True)

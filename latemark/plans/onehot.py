@@ -41,7 +41,8 @@ def run_onehot(spark: SparkSession, config: OneHotConfig, legs: DataFrame | None
 
     train = add_class_weight(cleaned.filter(F.col("part") == "train"), weight)
     stages = onehot_logit_stages(
-        roles.categorical, roles.numeric, "weight" if weighted else None, config.max_iter
+        roles.categorical, roles.numeric, "weight" if weighted else None, config.max_iter,
+        by_lookup=config.by_lookup,
     )
     model = stages.fit(train)
     raw_scores = model.transform(cleaned.filter(F.col("part") == "test").drop("part"))

@@ -10,15 +10,24 @@ from pyspark.ml.pipeline import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-def encoding_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
+from latemark.features.index import RankedIndexer
+
+
+def encoding_stages(categorical: Sequence[str], numeric: Sequence[str], by_lookup: bool = False) -> list:
     """Index, one-hot encode and assemble; unseen categories become all zeros.
 
-    One indexer serves all columns, so their labels are counted in a single job.
+    One indexer serves all columns, so their labels are counted in a single job. The indexer is
+    Spark's own, whose labels name the slots but pass through the driver; ``by_lookup`` takes
+    one that keeps them in tables and joins them, and slots are named by place.
     """
     indexed = [f"{c}_index" for c in categorical]
     slots = [f"{c}_slots" for c in categorical]
+    if by_lookup:
+        indexer = RankedIndexer(list(categorical), indexed)
+    else:
+        indexer = StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep")
     return [
-        StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"),
+        indexer,
         OneHotEncoder(inputCols=indexed, outputCols=slots),
         VectorAssembler(inputCols=[*slots, *numeric], outputCol="features", handleInvalid="keep"),
     ]
@@ -30,12 +39,13 @@ def onehot_logit_stages(
     weight: str | None = None,
     max_iter: int = 20,
     label: str = "label",
+    by_lookup: bool = False,
 ) -> Pipeline:
     """One-hot encoding and L-BFGS logistic regression; ``weight`` names a weight column."""
     logit = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter)
     if weight:
         logit = logit.setWeightCol(weight)
-    return Pipeline(stages=[*encoding_stages(categorical, numeric), logit])
+    return Pipeline(stages=[*encoding_stages(categorical, numeric, by_lookup), logit])
 
 
 def gbt_stages(

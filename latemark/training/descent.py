@@ -115,8 +115,11 @@ class RowBlocks:
 
     def gradient_sums(self, weights: Sequence[float], bias: float) -> list[float]:
         """Gradient sum of every weight, then of the bias, added up in a tree."""
-        partial = self._blocks.mapPartitions(_gradient(weights, bias))
-        return partial.treeReduce(lambda a, b: a + b).tolist()
+        return self.summed(_gradient(weights, bias)).tolist()
+
+    def summed(self, per_task: Callable[[Iterator], Iterator]):
+        """One array a task from its blocks, added up in a tree."""
+        return self._blocks.mapPartitions(per_task).treeReduce(lambda a, b: a + b)
 
 
 class GradientDescentLogitModel(TableModel, HasInputCols):
