@@ -58,7 +58,7 @@ CATEGORICAL = ("carrier", "origin_id", "dest_id")
 FEATURES = (*NUMERIC, *[f"{c}_freq" for c in CATEGORICAL])
 WEIGHTS = (0.1, -0.2, 0.05, 0.0, 0.3, -0.1, 0.02, 0.2, -0.05, 0.15)
 BIAS = -0.4
-STEPS, RATE = 20, 0.1
+STEPS, RATE = 100, 0.1
 
 
 def r6(expression: str, alias: str) -> str:
@@ -205,7 +205,20 @@ LATE_OK = "SELECT true AS ok"
 FLIGHT_COLUMNS = f"""year, month, day, dayofweek, carrier AS airline, CAST(origin_id AS INT) AS origin_airport_id,
   dest_id AS dest_airport_id, {r6("delay", "departure_delay")}, {r6("delay", "departure_delay_mins")},
   {r6("taxi_out", "taxi_out")}, {r6("sched_elapsed", "scheduled_elapsed_time")}, {r6("air_time", "air_time")},
-  {r6("distance", "distance")}, cancelled, diverted, sched_hhmm AS crsdeptime, CAST(NULL AS VARCHAR) AS tail_number"""
+  {r6("distance", "distance")}, cancelled, diverted, sched_hhmm AS crsdeptime"""
+# columns of the raw file that legs do not have
+EMPTY_COLUMNS = {
+    "VARCHAR": (
+        "formatted_date", "flight_number", "tail_number", "iata_code_reporting_airline", "departure_time_hhmm",
+        "wheels_off_hhmm", "wheels_on_hhmm", "scheduled_arrival_hhmm", "arrival_time_hhmm", "cancellation_code",
+        "crs_dep_time_hhmm", "crs_dep_time",
+    ),
+    "DOUBLE": (
+        "elapsed_time", "taxi_in", "arrival_delay", "arrival_delay_mins", "airline_delay", "weather_delay",
+        "air_system_delay", "security_delay", "late_aircraft_delay",
+    ),
+}
+FLIGHT_COLUMNS += "".join(f", CAST(NULL AS {kind}) AS {c}" for kind, names in EMPTY_COLUMNS.items() for c in names)
 
 
 def _index_sql() -> str:
@@ -220,6 +233,32 @@ def _index_joins() -> str:
     return " ".join(f"LEFT JOIN i_{c} ON CAST(test.{c} AS VARCHAR) = i_{c}.k" for c in CATEGORICAL)
 
 
+FOLD_COLUMNS = ("year", "month", "day", "carrier", "origin_id", "dest_id", "sched_hhmm")
+
+
+def _out_of_fold_sql(rows: str, training: bool) -> str:
+    """Sums per key over all rows less those of the row's fold; 20 rows of the overall mean on top."""
+    digest = "md5(concat_ws('|', '42', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in FOLD_COLUMNS) + "))"
+    fold = f"CAST('0x' || substr({digest}, 1, 8) AS BIGINT) % 5"
+    tables = "".join(
+        f",\nn_{k} AS (SELECT {k} AS k, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS s FROM folded GROUP BY {k}),"
+        f"\no_{k} AS (SELECT {k} AS k, fold AS of, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS s"
+        f" FROM folded GROUP BY {k}, fold)" for k in RATES
+    )
+    joins = " ".join(f"LEFT JOIN n_{k} ON r.{k} = n_{k}.k LEFT JOIN o_{k} ON r.{k} = o_{k}.k AND o_{k}.of = r.fold" for k in RATES)
+    prior = "(base.s - coalesce(own.s, 0)) / (base.n - coalesce(own.n, 0))"
+    columns = ", ".join(r6(
+        f"(coalesce(n_{k}.s, 0) - coalesce(o_{k}.s, 0) + 20 * {prior}) / (coalesce(n_{k}.n, 0) - coalesce(o_{k}.n, 0) + 20)", name
+    ) for k, name in RATES.items())
+    own = ", ".join(f"r.{c}" for c in FOLD_COLUMNS) + (", r.label AS is_delayed" if training else "")
+    return "WITH " + TREE_PARTS_SQL + f""",
+folded AS MATERIALIZED (SELECT *, {fold} AS fold FROM ctrain){tables},
+base AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS s FROM folded),
+own AS (SELECT fold AS of, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS s FROM folded GROUP BY fold),
+r AS (SELECT *, {fold if training else "-1"} AS fold FROM {rows})
+SELECT {own}, {r6("distance", "distance")}, {columns} FROM r CROSS JOIN base LEFT JOIN own ON own.of = r.fold {joins}"""
+
+
 def newton_logit_sql(weighted: bool) -> str:
     """Ten Newton steps; each solves the three equations by cofactors. ``optimum`` has b0, b1, b2."""
     ratio = "(SELECT count(*) FILTER (label = 0) / CAST(count(*) FILTER (label = 1) AS DOUBLE) FROM train)" if weighted else "1.0"
@@ -336,6 +375,15 @@ def oracles() -> dict[str, str]:
             for c, bad in ((c, {"origin_id": "count(*) FILTER (origin_id % 5 = 0)", "day": "count(*) FILTER (day = 31)"}.get(c, "CAST(0 AS BIGINT)"))
                            for c in legs_columns if c != "carrier")
         ),
+        "malformed_rows": f"""WITH {LEGS_SQL}, misfits AS (
+              SELECT 'origin_id' AS "column", CAST(origin_id AS VARCHAR) || '.5' AS entry, * FROM legs WHERE origin_id % 5 = 0
+              UNION ALL SELECT 'day', 'last', * FROM legs WHERE day = 31)
+            SELECT "column", entry, year, month, CASE WHEN day <> 31 THEN day END AS day,
+              CASE WHEN origin_id % 5 <> 0 THEN origin_id END AS origin_id, sched_hhmm, {r6("distance", "distance")},
+              CAST({len(legs_columns)} AS INT) AS entries, true AS told_file FROM misfits""",
+        "accepted_rows": f"WITH {LEGS_SQL} SELECT {picked(legs_columns)} FROM legs WHERE origin_id % 5 <> 0 AND day <> 31",
+        "target_mean_out_of_fold": _out_of_fold_sql("ctrain", True),
+        "target_mean_smoothed": _out_of_fold_sql("ctest", False),
         "newton_splits": f"{newton_sql()} SELECT CAST(round AS INT) AS round, CAST(node AS INT) AS node, feature, CAST(v AS DOUBLE) AS cut, {r6('gain', 'gain')} FROM splits",
         "newton_gains": f"""{newton_sql()}, names AS (SELECT unnest([{', '.join(f"'{n}'" for n in NEWTON_FEATURES)}]) AS feature)
             SELECT feature, CAST(count(gain) AS INT) AS splits, {r6('coalesce(sum(gain), 0)', 'gain')},

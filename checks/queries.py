@@ -26,7 +26,9 @@ from latemark.evaluation import (
     rank_statistics, ranking_metrics, roc_auc, training_curve,
 )
 from latemark.evaluation.curves import feature_names
-from latemark.features import FrequencyEncoder, GroupMedianImputer, TargetMeanEncoder, ZScore
+from latemark.features import (
+    FrequencyEncoder, GroupMedianImputer, OutOfFoldTargetMeanEncoder, TargetMeanEncoder, ZScore,
+)
 from latemark.functions import route_key
 from latemark.plans import DescentConfig, OneHotConfig, TreeConfig, run_descent, run_onehot, run_trees
 from latemark.plans.common import measured
@@ -34,7 +36,7 @@ from latemark.plans.onehot import positive_probability
 from latemark.plans.trees import LABEL, fit_encoders, labelled_legs, rate_columns, tree_features
 from latemark.session import held, scratch_path
 from latemark.sources import (
-    load_model, malformed_entries, read_legs, read_metrics, read_sample, read_staged, restaged, save_model, stage_legs,
+    load_model, malformed_entries, quarantined_legs, read_legs, read_metrics, read_sample, read_staged, restaged, save_model, stage_legs,
     write_confusion, write_metrics, write_predictions, write_sample,
 )
 from latemark.evaluation.documents import DOCUMENT_SCHEMA
@@ -48,7 +50,7 @@ from latemark.training.weights import positive_weight
 Query = Callable[[SparkSession, str], DataFrame]
 
 RATIO, SEED = 0.8, 42
-STEPS, RATE = 20, 0.1
+STEPS, RATE = 100, 0.1
 CATEGORICAL, NUMERIC = list(ROLES.categorical), list(ROLES.numeric)
 FREQUENCIES = [f"{c}_freq" for c in CATEGORICAL]
 FEATURES = [*NUMERIC, *FREQUENCIES]
@@ -125,13 +127,32 @@ def read_csv_decimal_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def malformed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries that do not fit: every fifth supplier number gets a fraction, some days a word."""
+    return malformed_entries(spark, _spoilt(spark, sf_dir), types=LEG_TYPES)
+
+
+def _spoilt(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "legs-malformed")
     spoilt = legs(spark, sf_dir).select(*LEG_TYPES).withColumns({
         "origin_id": F.when(F.col("origin_id") % 5 == 0, F.col("origin_id") + 0.5).otherwise(F.col("origin_id")),
         "day": F.when(F.col("day") == 31, F.lit("last")).otherwise(F.col("day").cast("string")),
     })
     spoilt.write.option("header", True).option("nullValue", "NA").csv(path)
-    return malformed_entries(spark, path, types=LEG_TYPES)
+    return path
+
+
+@query
+def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entry that does not fit, with what else its row tells."""
+    rejected = quarantined_legs(spark, _spoilt(spark, sf_dir), types=LEG_TYPES).rejected
+    return rounded(rejected.select(
+        F.inline("misfits"), "year", "month", "day", "origin_id", "sched_hhmm", "distance",
+        F.size(F.split("line", ",")).alias("entries"), F.contains("file", F.lit("legs-malformed")).alias("told_file"),
+    ))
+
+
+@query
+def accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(quarantined_legs(spark, _spoilt(spark, sf_dir), types=LEG_TYPES).accepted)
 
 
 @query
@@ -139,12 +160,7 @@ def read_csv_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "flights-csv")
     flights = as_flights(legs(spark, sf_dir))
     flights.write.option("header", True).option("nullValue", "NA").csv(path)
-    known = [
-        "year", "month", "day", "dayofweek", "airline", "origin_airport_id", "dest_airport_id",
-        "departure_delay", "departure_delay_mins", "taxi_out", "scheduled_elapsed_time",
-        "air_time", "distance", "cancelled", "diverted", "crsdeptime", "tail_number",
-    ]
-    return rounded(read_legs(spark, path, strict=True).select(*known))
+    return rounded(read_legs(spark, path, strict=True))
 
 
 @query
@@ -208,7 +224,7 @@ def predictions_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def model_reload_same(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = split_legs(spark, sf_dir)
-    stages = onehot_logit_stages(CATEGORICAL, NUMERIC, max_iter=5)
+    stages = onehot_logit_stages(CATEGORICAL, NUMERIC)
     model = stages.fit(split.train)
     again = load_model(save_model(model, scratch_path(spark, "run"), "baseline"))
     first = positive_probability(model.transform(split.test)).select(
@@ -382,6 +398,27 @@ def target_mean_encode_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _target_means(spark, sf_dir, 0)
 
 
+FOLD_COLUMNS = ["year", "month", "day", "carrier", "origin_id", "dest_id", "sched_hhmm"]
+
+
+def _out_of_fold(train: DataFrame):
+    return OutOfFoldTargetMeanEncoder(list(RATES), list(RATES.values()), LABEL, foldCols=FOLD_COLUMNS).fit(train)
+
+
+@query
+def target_mean_out_of_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows, rated without the rows of their own fold."""
+    train = _tree_parts(spark, sf_dir).train
+    return rounded(_out_of_fold(train).transform_training(train).select(*FOLD_COLUMNS, "distance", LABEL, *RATES.values()))
+
+
+@query
+def target_mean_smoothed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows, rated by all training rows."""
+    split = _tree_parts(spark, sf_dir)
+    return rounded(_out_of_fold(split.train).transform(split.test).select(*FOLD_COLUMNS, "distance", *RATES.values()))
+
+
 @query
 def median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = _tree_parts(spark, sf_dir)

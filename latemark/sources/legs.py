@@ -95,6 +95,25 @@ def _header(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
     return spark.read.option("header", True).option("inferSchema", False).csv(paths).columns
 
 
+def bound_columns(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None, types: dict[str, str], strict: bool
+) -> tuple[dict[str, str], list[str]]:
+    """(name as written by canonical name, in file order; names asked for), checked against the header."""
+    header = _header(spark, path)
+    by_name: dict[str, str] = {}
+    for written in header:
+        canonical = written.strip().lower()
+        if canonical in by_name:
+            raise ValueError(f"column {canonical!r} appears twice in the header")
+        by_name[canonical] = written
+    wanted = [c.lower() for c in columns] if columns else [c for c in types if c in by_name]
+    needed = set(wanted) | (set(types) if strict else set())
+    missing = sorted(needed - set(by_name))
+    if missing:
+        raise ValueError(f"columns missing from {path}: {', '.join(missing)}")
+    return by_name, wanted
+
+
 def read_legs(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -115,19 +134,7 @@ def read_legs(
     (default: all known ones found in the header) are needed.
     """
     types = RAW_TYPES if types is None else types
-    header = _header(spark, path)
-    by_name: dict[str, str] = {}
-    for written in header:
-        canonical = written.strip().lower()
-        if canonical in by_name:
-            raise ValueError(f"column {canonical!r} appears twice in the header")
-        by_name[canonical] = written
-    wanted = [c.lower() for c in columns] if columns else [c for c in types if c in by_name]
-    needed = set(wanted) | (set(types) if strict else set())
-    missing = sorted(needed - set(by_name))
-    if missing:
-        raise ValueError(f"columns missing from {path}: {', '.join(missing)}")
-
+    by_name, wanted = bound_columns(spark, path, columns, types, strict)
     schema = T.StructType([
         T.StructField(written, T.DataType.fromDDL(PARSED_AS.get(kind := types.get(canonical, "string"), kind)), True)
         for canonical, written in by_name.items()
