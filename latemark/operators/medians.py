@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from latemark.operators.buckets import ordered_buckets
 from latemark.session import checkpointed
 
+#: Groups of up to this many distinct values are ranked whole, each in one task.
+WHOLE_GROUP = 100_000
+
 
 def exact_medians(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """(key, _overall, rows, <column>_median…): one row per key and one for all rows.
@@ -21,10 +24,10 @@ def exact_medians(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
     1. Rows are counted per key, column and value, which adds up before it shuffles; the
        counts are written once, and those of all rows come from them.
-    2. Values fall into ordered buckets. The counts of the buckets of a group, at most a
-       million short rows, tell which bucket holds its median.
-    3. Only that bucket's values are ranked, so a group with a third of the rows has a small
-       part of its distinct values in a task.
+    2. If no group has many distinct values, the values of each are ranked, in one shuffle.
+    3. Else values fall into ordered buckets. The counts of the buckets of a group, at most a
+       million short rows, tell which bucket holds its median, and only that bucket's values
+       are ranked. So a group with a third of the rows has a small part of them in a task.
     """
     entries = F.explode(F.array(*[
         F.struct(F.lit(i).alias("place"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("value"))
@@ -43,8 +46,12 @@ def exact_medians(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
         together.select(F.lit(1).alias("_overall"), no_key, "_place", "_value", "_n")
     )
     group = ["_overall", "_key", "_place"]
-    placed = ordered_buckets(every, "_value")
-    found = _holding_the_middle(placed, group, _middle_buckets(placed, group))
+    widest = every.groupBy(*group).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    if widest <= WHOLE_GROUP:
+        found = _crossing(every.withColumns({"_before": F.lit(0), "_all": F.sum("_n").over(Window.partitionBy(*group))}), group, group)
+    else:
+        placed = ordered_buckets(every, "_value")
+        found = _holding_the_middle(placed, group, _middle_buckets(placed, group))
 
     in_all = counts.filter(F.col("_place") == 0)
     sizes = in_all.groupBy("_key").agg(F.sum("_n").alias("rows")).select(F.lit(0).alias("_overall"), "_key", "rows")
@@ -76,10 +83,15 @@ def _middle_buckets(placed: DataFrame, group: Sequence[str]) -> DataFrame:
 
 
 def _holding_the_middle(placed: DataFrame, group: Sequence[str], middle: DataFrame) -> DataFrame:
-    """The median value of each group: the one whose run of ranks crosses the half."""
+    """The median value of each group, from the values of its middle bucket."""
     keys = [*group, "_bucket"]
     same = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.col(f"{c}_of")), keys[1:], F.col(keys[0]) == F.col(f"{keys[0]}_of"))
-    within = Window.partitionBy(*keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.join(middle, same).withColumn("_upto", F.col("_before") + F.sum("_n").over(within))
+    return _crossing(placed.join(middle, same), group, keys)
+
+
+def _crossing(values: DataFrame, group: Sequence[str], ranked_in: Sequence[str]) -> DataFrame:
+    """The value at which the running count, from ``_before`` on, reaches half of ``_all``."""
+    within = Window.partitionBy(*ranked_in).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.withColumn("_upto", F.col("_before") + F.sum("_n").over(within))
     crosses = (F.col("_upto") * 2 >= F.col("_all")) & ((F.col("_upto") - F.col("_n")) * 2 < F.col("_all"))
     return ranked.filter(crosses).select(*group, "_value")

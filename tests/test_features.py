@@ -167,9 +167,10 @@ def test_small_table_is_broadcast_and_large_is_not(skewed):
     assert "SortMergeJoin" not in plan() and "SortMergeJoin" in plan(broadcast_rows=5)
 
 
-@pytest.mark.parametrize("rows_per_bucket, intervals", [(1_000_000, 1024), (3, 8), (1, 1024)])
-def test_medians_are_exact_for_any_bucketing(spark, monkeypatch, rows_per_bucket, intervals):
+@pytest.mark.parametrize("whole_group, rows_per_bucket, intervals", [(100_000, 1, 1), (0, 1_000_000, 1024), (0, 3, 8), (50, 1, 1024)])
+def test_medians_are_exact_for_any_bucketing(spark, monkeypatch, whole_group, rows_per_bucket, intervals):
     """A third of the rows on one key, nulls and NaN left out, whole numbers stay whole."""
+    monkeypatch.setattr("latemark.operators.medians.WHOLE_GROUP", whole_group)
     monkeypatch.setattr(buckets, "ROWS_PER_BUCKET", rows_per_bucket)
     monkeypatch.setattr(buckets, "INTERVALS", intervals)
     drawn = random.Random(7)
