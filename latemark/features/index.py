@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from latemark.features.tables import ROWS, LookupTable, TableModel
 from latemark.operators.aggregates import category_counts
+from latemark.operators.lookup import row_bytes
 from latemark.session import checkpointed
 
 #: ``monotonically_increasing_id`` has the task above these bits and the row in the task below
@@ -78,7 +79,8 @@ class RankedIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadabl
         ranked = checkpointed(ranked_labels(dataset, list(named)))
         sizes = {
             r["feature"]: r for r in ranked.groupBy("feature")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(ROWS).alias(ROWS)).collect()  # one row per key
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(ROWS).alias(ROWS), F.sum(row_bytes(ranked, ranked.columns)).alias("bytes"))
+            .collect()  # one row per key
         }
         lookups = {}
         for key, output in named.items():
@@ -87,5 +89,7 @@ class RankedIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadabl
                 F.col("place").cast("double").alias(output),
             )
             size = sizes.get(key)
-            lookups[key] = LookupTable(frame, key, [output], size["n"] if size else 0, size[ROWS] if size else 0)
+            lookups[key] = LookupTable(
+                frame, key, [output], *((size["n"], size[ROWS], size["bytes"]) if size else (0, 0, 0))
+            )
         return self._copyValues(RankedIndexerModel()._fitted(lookups, {}))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latemark.features.tables import ROWS, LookupTable, TableModel
+from latemark.operators.lookup import row_bytes
 from latemark.operators.medians import exact_medians
 from latemark.session import checkpointed
 
@@ -70,10 +71,12 @@ class GroupMedianImputer(
         combined = checkpointed(
             _sketched(dataset, key, inputs, accuracy) if accuracy else exact_medians(dataset, key, inputs)
         )
-        table_rows = combined.filter(F.col("_overall") == 0).count()
+        size = combined.filter(F.col("_overall") == 0).agg(
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(combined, combined.columns)), F.lit(0)).alias("bytes")
+        ).first()
         overall = combined.filter(F.col("_overall") == 1).first()
         frame = combined.filter((F.col("_overall") == 0) & F.col(key).isNotNull()).select(key, ROWS, *medians)
-        lookup = LookupTable(frame, key, medians, table_rows, overall[ROWS])
+        lookup = LookupTable(frame, key, medians, size["n"], overall[ROWS], size["bytes"])
         scalars = {c: overall[m] for c, m in zip(inputs, medians)}
         model = GroupMedianImputerModel()._fitted({key: lookup}, scalars)
         return self._copyValues(model)

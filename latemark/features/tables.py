@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latemark.operators.aggregates import _SET_ID, KeyedTables
-from latemark.operators.lookup import BROADCAST_ROWS, key_counts, lookup_join
+from latemark.operators.lookup import BROADCAST_ROWS, fits_broadcast, key_counts, lookup_join, row_bytes
 from latemark.session import checkpointed
 
 ROWS = "rows"
@@ -33,13 +33,17 @@ class LookupTable:
     values: list[str]
     table_rows: int
     total_rows: int
+    table_bytes: int | None = None
+
+    def fits(self, broadcast_rows: int) -> bool:
+        return fits_broadcast(self.frame, self.table_rows, self.table_bytes, broadcast_rows)
 
     def join_to(
         self, df: DataFrame, broadcast_rows: int = BROADCAST_ROWS, counted: DataFrame | None = None
     ) -> DataFrame:
         return lookup_join(
             df, self.frame, self.key, self.values, self.table_rows, self.total_rows,
-            ROWS, broadcast_rows, counted,
+            ROWS, broadcast_rows, counted, self.table_bytes,
         )
 
 
@@ -54,7 +58,9 @@ def materialise(tables: KeyedTables, names: dict[str, dict[str, str]]) -> dict[s
     sizes = {
         row[_SET_ID]: row
         for row in tables.combined.groupBy(_SET_ID).agg(
-            F.count(F.lit(1)).alias("table_rows"), F.sum(ROWS).alias("total_rows")
+            F.count(F.lit(1)).alias("table_rows"), F.sum(ROWS).alias("total_rows"),
+            # the other keys of a row are null and take little
+            F.sum(row_bytes(tables.combined, [*tables.keys, *tables.values])).alias("table_bytes"),
         ).collect()
     }
     lookups = {}
@@ -66,7 +72,7 @@ def materialise(tables: KeyedTables, names: dict[str, dict[str, str]]) -> dict[s
         )
         lookups[key] = LookupTable(
             frame, key, list(renamed.values()),
-            size["table_rows"] if size else 0, size["total_rows"] if size else 0,
+            *((size["table_rows"], size["total_rows"], size["table_bytes"]) if size else (0, 0, 0)),
         )
     return lookups
 
@@ -79,7 +85,8 @@ class _TableModelWriter(MLWriter):
     def saveImpl(self, path: str) -> None:
         model = self.instance
         described = [
-            {"key": t.key, "values": t.values, "table_rows": t.table_rows, "total_rows": t.total_rows}
+            {"key": t.key, "values": t.values, "table_rows": t.table_rows, "total_rows": t.total_rows,
+             "table_bytes": t.table_bytes}
             for t in model.lookups.values()
         ]
         DefaultParamsWriter.saveMetadata(
@@ -111,7 +118,7 @@ class TableModel(Model, MLReadable, MLWritable):
     """Base of fitted models: ``lookups`` by key column, ``scalars`` by name."""
 
     broadcastRows = Param(
-        Params._dummy(), "broadcastRows", "lookup tables up to this many rows are broadcast", TypeConverters.toInt
+        Params._dummy(), "broadcastRows", "lookup tables up to this many rows are broadcast, if small in bytes too", TypeConverters.toInt
     )
 
     def __init__(self) -> None:
@@ -133,7 +140,7 @@ class TableModel(Model, MLReadable, MLWritable):
         self._set(broadcastRows=rows)
 
     def _joined(self, df: DataFrame) -> DataFrame:
-        large = [k for k, t in self.lookups.items() if t.table_rows > self.broadcast_rows]
+        large = [k for k, t in self.lookups.items() if not t.fits(self.broadcast_rows)]
         counts = key_counts(df, large) if large else {}
         for key, table in self.lookups.items():
             df = table.join_to(df, self.broadcast_rows, counts.get(key))

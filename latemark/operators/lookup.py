@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
 from latemark.operators.aggregates import keyed_aggregates
 from latemark.session import checkpointed
 
-#: A lookup table of at most this many rows is broadcast.
+#: A lookup table of at most this many rows and bytes is broadcast.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+
+#: Types whose values differ in length.
+VARYING = (StringType, BinaryType, ArrayType, MapType, StructType)
 
 #: A key is hot if it holds this many times the mean rows of a shuffle task.
 HOT_MEANS = 0.25
@@ -29,11 +33,13 @@ def lookup_join(
     rows_column: str = "rows",
     broadcast_rows: int = BROADCAST_ROWS,
     counted: DataFrame | None = None,
+    table_bytes: int | None = None,
 ) -> DataFrame:
     """Add ``values`` of ``table`` to every row of ``df``; null where the key is not there.
 
-    ``table_rows`` is the checked size of ``table``; a small one is broadcast and nothing is
-    shuffled. For a larger one the keys of ``df`` itself are counted, in one pass over the key
+    ``table_rows`` and ``table_bytes`` are the checked size of ``table``; a small one is broadcast
+    and nothing is shuffled. Bytes that are not given are summed up, where few rows leave the
+    question open. For a larger one the keys of ``df`` itself are counted, in one pass over the key
     column that adds up before it shuffles. Keys that would fill a good part of a task are
     answered by broadcast: there are at most tasks / HOT_MEANS of them, whether the table
     knows them or not. Only the remaining keys are shuffled. Rows with a hot or null key take
@@ -44,7 +50,7 @@ def lookup_join(
     already; see ``key_counts`` for several keys at once.
     """
     slim = table.select(key, rows_column, *values)
-    if table_rows <= broadcast_rows:
+    if fits_broadcast(slim.drop(rows_column), table_rows, table_bytes, broadcast_rows):
         return df.join(F.broadcast(slim.drop(rows_column)), on=key, how="left")
 
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -76,6 +82,27 @@ def lookup_join(
     return joined.select(key, *rest, *picked)
 
 
+def row_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
+    """About what the columns of a row take in memory: eight bytes each, and the length of what has one."""
+    varying = [
+        F.octet_length(F.col(c) if isinstance(df.schema[c].dataType, BinaryType) else F.col(c).cast("string"))
+        for c in columns if isinstance(df.schema[c].dataType, VARYING)
+    ]
+    lengths = [F.coalesce(v, F.lit(0)).cast("bigint") for v in varying]
+    return reduce(lambda a, b: a + b, lengths, F.lit(8 * (len(columns) + 1)).cast("bigint"))
+
+
+def fits_broadcast(
+    table: DataFrame, table_rows: int, table_bytes: int | None = None, broadcast_rows: int = BROADCAST_ROWS
+) -> bool:
+    """Whether a table of so many rows and bytes may be broadcast; unknown bytes are summed up."""
+    if table_rows > broadcast_rows:
+        return False
+    if table_bytes is None:
+        table_bytes = table.agg(F.sum(row_bytes(table, table.columns))).first()[0] or 0
+    return table_bytes <= BROADCAST_BYTES
+
+
 def key_counts(df: DataFrame, keys: Sequence[str]) -> dict[str, DataFrame]:
     """For each key column (key, _n, _all) without the null key, all from one scan of ``df``.
 

@@ -197,3 +197,34 @@ def test_medians_are_exact_for_any_bucketing(spark, monkeypatch, whole_group, ro
 def test_medians_of_an_empty_table(spark):
     found = exact_medians(spark.createDataFrame([], "k string, x double"), "k", ["x"])
     assert [tuple(r) for r in found.collect()] == [(1, None, 0, None)]
+
+
+def test_wide_table_of_few_rows_is_not_broadcast(skewed, monkeypatch):
+    table = skewed.filter("k is not null").groupBy("k").agg(
+        F.count(F.lit(1)).alias("rows"), F.repeat(F.lit("x"), 1000).alias("s")
+    )
+    size = table.count()
+
+    def plan(**options):
+        joined = lookup_join(skewed, table, "k", ["s"], size, 9000, **options)
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    assert "SortMergeJoin" not in plan()
+    monkeypatch.setattr("latemark.operators.lookup.BROADCAST_BYTES", 100_000)
+    assert "SortMergeJoin" in plan() and "SortMergeJoin" in plan(table_bytes=200_000)
+    assert "SortMergeJoin" not in plan(table_bytes=90_000)
+    whole = lookup_join(skewed, table, "k", ["s"], size, 9000)
+    assert whole.filter("k is not null and s is null").isEmpty() and whole.count() == skewed.count()
+
+
+def test_fitted_tables_know_their_bytes(skewed, tmp_path, monkeypatch):
+    named = skewed.withColumn("name", F.concat(F.lit("name-"), F.col("k").cast("string")))
+    model = TargetMeanEncoder(["name", "k"], ["a", "b"], "v").fit(named)
+    sizes = {k: t.table_bytes for k, t in model.lookups.items()}
+    assert sizes["name"] > sizes["k"] > 8 * model.lookups["k"].table_rows
+    model.write().save(str(tmp_path / "model"))
+    again = type(model).load(str(tmp_path / "model"))
+    assert {k: t.table_bytes for k, t in again.lookups.items()} == sizes
+    monkeypatch.setattr("latemark.operators.lookup.BROADCAST_BYTES", sizes["k"])
+    assert again.lookups["k"].fits(10_000) and not again.lookups["name"].fits(10_000)
+    assert again.transform(named).exceptAll(model.transform(named)).isEmpty()
