@@ -5,20 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latemark.llm.frames import kept
+from latemark.llm.frames import forget, kept, split_join
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+def _to_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """Neighbours ``b`` of each ``a`` beside the least ``m``; hubs, told by their ``n``, by broadcast."""
+    return split_join(rows, least, "a", "n").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """``edges`` have a > b: every a hands its smaller neighbours to the least of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    handed = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return handed.union(least.select("a", F.col("m").alias("b"))).filter("a > b")
+def _round(edges: DataFrame) -> DataFrame:
+    """A large star and a small star of kept ``edges`` with a > b; leaves nothing but its result."""
+    # large: every node hands its greater neighbours to the least of all its neighbours
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    nearest = kept(
+        both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count_if(F.expr("b > a")).alias("n")), "least"
+    )
+    large = kept(_to_least(both.filter("b > a"), nearest).filter("a > b").distinct(), "large")
+    # small: every node hands its smaller neighbours to the least of them
+    least = kept(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+    handed = _to_least(large, least).union(least.select("a", F.col("m").alias("b")))
+    stars = kept(handed.filter("a > b").distinct(), "stars")
+    forget(nearest, large, least)
+    return stars
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,5 +44,6 @@ def components(edges: DataFrame) -> DataFrame:
         state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == seen:
             return now
-        seen = state
-        now = kept(_small_star(_large_star(now).filter("a > b").distinct()).distinct(), "stars")
+        seen, before = state, now
+        now = _round(before)
+        forget(before)

@@ -7,14 +7,17 @@ fingerprint lives at its nearest anchor and visits every anchor within covering
 one that is the nearest one of some half one bit away, 16 others. So each linked pair meets
 at the home of either, in one of the two halves, and fingerprints are compared per anchor.
 
-An anchor where very many fingerprints live is split by the four bytes of the other half, of
-which linked fingerprints share one. What is compared are distinct fingerprints; equal ones
+An anchor where more than ``CROWD`` fingerprints live is split by the four bytes of the other
+half, of which linked fingerprints share one. Fingerprints of parts that are still larger meet
+once more by themselves, under each choice of five of all eight bytes: three differing bits
+spoil three bytes at most. What is compared are distinct fingerprints; equal ones
 are one class already. Groups give back a spanning tree of their links, not all pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +31,10 @@ from latemark.llm.frames import extended, free, kept, map_batches, quoted, split
 SEED = 42
 SHINGLE = 3
 THRESHOLD = 3
-#: Members of one anchor above which it is split, if it also has more than 1/10,000 of all.
-CROWD = 1000
-SHARES = 10_000
+#: Members of one anchor, and of a part of it, above which it is split, whatever the table's size.
+CROWD = 10_000
+#: Tables of at most so many groups are broadcast, longer ones joined.
+BROADCAST = 10_000
 #: Groups up to this size give pairs, larger ones a spanning tree.
 SMALL = 16
 BITS = 1 << 16
@@ -176,33 +180,63 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(*rest)
 
 
+def _told_apart(rows: DataFrame, crowds: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows outside and inside of ``crowds``, a kept table of groups; no second part if it is empty."""
+    on, groups = crowds.columns, crowds.count()
+    if not groups:
+        return rows, None
+    few = F.broadcast(crowds) if groups <= BROADCAST else crowds
+    return rows.join(few, on, "left_anti"), rows.join(few, on, "left_semi")
+
+
+def _above(rows: DataFrame, *on: str) -> DataFrame:
+    return kept(rows.groupBy(*on).count().filter(F.col("count") > CROWD).select(*on), "crowds")
+
+
+def _by_byte(rows: DataFrame) -> DataFrame:
+    """Each row four times, under the bytes of the half that its anchor does not cover."""
+    shift = F.when(F.expr("key < 4294967296"), F.lit(32)).otherwise(F.lit(0))
+    spots = F.transform(
+        F.sequence(F.lit(0), F.lit(3)),
+        lambda j: F.expr("1L") + j * 256 + F.call_function(
+            "shiftrightunsigned", F.col("print"), (shift + j * 8).cast("int")).bitwiseAND(F.lit(255)),
+    )
+    return rows.withColumn("__sub", F.explode(spots))
+
+
+def _by_five_bytes(prints: DataFrame) -> DataFrame:
+    """Fingerprints under each choice of five of their eight bytes, the key telling which."""
+    chosen = [sum(255 << 8 * j for j in c) for c in combinations(range(8), 8 - THRESHOLD)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in chosen]
+    spots = [
+        F.struct(F.lit((2 << 32) + i).cast("long").alias("key"), F.col("print").bitwiseAND(F.lit(m)).alias("__sub"))
+        for i, m in enumerate(signed)
+    ]
+    under = prints.select("print", F.lit(True).alias("lives"), F.explode(F.array(*spots)).alias("s"))
+    return under.select("s.key", "print", "lives", "s.__sub")
+
+
 def linked_prints(prints: DataFrame) -> DataFrame:
     """Links (a, b) among distinct fingerprints (one column, ``fingerprint``), enough to connect all."""
-    distinct = prints.select("fingerprint")
-    rows = _stationed(distinct)
-    total = distinct.count()
-    crowds = rows.filter("lives").groupBy("key").count().filter(F.col("count") > max(CROWD, total / SHARES * 2))
-    crowded = [r[0] for r in crowds.select("key").collect()]  # at most SHARES
-    marked = rows.withColumn("__sub", F.lit(0).cast("long"))
-    if crowded:
-        shift = F.when(F.expr("key < 4294967296"), F.lit(32)).otherwise(F.lit(0))
-        spots = F.transform(
-            F.sequence(F.lit(0), F.lit(3)),
-            lambda j: F.expr("1L") + j * 256 + F.call_function(
-                "shiftrightunsigned", F.col("print"), (shift + j * 8).cast("int")).bitwiseAND(F.lit(255)),
-        )
-        hot = F.col("key").isin(crowded)
-        marked = rows.filter(~hot).withColumn("__sub", F.lit(0).cast("long")).unionByName(
-            rows.filter(hot).withColumn("__sub", F.explode(spots)))
-    dealt = marked.repartition("key", "__sub").sortWithinPartitions("key", "__sub")
+    rows = _stationed(prints.select("fingerprint"))
+    calm, crowd = _told_apart(rows, _above(rows.filter("lives"), "key"))
+    dealt = calm.withColumn("__sub", F.lit(0).cast("long"))
+    if crowd is not None:
+        split = _by_byte(kept(crowd, "crowd"))
+        loose, dense = _told_apart(split, _above(split, "key", "__sub"))
+        dealt = dealt.unionByName(loose)
+        if dense is not None:
+            dealt = dealt.unionByName(_by_five_bytes(dense.select("print").distinct()))
+    dealt = dealt.repartition("key", "__sub").sortWithinPartitions("key", "__sub")
     return map_batches(dealt.select("key", "__sub", "print", "lives"), _compared, "a long, b long")
 
 
 def print_components(prints: DataFrame) -> DataFrame:
-    """(fingerprint, n, component_id) from kept rows (doc_id, fingerprint).
+    """(fingerprint, n, component_id, root) from kept rows (doc_id, fingerprint).
 
     ``component_id`` is the smallest doc_id that has a fingerprint in reach, null if all ids
-    there are null; ``n`` counts the rows of the fingerprint.
+    there are null; ``n`` counts the rows of the fingerprint, ``root`` is the same fingerprint for
+    all in reach of each other.
     """
     classes = kept(
         prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("__least")), "prints"
@@ -212,7 +246,7 @@ def print_components(prints: DataFrame) -> DataFrame:
     rooted = kept(rooted, "rooted")
     least = rooted.groupBy("__root").agg(F.min("__least").alias("component_id"), F.count(F.lit(1)).alias("__m"))
     found = split_join(rooted, kept(least, "least"), "__root", "__m")
-    return kept(found.select("fingerprint", "n", "component_id"), "classes")
+    return kept(found.select("fingerprint", "n", "component_id", F.col("__root").alias("root")), "classes")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -228,7 +262,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each component: the one of smallest doc_id, ties by the text.
+    """One row of each component: the one of smallest doc_id, null ids last, ties by the text.
 
     Columns and their order stay as they are.
     """
@@ -239,10 +273,8 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     )
     prints = kept(rows, "fingerprints")
     joined = split_join(prints, print_components(prints), "fingerprint", "n")
-    # a component of null ids only is named by its fingerprint
-    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("__f")]
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash")
-    chosen = joined.groupBy(*group).agg(F.min(first).alias("__first")).select("__first.doc_id", "__first.__hash")
+    chosen = joined.groupBy("root").agg(F.min(first).alias("__first")).select("__first.doc_id", "__first.__hash")
     id_, hash_, own = (free(docs, n) for n in ("__id", "__h", "__hash"))
     chosen = chosen.distinct().select(F.col("doc_id").alias(id_), F.col("__hash").alias(hash_))
     marked = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit(""))))

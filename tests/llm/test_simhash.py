@@ -89,3 +89,70 @@ def test_awkward_rows(documents, awkward):
 def test_empty(documents):
     assert simhash.near_duplicates(documents([])).count() == 0
     assert simhash.without_near_duplicates(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [10_000, 0])
+def test_dense_groups_are_split_twice(spark, monkeypatch, broadcast):
+    """A ball of fingerprints around one, more than a part may hold under every byte."""
+    monkeypatch.setattr(simhash, "CROWD", 20)
+    monkeypatch.setattr(simhash, "BROADCAST", broadcast)
+    seen = []
+    split = simhash._by_five_bytes
+    monkeypatch.setattr(simhash, "_by_five_bytes", lambda prints: seen.append(prints.count()) or split(prints))
+    draw = random.Random(11)
+    prints = set()
+    while len(prints) < 500:
+        p = 0xF00DF00DF00DF00D
+        for bit in draw.sample(range(64), draw.randint(2, 6)):
+            p ^= 1 << bit
+        prints.add(p)
+    prints = sorted(prints)
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    rows = spark.createDataFrame([(p,) for p in signed], "fingerprint long").repartition(8)
+    links = {(min(r), max(r)) for r in simhash.linked_prints(rows).collect()}
+    assert seen and seen[0] > 100
+    near = [(a, b) for a, b in itertools.combinations(range(500), 2) if bin(prints[a] ^ prints[b]).count("1") <= 3]
+    known = {tuple(sorted((signed[a], signed[b]))) for a, b in near}
+    assert links <= known
+    root = {p: p for p in signed}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    assert all(find(a) == find(b) for a, b in known)
+    assert len({find(p) for p in signed}) > 1
+
+
+def test_linked_texts_without_ids_are_one(documents, prose):
+    """Rows of null ids stay once for a group of different but linked fingerprints."""
+    base = prose(5, 400)
+    texts = [base]
+    for k in range(60):
+        words = base.split()
+        words[k * 6 + 3] = "changed"
+        texts.append(" ".join(words))
+    prints = [brute_print(t) for t in texts]
+    roots = brute_components(prints)
+    assert len(set(roots)) < len(set(prints)) - 1
+    left = simhash.without_near_duplicates(documents([(None, t) for t in texts])).collect()
+    assert len(left) == len(set(roots))
+
+
+def test_components_of_a_hub(spark):
+    """A star and a path: one node holds most edges."""
+    from latemark.llm.components import components
+    from latemark.session import scratch_made, shared_dir
+    import os
+
+    star = [(7, i) for i in range(100, 1100)]
+    path = [(i, i + 1) for i in range(2000, 2040)]
+    with scratch_made() as paths:
+        found = components(spark.createDataFrame(star + path + [(5, 5)], "a long, b long"))
+        rows = {r["a"]: r["b"] for r in found.collect()}
+        assert rows == {i: 7 for i in range(100, 1100)} | {i: 2000 for i in range(2001, 2041)}
+        assert [p for p in paths if os.path.exists(p.removeprefix("file:"))] == [found.scratch]
+    assert shared_dir(spark)
