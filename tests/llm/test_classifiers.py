@@ -1,4 +1,6 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -109,3 +111,69 @@ def test_empty_tables(spark, documents):
     for module in (toxicity, quality):
         assert module.scored(documents([]), module.learn(documents([]), labels)).count() == 0
     assert toxicity.scored(documents([(1, "a")]), toxicity.learn(documents([(1, "a")]), labels)).first()["score"] < 0.01
+
+
+def test_toxicity_scores_are_noisy_or_of_sentences(documents, awkward, marked):
+    """Scores and spans against their definition, a product over all sentences of whole texts."""
+    draw = np.random.default_rng(8)
+    # weights are sent as 32-bit numbers; sums of 64ths have no rounding
+    model = toxicity.SentenceModel(np.round(draw.normal(0, 0.7, toxicity.BUCKETS) * 64) / 64, -4.0)
+    pairs = awkward + marked[0][:60]
+    docs = documents([(*p, i) for i, p in enumerate(pairs)], "row int")
+    found = {r["row"]: r for r in toxicity.scored(docs, model).collect()}
+    for row, (_, text) in enumerate(pairs):
+        clean, spans, at = 1.0, [], 0
+        for part in re.split(r"([.!?\n]+)", text or ""):
+            words = set(re.findall(r"\w+", part.lower()))
+            if words:
+                z = model.bias
+                for word in words:
+                    names = [word] + [f"{n} {word[:n]}" for n in (3, 4, 5) if len(word) > n]
+                    z += sum(model.weights[zlib.crc32(n.encode()) % toxicity.BUCKETS] for n in names)
+                chance = 1 / (1 + math.exp(-max(min(z, 700), -700)))
+                clean *= 1 - chance
+                if chance >= 0.3:
+                    spans.append((at, at + len(part), pytest.approx(chance, abs=1e-9)))
+            at += len(part)
+        assert found[row]["score"] == pytest.approx(1 - clean, abs=1e-9)
+        assert [tuple(s) for s in found[row]["spans"]] == spans
+
+
+def _passage_numbers(words):
+    """What a passage of words (bytes) is encoded by, counted one by one."""
+    letters = b" ".join(words)
+    kinds = [
+        lambda c: 65 <= c <= 90, lambda c: 97 <= c <= 122, lambda c: 48 <= c <= 57, lambda c: 128 <= c < 192,
+        lambda c: c >= 192, lambda c: c in b" \t\r\n", *[lambda c, s=s: c == s for s in quality.SIGNS],
+    ]
+    n, lengths = len(words), [len(w) for w in words]
+    return [math.sqrt(sum(map(kind, letters)) / len(letters)) for kind in kinds] + [
+        n / 40, sum(lengths) / n / 10, len(set(words)) / n, max(lengths) / 30,
+        sum(a == b for a, b in zip(words, words[1:])) / n, sum(w.isupper() for w in words) / n,
+        sum(w.isalpha() for w in words) / n, sum(k <= 3 for k in lengths) / n,
+    ]
+
+
+def test_quality_scores_are_attention_over_all_passages(documents, awkward, marked):
+    """Scores and strongest passages against their definition, passage by passage over whole texts."""
+    draw = np.random.default_rng(9)
+    model = quality.AttentionModel(3)
+    model.parts["score"] = draw.normal(size=quality.HIDDEN)
+    model.mean, model.spread = draw.uniform(0, 0.3, quality.WIDTH), draw.uniform(0.2, 1, quality.WIDTH)
+    pairs = [p for p in awkward if len(p[1] or "") < 50_000] + marked[0][:40] + [(99, " ".join(t for _, t in marked[0][:150]))]
+    docs = documents([(*p, i) for i, p in enumerate(pairs)], "row int")
+    found = {r["row"]: r for r in quality.scored(docs, model).collect()}
+    p = model.parts
+    for row, (_, text) in enumerate(pairs):
+        words = (text or "").encode().split()
+        passages = [_passage_numbers(words[i:i + 40]) for i in range(0, len(words), 40)] or [[0.0] * quality.WIDTH]
+        hidden, strength = [], []
+        for x in passages:
+            x = np.clip((np.array(x) - model.mean) / model.spread, -8, 8)
+            h = np.tanh(x @ p["encode"] + p["encode0"])
+            gate = 1 / (1 + np.exp(-(h @ p["gate"])))
+            hidden.append(h)
+            strength.append(math.exp(float((np.tanh(h @ p["tanh"]) * gate) @ p["attend"])))
+        z = sum(s * h for s, h in zip(strength, hidden)) / sum(strength)
+        assert found[row]["score"] == pytest.approx(1 / (1 + math.exp(-float(z @ p["score"] + p["score0"][0]))), abs=1e-9)
+        assert strength[found[row]["best_passage"]] == pytest.approx(max(strength))
