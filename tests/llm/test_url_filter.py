@@ -91,3 +91,24 @@ def test_layout_repeats_and_empty(spark, pages):
     assert judged_urls(pages.limit(0), URL_RULES).count() == 0
     nulls = spark.createDataFrame([(1, None), (1, None), (None, None)], "page_id long, url string")
     assert {r["verdict"] for r in judged_urls(nulls, URL_RULES).collect()} == {"allow"}
+
+
+def test_very_long_urls_and_clashing_columns(spark):
+    """Whole URLs are scored, and columns called like those of the method change nothing."""
+    long_ = "http://shop.example.org/" + "a-page/" * 3000
+    urls = [f"http://a{i}.net/buy/{i}" for i in range(40)] + [f"http://b{i}.org/fr/read-{i}" for i in range(40)]
+    urls += [long_ + "buy/", long_ + "read-read-read", long_ + "buy/", "http://z.net/" + "x" * 20_000, None, ""]
+    clashing = [f"{c} string" for c in ("host", "path", "rule", "verdict", "score", "line", "id", "taught", "gram", "ratio", "n", "good")]
+    plain = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    wide = spark.createDataFrame(
+        [(i, u, *["x"] * len(clashing)) for i, u in enumerate(urls)], ", ".join(["page_id long", "url string", *clashing])
+    )
+    one, other = ({r["page_id"]: r for r in judged_urls(t, URL_RULES).collect()} for t in (plain, wide))
+    assert set(one) == set(range(len(urls))) and all(r["score"] is not None for r in one.values())
+    for i, r in one.items():
+        host, path = split(urls[i])
+        rule = rule_of(host, path)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule.text if rule else None)
+        assert [r[c] for c in ("host", "path", "rule", "verdict")] == [other[i][c] for c in ("host", "path", "rule", "verdict")]
+        assert other[i]["score"] == pytest.approx(r["score"], abs=1e-9)
+    assert one[80]["score"] == one[82]["score"] != one[81]["score"]
