@@ -29,6 +29,7 @@ from latemark.evaluation.curves import feature_names
 from latemark.features import (
     FrequencyEncoder, GroupMedianImputer, OutOfFoldTargetMeanEncoder, TargetMeanEncoder, ZScore,
 )
+from latemark.features.vectors import vector_slot, vector_sum, vector_width
 from latemark.functions import route_key
 from latemark.plans import DescentConfig, OneHotConfig, TreeConfig, run_descent, run_onehot, run_trees
 from latemark.plans.common import measured
@@ -674,11 +675,10 @@ def one_hot_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The numeric slots of the assembled vector and the sum of its one-hot slots."""
     model, split = _encoded(spark, sf_dir)
-    vector = model.transform(split.test).select(vector_to_array("features").alias("v"))
-    width = F.size("v") - len(NUMERIC)
-    tail = [r6(F.element_at("v", width + i + 1), name) for i, name in enumerate(NUMERIC)]
-    hot = F.aggregate(F.slice("v", 1, width), F.lit(0.0), lambda a, b: a + b)
-    return vector.select(*tail, r6(hot, "hot_slots"))
+    vector = model.transform(split.test).select("features")
+    width = vector_width("features") - len(NUMERIC)
+    tail = [r6(vector_slot("features", width + i), name) for i, name in enumerate(NUMERIC)]
+    return vector.select(*tail, r6(vector_sum("features", width), "hot_slots"))
 
 
 @query
