@@ -12,7 +12,6 @@ from contextlib import contextmanager
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +28,7 @@ from latemark.evaluation.curves import feature_names
 from latemark.features import (
     FrequencyEncoder, GroupMedianImputer, OutOfFoldTargetMeanEncoder, TargetMeanEncoder, ZScore,
 )
-from latemark.features.vectors import vector_slot, vector_sum, vector_width
+from latemark.features.vectors import hot_slot, vector_slot, vector_sum, vector_width
 from latemark.functions import route_key
 from latemark.plans import DescentConfig, OneHotConfig, TreeConfig, run_descent, run_onehot, run_trees
 from latemark.plans.common import measured
@@ -653,7 +652,7 @@ def string_index_by_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def one_hot_by_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of the 1 in the slots of every category, -1 for one not seen in training."""
     model, split = _by_lookup(spark, sf_dir)
-    slots = [(F.array_position(vector_to_array(f"{c}_slots"), 1.0) - 1).alias(f"{c}_slot") for c in CATEGORICAL]
+    slots = [hot_slot(f"{c}_slots").alias(f"{c}_slot") for c in CATEGORICAL]
     hot = model.transform(split.test).select(*CATEGORICAL, *slots)
     return hot.groupBy(*hot.columns).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -663,9 +662,7 @@ def one_hot_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of the 1 in the encoded vector, -1 for a category not seen in training."""
     model, split = _encoded(spark, sf_dir)
     hot = model.transform(split.test)
-    slots = [
-        (F.array_position(vector_to_array(f"{c}_slots"), 1.0) - 1).alias(f"{c}_slot") for c in ("carrier", "dest_id")
-    ]
+    slots = [hot_slot(f"{c}_slots").alias(f"{c}_slot") for c in ("carrier", "dest_id")]
     return hot.select("carrier", "dest_id", *slots).groupBy("carrier", "dest_id", "carrier_slot", "dest_id_slot").agg(
         F.count(F.lit(1)).alias("rows")
     )

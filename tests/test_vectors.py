@@ -1,6 +1,7 @@
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from checks import queries
 from latemark.features.vectors import hot_slot, vector_slot, vector_sum, vector_width
 
 
@@ -23,3 +24,5 @@ def test_entries_of_vectors_too_wide_to_write_out(spark):
     ]
 
 
+def test_no_query_writes_out_one_hot_vectors():
+    assert not hasattr(queries, "vector_to_array")
