@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -479,15 +480,32 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def split_parts_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train and test share no row and together hold every row, for both content splits."""
-    rows = staged(spark, sf_dir)
-    checks = []
-    for train, test in (
-        ops.hash_split(rows, RATIO, SEED), ops.stratified_split(rows, "label", 0.2, SEED),
-    ):
-        both = train.unionAll(test)
-        checks.append(both.exceptAll(rows).isEmpty() and rows.exceptAll(both).isEmpty())
-        checks.append(train.intersect(test).isEmpty())
-    return only_ok(spark, all(checks))
+    rows = cleaned(spark, sf_dir)
+    # both splits go by the same digest, which is taken once
+    rows = restaged(rows.withColumn("_position", ops.content_position(rows.columns, SEED)), "cleaned")
+    contents = [c for c in rows.columns if c != "_position"]
+    splits = [
+        ops.hash_split(rows, RATIO, SEED, contents, "_position"),
+        ops.stratified_split(rows, "label", 0.2, SEED, contents, position="_position"),
+    ]
+    return only_ok(spark, _disjoint_and_whole(rows.drop("_position"), splits))
+
+
+def _disjoint_and_whole(rows: DataFrame, splits: list[tuple[DataFrame, DataFrame]]) -> bool:
+    """Whether the parts of each split are disjoint and hold every row as often as ``rows``.
+
+    Equal rows of the whole and of all parts meet in one shuffle, where their copies are counted.
+    """
+    frames = [rows, *(part for split in splits for part in split)]
+    tagged = [f.select(*rows.columns, F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
+    copies = reduce(DataFrame.unionAll, tagged).groupBy(*rows.columns).agg(
+        *[F.count_if(F.col("_frame") == i).alias(f"_n{i}") for i in range(len(frames))]
+    )
+    wrong = F.lit(False)
+    for i in range(1, len(frames), 2):
+        train, test = F.col(f"_n{i}"), F.col(f"_n{i + 1}")
+        wrong |= (train + test != F.col("_n0")) | ((train > 0) & (test > 0))
+    return copies.filter(wrong).isEmpty()
 
 
 # ---- gradient descent --------------------------------------------------------------

@@ -1,6 +1,8 @@
 """Train, validation and test parts that depend on row content only.
 
-None of these moves rows: each part is a filter over the input.
+None of these moves rows: each part is a filter over the input. A digest costs more than all
+else here; rows that are split in several passes may carry its place (:func:`content_position`)
+in a column, named by ``position``, and digests are then taken of a few rows only.
 """
 
 from __future__ import annotations
@@ -48,8 +50,19 @@ def temporal_split(
     return TemporalSplit(df.filter(F.col(year) < first), df.filter(F.col(year) >= first), first)
 
 
-def _positioned(df: DataFrame, seed: int, columns: Sequence[str] | None):
-    return digest_position(content_digest(columns or df.columns, seed))
+def content_position(columns: Sequence[str], seed: int) -> Column:
+    """Place in [0, 2^32) that the content of a row gives it."""
+    return digest_position(content_digest(columns, seed))
+
+
+def _positioned(df: DataFrame, seed: int, columns: Sequence[str] | None, position: str | None = None) -> Column:
+    if position:
+        return F.col(position)
+    return content_position(columns or df.columns, seed)
+
+
+def _contents(df: DataFrame, columns: Sequence[str] | None, position: str | None) -> list[str]:
+    return list(columns or [c for c in df.columns if c != position])
 
 
 def _bounds(shares: dict[str, float]) -> list[tuple[str, int, int]]:
@@ -81,25 +94,27 @@ def mark_parts(
 
 
 def hash_parts(
-    df: DataFrame, shares: dict[str, float], seed: int, columns: Sequence[str] | None = None
+    df: DataFrame, shares: dict[str, float], seed: int, columns: Sequence[str] | None = None,
+    position: str | None = None,
 ) -> dict[str, DataFrame]:
     """Disjoint frames covering every row; rows are placed as in :func:`mark_parts`."""
-    position = _positioned(df, seed, columns)
+    place = _positioned(df, seed, columns, position)
 
     def inside(low: int, high: int) -> Column:
         # the ends of the range need no test, which saves computing the digest twice
-        tests = [position >= low] * (low > 0) + [position < high] * (high < POSITIONS)
+        tests = [place >= low] * (low > 0) + [place < high] * (high < POSITIONS)
         return reduce(lambda a, b: a & b, tests or [F.lit(True)])
 
     return {name: df.filter(inside(low, high)) for name, low, high in _bounds(shares)}
 
 
 def hash_split(
-    df: DataFrame, ratio: float, seed: int, columns: Sequence[str] | None = None
+    df: DataFrame, ratio: float, seed: int, columns: Sequence[str] | None = None,
+    position: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Two-way :func:`hash_parts`: (train, test)."""
     _check_ratio(ratio)
-    parts = hash_parts(df, {"train": ratio, "test": 1.0 - ratio}, seed, columns)
+    parts = hash_parts(df, {"train": ratio, "test": 1.0 - ratio}, seed, columns, position)
     return parts["train"], parts["test"]
 
 
@@ -126,9 +141,10 @@ def stratified_split(
     seed: int,
     columns: Sequence[str] | None = None,
     cell_bits: int = 16,
+    position: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) as told by :func:`stratified_test`."""
-    in_test = stratified_test(df, label, test_share, seed, columns, cell_bits)
+    in_test = stratified_test(df, label, test_share, seed, columns, cell_bits, position)
     return df.filter(~in_test), df.filter(in_test)
 
 
@@ -139,6 +155,7 @@ def stratified_test(
     seed: int,
     columns: Sequence[str] | None = None,
     cell_bits: int = 16,
+    position: str | None = None,
 ) -> Column:
     """Whether a row of ``df`` is a test row, with exactly ``round(n * test_share)`` test rows of every label.
 
@@ -149,11 +166,11 @@ def stratified_test(
     at the cut.
     """
     _check_ratio(test_share)
-    keys = list(columns or df.columns)
-    digest = content_digest(keys, seed)
+    digest = content_digest(_contents(df, columns, position), seed)
     width = POSITIONS >> cell_bits
-    located = df.select(F.col(label).alias("_label"), digest.alias(_DIGEST)).withColumn(
-        _CELL, F.floor(digest_position(F.col(_DIGEST)) / width).cast("int")
+    place = F.col(position) if position else digest_position(F.col(_DIGEST))
+    located = df.select("*", F.col(label).alias("_label"), digest.alias(_DIGEST)).withColumn(
+        _CELL, F.floor(place / width).cast("int")
     )
 
     # per label: cells with their row counts, at most 2^cell_bits rows each
@@ -184,7 +201,12 @@ def stratified_test(
         .select("_label", _DIGEST)
     ).collect()  # one row per label
 
-    last_test_digest = F.lit("")
+    last_test_digest, last_place = F.lit(""), F.lit(-1)
     for row in cuts:
-        last_test_digest = F.when(F.col(label) == row["_label"], F.lit(row[_DIGEST])).otherwise(last_test_digest)
-    return digest <= last_test_digest
+        here = F.col(label) == row["_label"]
+        last_test_digest = F.when(here, F.lit(row[_DIGEST])).otherwise(last_test_digest)
+        last_place = F.when(here, F.lit(int(row[_DIGEST][:8], 16))).otherwise(last_place)
+    if not position:
+        return digest <= last_test_digest
+    # digests are in the order of their places; only rows at the place of the cut need theirs
+    return F.when(F.col(position) != last_place, F.col(position) < last_place).otherwise(digest <= last_test_digest)

@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import _disjoint_and_whole
 from latemark.operators import (
-    hash_parts, hash_split, mark_parts, stratified_sample, stratified_split, temporal_split,
+    content_position, hash_parts, hash_split, mark_parts, stratified_sample, stratified_split, temporal_split,
 )
 
 
@@ -70,3 +71,25 @@ def test_sample_takes_only_named_labels(kept_clean):
     assert stratified_sample(kept_clean, "label", {1: 1.0}, 42).select("label").distinct().collect() == [(1,)]
     with pytest.raises(ValueError):
         stratified_sample(kept_clean, "label", {1: 1.5}, 42)
+
+
+def test_splits_by_a_place_told_before_are_the_same(kept_clean):
+    names = kept_clean.columns
+    told = kept_clean.withColumn("_at", content_position(names, 42))
+    for plain, by_place in (
+        (hash_split(kept_clean, 0.8, 42), hash_split(told, 0.8, 42, names, "_at")),
+        (stratified_split(kept_clean, "label", 0.2, 42), stratified_split(told, "label", 0.2, 42, position="_at")),
+        # one cell for all: the cut is found by digests alone
+        (stratified_split(kept_clean, "label", 0.2, 42), stratified_split(told, "label", 0.2, 42, names, 0, "_at")),
+    ):
+        assert all(same_rows(a, b.drop("_at")) for a, b in zip(plain, by_place))
+
+
+def test_parts_with_a_lost_doubled_or_shared_row_are_found(spark):
+    rows = spark.createDataFrame([(1, None), (1, None), (2, "a"), (3, "b")], "x int, y string")
+    low, high = rows.filter("x = 1"), rows.filter("x > 1")
+    good = (low, high)
+    assert _disjoint_and_whole(rows, [good, (high, low)])
+    one = spark.createDataFrame([(1, None)], rows.schema)
+    for bad in ((one, high), (low, high.unionAll(one)), (low.unionAll(one), high), (one, high.unionAll(one)), (low, low)):
+        assert not _disjoint_and_whole(rows, [good, bad])
