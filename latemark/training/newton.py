@@ -1,10 +1,12 @@
 """Boosted trees of second order: gradient and hessian histograms over packed blocks.
 
 Features are cut into bins once and packed with label, weight and a content hash into blocks
-of bytes, one for each Arrow batch. A level of a tree is one narrow pass that adds up gradient
-and hessian by node, feature and bin, one array a task, summed in a tree; the driver sees
-nodes * features * bins numbers and picks the splits. The score of every row so far, its
-margin, is kept beside the block and grows by one tree a round, so no row is scored twice.
+of bytes, one for each Arrow batch. Blocks are elements of an RDD, so a task holds one at a time
+however many its partition has, and rows held back have their own. A level of a tree is one
+narrow pass that adds up gradient and hessian by node, feature and bin, one array a task, summed
+in a tree; the driver sees nodes * features * bins numbers and picks the splits. The score of
+every row so far, its margin, is kept beside the block and grows by one tree a round, so no row
+is scored twice.
 
 Leaves are shrunk by an L2 penalty, features are drawn per tree and rows by their content,
 and boosting ends where the ROC AUC of the validation rows has not risen for some rounds.
@@ -18,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.ml import Estimator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasMaxIter, HasSeed, HasStepSize, HasWeightCol
@@ -29,13 +31,12 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from latemark.evaluation.ranking import roc_auc
 from latemark.features.tables import TableModel
-from latemark.session import checkpointed
+from latemark.session import held, shared_dir
 
 #: Rounds after which the margins are written and their lineage is cut.
 CUT_AFTER = 10
 #: Gains are told apart by so many digits, so that the order of sums decides nothing.
 DIGITS = 6
-_STATE = "block binary, margin binary"
 
 
 @dataclass
@@ -55,15 +56,26 @@ class Tree:
 
     def nodes(self, bins: np.ndarray) -> np.ndarray:
         """The node of each row of ``bins`` (a row for each feature; 0 is missing)."""
-        at, rows = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1])
-        while True:
-            feature = self.feature[at]
-            inner = feature >= 0
-            if not inner.any():
-                return at
-            own = bins[feature, rows]
-            left = np.where(own == 0, self.missing_left[at], own <= self.cut[at])
-            at = np.where(inner, 2 * at + 2 - left, at)
+        rows = bins.shape[1]
+        at, order, flat = np.zeros(rows, np.int64), np.arange(rows), np.ascontiguousarray(bins).ravel()
+        steps = self._levels()
+        if steps:
+            first = np.maximum(self.feature, 0) * rows
+            following = self._following()
+        for _ in range(steps):
+            at = following.take(at * 256 + flat.take(first.take(at) + order))
+        return at
+
+    def _levels(self) -> int:
+        """Splits on the longest way down."""
+        inner = np.flatnonzero(self.feature >= 0)
+        return int(inner[-1] + 1).bit_length() if len(inner) else 0
+
+    def _following(self) -> np.ndarray:
+        """Next node by node and bin, 256 bins a node; leaves stay."""
+        node, own = np.arange(len(self.feature))[:, None], np.arange(256)[None, :]
+        left = np.where(own == 0, self.missing_left[:, None], own <= self.cut[:, None])
+        return np.where(self.feature[:, None] >= 0, 2 * node + 2 - left, node).ravel()
 
     def as_lists(self) -> dict:
         return {k: getattr(self, k).tolist() for k in ("feature", "cut", "missing_left", "gain", "value")}
@@ -99,23 +111,34 @@ def cut_points(df: DataFrame, features: Sequence[str], bins: int) -> list[list[f
     return cuts
 
 
-def _packer(cuts: list[list[float]]) -> Callable[[Iterator], Iterator]:
+def _coded(values: np.ndarray) -> tuple:
+    """(distinct values, a byte a row), or (None, values) where there are more than 256."""
+    few, code = np.unique(values, return_inverse=True)
+    return (few, code.astype(np.uint8)) if len(few) <= 256 else (None, values)
+
+
+def _decoded(coded: tuple) -> np.ndarray:
+    few, code = coded
+    return code if few is None else few[code]
+
+
+def _packer(cuts: list[list[float]], drawn: bool) -> Callable[[Iterator], Iterator]:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            label, weight, valid, draw, *values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            label, weight, draw, *values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             known = ~(np.isnan(label) | np.isnan(weight))
             bins = np.stack([binned(v[known], c) for v, c in zip(values, cuts)])
-            block = pickle.dumps((bins, label[known], weight[known], valid[known].astype(bool), draw[known].view(np.uint64)), 5)
-            margin = np.zeros(int(known.sum())).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary()), pa.array([margin], pa.binary())], names=["block", "margin"])
+            hashes = draw[known].view(np.uint64) if drawn else None
+            block = pickle.dumps((bins, _coded(label[known]), _coded(weight[known]), hashes), 5)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary()), pa.array([int(known.sum())], pa.int64())], names=["block", "rows"])
 
     return pack
 
 
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        for block, margin in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            yield block, pickle.loads(block), np.frombuffer(margin)
+def _opened(state: Iterator[tuple]) -> Iterator[tuple]:
+    for block, margin in state:
+        bins, label, weight, draw = pickle.loads(block)
+        yield block, (bins, _decoded(label), _decoded(weight), draw), np.frombuffer(margin)
 
 
 def _drawn(draw: np.ndarray, round_: int, share: float, seed: int) -> np.ndarray:
@@ -130,20 +153,22 @@ def _histograms(tree: Tree, level: int, features: np.ndarray, width: int, round_
     """Blocks of one task → one array (node, feature, bin, gradient and hessian) for a level."""
     first, count = (1 << level) - 1, 1 << level
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, count, len(features), width))
-        for _, (bins, label, weight, valid, draw), margin in _opened(batches):
+    def summed(state: Iterator[tuple]) -> Iterator[np.ndarray]:
+        total = np.zeros((2, len(features), count * width))
+        for _, (bins, label, weight, draw), margin in _opened(state):
             node = tree.nodes(bins) - first
-            own = ~valid & (node >= 0)
+            own = node >= 0
             if share < 1.0:
                 own &= _drawn(draw, round_, share, seed)
-            p = 1.0 / (1.0 + np.exp(-margin[own]))
-            sums = ((p - label[own]) * weight[own], p * (1.0 - p) * weight[own])
+            taken = slice(None) if own.all() else np.flatnonzero(own)
+            p = 1.0 / (1.0 + np.exp(-margin[taken]))
+            sums = ((p - label[taken]) * weight[taken], p * (1.0 - p) * weight[taken])
+            start = node[taken] * width
             for k, f in enumerate(features):
-                cell = node[own] * width + bins[f, own]
+                cell = start + bins[f][taken]
                 for side in (0, 1):
-                    total[side, :, k] += np.bincount(cell, sums[side], count * width).reshape(count, width)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+                    total[side, k] += np.bincount(cell, sums[side], count * width)
+        yield total.reshape(2, len(features), count, width).transpose(0, 2, 1, 3).copy()
 
     return summed
 
@@ -277,11 +302,19 @@ class NewtonTrees(
         cuts = cut_points(learnt, features, get(self.bins))
         doubles = [F.col(f).cast("double") for f in features]
         draw = F.xxhash64(F.lit(get(self.seed)), F.col(get(self.labelCol)), *doubles)
-        packed = dataset.select(
-            F.col(get(self.labelCol)).cast("double").alias("label"), weight.cast("double").alias("weight"),
-            valid.alias("valid"), draw.alias("draw"), *(c.alias(f"f{i}") for i, c in enumerate(doubles)),
-        ).mapInArrow(_packer(cuts), _STATE)
-        state = packed.persist(StorageLevel.MEMORY_AND_DISK)
+        shared_dir(dataset.sparkSession)  # where margins are checkpointed
+
+        def packed(rows: DataFrame) -> RDD:
+            """(block, margins of 0) of the rows."""
+            columns = rows.select(
+                F.col(get(self.labelCol)).cast("double").alias("label"), weight.cast("double").alias("weight"),
+                draw.alias("draw"), *(c.alias(f"f{i}") for i, c in enumerate(doubles)),
+            )
+            blocks = columns.mapInArrow(_packer(cuts, get(self.rowShare) < 1.0), "block binary, rows bigint").rdd
+            return blocks.map(lambda r: (bytes(r[0]), bytes(8 * r[1]))).persist(StorageLevel.MEMORY_AND_DISK)
+
+        state = packed(learnt)
+        judged = packed(dataset.filter(valid)) if self.isSet(self.validationCol) else None
         draws = np.random.default_rng(get(self.seed))
         trees, aucs, best = [], [], 0
         try:
@@ -291,8 +324,10 @@ class NewtonTrees(
                 tree = self._grown(state, round_, own, cuts)
                 trees.append(tree)
                 state = self._advanced(state, tree, round_)
-                if self.isSet(self.validationCol):
-                    auc = roc_auc(_scores(state), "label", "margin").first()["auc"]
+                if judged is not None:
+                    judged = self._advanced(judged, tree, round_)
+                    with held(_scores(dataset.sparkSession, judged)) as scores:
+                        auc = roc_auc(scores, "label", "margin").first()["auc"]
                     aucs.append(auc)
                     if auc is not None and (not best or auc > aucs[best - 1]):
                         best = round_ + 1
@@ -302,20 +337,21 @@ class NewtonTrees(
                     break  # no later tree would split either
         finally:
             state.unpersist()
+            if judged is not None:
+                judged.unpersist()
         scalars = {
             "cuts": cuts, "trees": [t.as_lists() for t in trees], "auc": aucs, "rounds": best or len(trees),
             "threshold": get(self.threshold),
         }
         return self._copyValues(NewtonTreesModel()._fitted({}, scalars))
 
-    def _grown(self, state: DataFrame, round_: int, features: np.ndarray, cuts: list[list[float]]) -> Tree:
+    def _grown(self, state: RDD, round_: int, features: np.ndarray, cuts: list[list[float]]) -> Tree:
         get = self.getOrDefault
         depth, step = get(self.depth), self.getStepSize()
         tree, width = Tree.empty(depth), max(map(len, cuts)) + 2
         for level in range(depth):
             work = _histograms(tree, level, features, width, round_, get(self.rowShare), get(self.seed))
-            arrays = state.mapInArrow(work, "sums binary").rdd.map(lambda r: np.frombuffer(r[0]))
-            sums = arrays.treeReduce(lambda a, b: a + b).reshape(2, 1 << level, len(features), width)
+            sums = state.mapPartitions(work).treeReduce(lambda a, b: a + b)
             split = False
             for k, found in enumerate(best_splits(sums, features, cuts, get(self.penalty), get(self.leastWeight))):
                 node = (1 << level) - 1 + k
@@ -331,28 +367,38 @@ class NewtonTrees(
                 break
         return tree
 
-    def _advanced(self, state: DataFrame, tree: Tree, round_: int) -> DataFrame:
+    def _advanced(self, state: RDD, tree: Tree, round_: int) -> RDD:
         """The state with one tree more; computed before the old one is let go."""
 
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for block, (bins, *_), margin in _opened(batches):
-                more = (margin + tree.value[tree.nodes(bins)]).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary()), pa.array([more], pa.binary())], names=["block", "margin"])
+        def work(blocks: Iterator[tuple]) -> Iterator[tuple]:
+            for block, (bins, *_), margin in _opened(blocks):
+                yield block, (margin + tree.value[tree.nodes(bins)]).tobytes()
 
-        after = state.mapInArrow(work, _STATE)
+        after = state.mapPartitions(work).persist(StorageLevel.MEMORY_AND_DISK)
         if (round_ + 1) % CUT_AFTER == 0:
-            after = checkpointed(after)
-        after = after.persist(StorageLevel.MEMORY_AND_DISK)
-        after.count()
+            after.checkpoint()
+        after.foreachPartition(_drained)
         state.unpersist()
         return after
 
 
-def _scores(state: DataFrame) -> DataFrame:
-    """(label, margin) of the validation rows."""
+def _drained(state: Iterator[tuple]) -> None:
+    for _ in state:
+        pass
+
+
+def _scores(spark: SparkSession, state: RDD) -> DataFrame:
+    """(label, margin) of the rows."""
+
+    def pairs(blocks: Iterator[tuple]) -> Iterator[tuple]:
+        for _, (_, label, _, _), margin in _opened(blocks):
+            yield label.astype(np.int32).tobytes(), margin.tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (_, label, _, valid, _), margin in _opened(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(label[valid].astype(np.int32)), pa.array(margin[valid])], names=["label", "margin"])
+        for batch in batches:
+            for label, margin in zip(*batch.columns):
+                columns = [pa.array(np.frombuffer(label.as_py(), np.int32)), pa.array(np.frombuffer(margin.as_py()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["label", "margin"])
 
-    return state.mapInArrow(work, "label int, margin double")
+    packed = spark.createDataFrame(state.mapPartitions(pairs), "label binary, margin binary", verifySchema=False)
+    return packed.mapInArrow(work, "label int, margin double")

@@ -133,3 +133,37 @@ def test_job_with_second_order_trees(spark, small, tmp_path):
     assert one == pytest.approx(other)
     with pytest.raises(ValueError):
         run_trees(spark, TreeConfig(roles=ROLES, periods=PERIODS, second_order=True, stop_on="loss", positive_weight=None), raw)
+
+
+def test_tasks_hold_one_block_at_a_time(spark):
+    """Blocks of a partition are read one after the other, not as one batch that grows with it."""
+    from latemark.training.newton import _opened, _packer
+
+    rows = spark.range(50_000, numPartitions=1).selectExpr("cast(id % 2 as double) l", "1.0D w", "id d", "cast(id % 9 as double) f")
+    blocks = rows.mapInArrow(_packer([[float(i) for i in range(8)]], False), "block binary, rows bigint")
+    assert sum(r["rows"] for r in blocks.collect()) == 50_000 and blocks.count() >= 5
+    state = iter([(bytes(r["block"]), bytes(8 * r["rows"])) for r in blocks.collect()])
+    _, (bins, label, weight, draw), margin = next(_opened(state))
+    assert bins.shape[1] == len(label) == len(weight) == len(margin) <= 10_000 and draw is None
+    assert len(list(state)) == blocks.count() - 1
+
+
+def test_nodes_are_those_of_a_walk_row_by_row():
+    import numpy as np
+
+    from latemark.training.newton import Tree
+
+    tree = Tree.empty(3)
+    for node, feature, cut, missing in ((0, 1, 4, True), (2, 0, 2, False), (5, 1, 9, True), (1, 0, 0, False)):
+        tree.feature[node], tree.cut[node], tree.missing_left[node] = feature, cut, missing
+    bins = np.random.default_rng(1).integers(0, 12, (2, 500)).astype(np.uint8)
+
+    def walk(row):
+        node = 0
+        while tree.feature[node] >= 0:
+            own = bins[tree.feature[node], row]
+            node = 2 * node + 2 - bool(tree.missing_left[node] if own == 0 else own <= tree.cut[node])
+        return node
+
+    assert tree.nodes(bins).tolist() == [walk(i) for i in range(500)]
+    assert not Tree.empty(3).nodes(bins).any()
