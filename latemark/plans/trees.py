@@ -16,7 +16,7 @@ from latemark.evaluation import (
 from latemark.evaluation.curves import feature_names
 from latemark.features import GroupMedianImputer, TargetMeanEncoder
 from latemark.operators import (
-    add_calendar_features, add_class_weight, add_label, exclude_periods, mark_parts,
+    add_calendar_features, add_class_weight, add_label, content_position, exclude_periods, mark_parts,
     select_features, stratified_sample, stratified_test,
 )
 from latemark.plans.common import accounting, load, malformed, measured, publish, scores_only
@@ -150,12 +150,12 @@ def run_trees(spark: SparkSession, config: TreeConfig, legs: DataFrame | None =
     raw = load(spark, config, needed_columns(roles)) if legs is None else legs
     base = labelled_legs(raw.select(*needed_columns(roles)), config)
     columns = base.columns
-    in_test = stratified_test(base, LABEL, config.test_share, config.seed)
     shares = {"train": 1.0 - config.validation_share, "validation": config.validation_share}
     marked = mark_parts(base, shares, config.seed + 1, columns)
-    marked = marked.withColumn("part", F.when(in_test, F.lit("test")).otherwise(F.col("part")))
-    # parts are told once; what is staged is read by every later pass
-    rows = restaged(marked, "labelled")
+    # the input is read and digests are taken once; every later pass reads what is staged
+    marked = restaged(marked.withColumn("_place", content_position(columns, config.seed)), "labelled")
+    in_test = stratified_test(marked, LABEL, config.test_share, config.seed, columns, position="_place")
+    rows = marked.withColumn("part", F.when(in_test, F.lit("test")).otherwise(F.col("part"))).drop("_place")
     counts = {
         (r["part"], r[LABEL]): r["n"]
         for r in rows.groupBy("part", LABEL).agg(F.count(F.lit(1)).alias("n")).collect()  # six rows
