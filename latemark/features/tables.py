@@ -142,9 +142,13 @@ class TableModel(Model, MLReadable, MLWritable):
     def _joined(self, df: DataFrame) -> DataFrame:
         large = [k for k, t in self.lookups.items() if not t.fits(self.broadcast_rows)]
         counts = key_counts(df, large) if large else {}
+        columns = df.columns
         for key, table in self.lookups.items():
+            columns = [key, *(c for c in columns if c != key), *table.values]
+        # rows are shuffled before broadcast tables widen them
+        for key, table in sorted(self.lookups.items(), key=lambda t: t[0] not in large):
             df = table.join_to(df, self.broadcast_rows, counts.get(key))
-        return df
+        return df.select(*columns)
 
     def write(self) -> MLWriter:
         return _TableModelWriter(self)

@@ -1,6 +1,6 @@
 import pytest
 
-from latemark.features import OutOfFoldTargetMeanEncoder
+from latemark.features import OutOfFoldTargetMeanEncoder, TargetMeanEncoder
 
 SCHEMA = "i int, k string, g int, label int"
 
@@ -48,3 +48,17 @@ def test_new_rows_and_saved_model(spark, tmp_path):
 def test_too_few_folds(spark):
     with pytest.raises(ValueError, match="two folds"):
         OutOfFoldTargetMeanEncoder(["k"], foldCols=["i"], folds=1).fit(rows(spark)[1])
+
+
+def test_large_tables_are_joined_before_small_ones(spark):
+    """A row is shuffled as it came, without what broadcast tables add; columns stay in the order of the keys."""
+    train = spark.createDataFrame([(i % 3, i, i % 2) for i in range(40)], "few int, many int, label int")
+    model = TargetMeanEncoder(["few", "many"]).fit(train)
+    before = model.transform(train)
+    model.broadcast_rows = 10
+    after = model.transform(train)
+    assert after.columns == before.columns
+    assert sorted(map(tuple, after.collect())) == sorted(map(tuple, before.collect()))
+    plan = after._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]  # outermost first
+    assert "few#" in joins[0] and any("_cold_key" in line for line in joins[1:])
