@@ -1,10 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks.legs import PERIODS, ROLES, legs
 from checks.queries import _disjoint_and_whole
 from latemark.operators import (
     content_position, hash_parts, hash_split, mark_parts, stratified_sample, stratified_split, temporal_split,
 )
+from latemark.plans import TreeConfig, trees
 
 
 def same_rows(a, b):
@@ -93,3 +95,17 @@ def test_parts_with_a_lost_doubled_or_shared_row_are_found(spark):
     one = spark.createDataFrame([(1, None)], rows.schema)
     for bad in ((one, high), (low, high.unionAll(one)), (low.unionAll(one), high), (one, high.unionAll(one)), (low, low)):
         assert not _disjoint_and_whole(rows, [good, bad])
+
+
+def test_tree_job_looks_for_the_cut_in_staged_rows(spark, small, monkeypatch):
+    """The legs are joined once, not again for every pass of the stratified split."""
+    class Seen(Exception):
+        pass
+
+    def seen(df, *_, **__):
+        raise Seen(df._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(trees, "stratified_test", seen)
+    with pytest.raises(Seen) as told:
+        trees.run_trees(spark, TreeConfig(roles=ROLES, periods=PERIODS), legs(spark, small))
+    assert "Join" not in str(told.value) and "parquet" in str(told.value)
