@@ -800,21 +800,22 @@ BOOSTED_FEATURES = [
 
 @contextmanager
 def _boosted(spark: SparkSession, sf_dir: str, on_loss: bool = False, rounds: int = 5):
-    """(booster, assembled test rows, assembled validation rows), the rows kept while in use."""
+    """(booster, assembled test rows, assembled validation rows), from rows staged with the columns in use."""
     rows = labelled_legs(legs(spark, sf_dir), TreeConfig(roles=ROLES, periods=PERIODS)).dropna(subset=["carrier"])
     rows = ops.mark_parts(rows, {"train": 0.64, "validation": 0.16, "test": 0.2}, SEED)
-    rows = restaged(rows.withColumn("in_validation", F.col("part") == "validation"), "parts")
-    with held(rows):
-        train = rows.filter(F.col("part") == "train")
-        encoder = TargetMeanEncoder(["carrier"], ["airline_delay_rate"], LABEL).fit(train)
-        encoded = encoder.transform(rows)
-        learning = encoded.filter(F.col("part") != "test") if on_loss else encoded.filter(F.col("part") == "train")
-        stages = gbt_stages(
-            BOOSTED_FEATURES, LABEL, validation="in_validation" if on_loss else None, rounds=rounds, depth=4
-        )
-        assembler, booster = stages.fit(learning).stages
-        assembled = assembler.transform(encoded)
-        yield booster, assembled.filter(F.col("part") == "test"), assembled.filter("in_validation")
+    known = [c for c in BOOSTED_FEATURES if c in rows.columns]
+    rows = rows.select("carrier", *known, LABEL, "part", (F.col("part") == "validation").alias("in_validation"))
+    rows = restaged(rows, "parts")
+    train = rows.filter(F.col("part") == "train")
+    encoder = TargetMeanEncoder(["carrier"], ["airline_delay_rate"], LABEL).fit(train)
+    encoded = encoder.transform(rows)
+    learning = encoded.filter(F.col("part") != "test") if on_loss else encoded.filter(F.col("part") == "train")
+    stages = gbt_stages(
+        BOOSTED_FEATURES, LABEL, validation="in_validation" if on_loss else None, rounds=rounds, depth=4
+    )
+    assembler, booster = stages.fit(learning).stages
+    assembled = assembler.transform(encoded)
+    yield booster, assembled.filter(F.col("part") == "test"), assembled.filter("in_validation")
 
 
 @query

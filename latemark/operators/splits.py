@@ -86,11 +86,16 @@ def mark_parts(
     A row goes where its content hash falls, whatever file or partition it came from.
     Copies of a row always land together, so none leaks from one part to another.
     """
-    position = _positioned(df, seed, columns)
-    part = F.lit(None).cast("string")
-    for name, _, high in reversed(_bounds(shares)):
-        part = F.when(position < high, F.lit(name)).otherwise(part)
-    return df.withColumn(output, part)
+    held, taken = _POSITION, {name.lower() for name in (*df.columns, output)}
+    while held in taken:
+        held = f"_{held}"
+    (last, _, _), *others = reversed(_bounds(shares))
+    part = F.lit(last)
+    for name, _, high in others:
+        part = F.when(F.col(held) < high, F.lit(name)).otherwise(part)
+    # a column of its own, so that the digest is not taken again for every bound
+    placed = df.withColumn(held, _positioned(df, seed, columns))
+    return placed.withColumn(output, part).drop(held)
 
 
 def hash_parts(

@@ -109,3 +109,15 @@ def test_tree_job_looks_for_the_cut_in_staged_rows(spark, small, monkeypatch):
     with pytest.raises(Seen) as told:
         trees.run_trees(spark, TreeConfig(roles=ROLES, periods=PERIODS), legs(spark, small))
     assert "Join" not in str(told.value) and "parquet" in str(told.value)
+
+
+def test_marking_parts_takes_a_digest_once(spark):
+    rows = spark.range(3000).select("id", (F.col("id") % 7).cast("double").alias("_position"))
+    shares = {"train": 0.6, "validation": 0.2, "test": 0.2}
+    marked = mark_parts(rows, shares, 5)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("md5(") == 1
+    assert marked.columns == ["id", "_position", "part"]
+    apart = hash_parts(rows, shares, 5)
+    for name in shares:
+        assert same_rows(marked.filter(F.col("part") == name).drop("part"), apart[name])

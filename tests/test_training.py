@@ -164,3 +164,13 @@ def test_incomplete_rows_are_left_out_of_descent(spark):
 
 def test_tree_feature_list():
     assert len(TREE_FEATURES) == 20 and TREE_FEATURES[0] == "year" and TREE_FEATURES[-1] == "month_delay_rate"
+
+
+def test_boosted_rows_are_not_kept_in_memory(spark, small):
+    from checks.queries import _boosted
+
+    kept = spark.sparkContext._jsc.getPersistentRDDs
+    before = len(kept())
+    with _boosted(spark, small, rounds=1) as (_, test, _):
+        assert len(kept()) == before
+        assert "route" not in test.columns
