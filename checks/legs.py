@@ -40,13 +40,14 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    items = table("lineitem")
-    orders = table("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    # a time of day is turned into its date once a row, and lines are shuffled once, with what they need
+    items = table("lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
     customers = table("customer").select("c_custkey", "c_nationkey")
-    joined = (
-        items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    orders = (
+        table("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
     )
+    joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     day = F.col("l_shipdate")
     number, quantity = F.col("l_linenumber"), F.col("l_quantity")
     mixed = (F.col("l_partkey") * 31 + F.col("l_orderkey") * 17) % 60

@@ -42,7 +42,7 @@ from latemark.sources import (
 )
 from latemark.evaluation.documents import DOCUMENT_SCHEMA
 from latemark.training import (
-    GradientDescentLogit, NewtonLogit, NewtonTrees, class_weight, first_trees, gbt_stages, onehot_logit_stages, score_linear,
+    GradientDescentLogit, NewtonLogit, NewtonTrees, class_weight, first_trees, fit_onehot_logit, gbt_stages, onehot_logit_stages, score_linear,
 )
 from latemark.training.builtin import encoding_stages
 from latemark.training.descent import RowBlocks
@@ -699,7 +699,7 @@ def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def logit_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = split_legs(spark, sf_dir)
-    model = onehot_logit_stages(CATEGORICAL, NUMERIC).fit(split.train)
+    model = fit_onehot_logit(onehot_logit_stages(CATEGORICAL, NUMERIC), split.train)
     return rounded(positive_probability(model.transform(split.test)).select("label", "prediction", "probability"))
 
 

@@ -86,15 +86,17 @@ def mark_parts(
     A row goes where its content hash falls, whatever file or partition it came from.
     Copies of a row always land together, so none leaks from one part to another.
     """
-    held, taken = _POSITION, {name.lower() for name in (*df.columns, output)}
+    held, taken = _DIGEST, {name.lower() for name in (*df.columns, output)}
     while held in taken:
         held = f"_{held}"
     (last, _, _), *others = reversed(_bounds(shares))
     part = F.lit(last)
     for name, _, high in others:
-        part = F.when(F.col(held) < high, F.lit(name)).otherwise(part)
+        # digests are in the order of their places, so that none has to be turned into a number
+        below = F.col(held) < f"{high:08x}" if high < POSITIONS else F.lit(True)
+        part = F.when(below, F.lit(name)).otherwise(part)
     # a column of its own, so that the digest is not taken again for every bound
-    placed = df.withColumn(held, _positioned(df, seed, columns))
+    placed = df.withColumn(held, content_digest(columns or df.columns, seed))
     return placed.withColumn(output, part).drop(held)
 
 

@@ -11,9 +11,9 @@ from latemark.evaluation.curves import feature_names
 from latemark.operators import add_class_weight, mark_parts
 from latemark.plans.common import accounting, cleaned_legs, malformed, measured, publish, scores_only
 from latemark.plans.config import OneHotConfig, RunResult, check_mode
-from latemark.session import held, owning_scratch
+from latemark.session import owning_scratch
 from latemark.sources import restaged, save_model
-from latemark.training import onehot_logit_stages
+from latemark.training import fit_onehot_logit, onehot_logit_stages
 from latemark.training.weights import positive_weight
 
 
@@ -44,24 +44,25 @@ def run_onehot(spark: SparkSession, config: OneHotConfig, legs: DataFrame | None
         roles.categorical, roles.numeric, "weight" if weighted else None, config.max_iter,
         by_lookup=config.by_lookup,
     )
-    model = stages.fit(train)
+    model = fit_onehot_logit(stages, train)
     raw_scores = model.transform(cleaned.filter(F.col("part") == "test").drop("part"))
     scored = positive_probability(raw_scores)
     logit = model.stages[-1]
-    names = feature_names(raw_scores)
-    with held(scores_only(scored)) as scores:
-        metrics, confusion = measured(scores)
-        document = metrics_document(
-            spark, model="logistic_regression", optimizer="L-BFGS", encoding="one-hot",
-            split="by content hash", mode=config.mode, input=config.input,
-            start_year=config.start_year, max_iter=config.max_iter,
-            train_ratio=config.train_ratio, seed=config.seed, train_rows=rows["train"],
-            test_rows=rows["test"], exclude_covid=bool(config.periods), positive_weight=weight,
-            weights={"bias": logit.intercept, **dict(zip(names, logit.coefficients.toArray()))},
-            categorical_cols=roles.categorical, numerical_cols=roles.numeric,
-            confusion=confusion, **metrics,
-        )
-        written = publish(config, config.mode, document, scores)
+    names = feature_names(raw_scores.select("features"))
+    # staged, so that later passes do not send the labels to every task
+    scores = restaged(scores_only(scored), "scores")
+    metrics, confusion = measured(scores)
+    document = metrics_document(
+        spark, model="logistic_regression", optimizer="L-BFGS", encoding="one-hot",
+        split="by content hash", mode=config.mode, input=config.input,
+        start_year=config.start_year, max_iter=config.max_iter,
+        train_ratio=config.train_ratio, seed=config.seed, train_rows=rows["train"],
+        test_rows=rows["test"], exclude_covid=bool(config.periods), positive_weight=weight,
+        weights={"bias": logit.intercept, **dict(zip(names, logit.coefficients.toArray()))},
+        categorical_cols=roles.categorical, numerical_cols=roles.numeric,
+        confusion=confusion, **metrics,
+    )
+    written = publish(config, config.mode, document, scores)
     if config.output:
         written["model"] = save_model(model, config.output, config.mode)
     return RunResult(document, model, scored, written, accounting(spark, config, legs), malformed(spark, config))

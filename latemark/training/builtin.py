@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.pipeline import Pipeline
+from pyspark.ml.pipeline import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latemark.features.index import RankedIndexer
+from latemark.sources import restaged
 
 
 def encoding_stages(categorical: Sequence[str], numeric: Sequence[str], by_lookup: bool = False) -> list:
@@ -48,6 +49,21 @@ def onehot_logit_stages(
     return Pipeline(stages=[*encoding_stages(categorical, numeric, by_lookup), logit])
 
 
+def fit_onehot_logit(stages: Pipeline, train: DataFrame) -> PipelineModel:
+    """``stages.fit(train)`` for the stages of :func:`onehot_logit_stages`, for many labels.
+
+    Every task of every iteration is sent the plan of its rows, with all labels and names of
+    slots in it, so that labels would cost more the more tasks there are. Encoded rows are
+    staged without names instead; the two passes over them then encode nothing, either.
+    """
+    *encoding, logit = stages.getStages()
+    encoder = Pipeline(stages=encoding).fit(train)
+    learnt = [logit.getLabelCol(), *([logit.getWeightCol()] if logit.isSet(logit.weightCol) else [])]
+    features = logit.getFeaturesCol()
+    rows = encoder.transform(train).select(features, *learnt).withMetadata(features, {})
+    return PipelineModel([*encoder.stages, logit.fit(restaged(rows, "encoded"))])
+
+
 def gbt_stages(
     features: Sequence[str],
     label: str = "is_delayed",

@@ -121,3 +121,13 @@ def test_marking_parts_takes_a_digest_once(spark):
     apart = hash_parts(rows, shares, 5)
     for name in shares:
         assert same_rows(marked.filter(F.col("part") == name).drop("part"), apart[name])
+
+
+def test_marking_parts_turns_no_digest_into_a_number(spark):
+    rows = spark.range(2000).selectExpr("id % 700 as key", "if(id % 3 = 0, null, id / 7) as share")
+    shares = {"a": 0.37, "b": 0.13, "c": 0.5}
+    marked = mark_parts(rows, shares, 5)
+    assert "conv(" not in marked._jdf.queryExecution().optimizedPlan().toString()
+    place = content_position(rows.columns, 5)
+    told = F.when(place < int(0.37 * 2**32), "a").when(place < int(0.5 * 2**32), "b").otherwise("c")
+    assert marked.filter(F.col("part") != told).isEmpty() and marked.select("part").distinct().count() == 3

@@ -3,13 +3,15 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from checks.legs import PERIODS, ROLES, START_YEAR, legs
+from latemark.operators import add_class_weight, clean_legs, mark_parts
 from latemark.plans import DescentConfig, OneHotConfig, TreeConfig, run_descent, run_onehot, run_trees
 from latemark.plans.onehot import positive_probability
 from latemark.plans.trees import TREE_FEATURES, labelled_legs
-from latemark.training import GradientDescentLogit, class_weight, score_linear, truncated
+from latemark.training import GradientDescentLogit, class_weight, fit_onehot_logit, onehot_logit_stages, score_linear, truncated
 from latemark.training.builtin import encoding_stages
 
 
@@ -102,6 +104,57 @@ def test_onehot_run_reads_csv(spark, small, tmp_path):
     assert row["weights"]["bias"] is not None and len(row["weights"]) > 40
 
 
+@pytest.mark.parametrize("mode", ["baseline", "weighted"])
+def test_onehot_training_rows_are_staged_nameless(spark, small, monkeypatch, mode):
+    seen = []
+
+    def fit(self, dataset):
+        seen.append(dataset)
+        return whole(self, dataset)
+
+    whole = LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", fit)
+    config = OneHotConfig(roles=ROLES, periods=PERIODS, start_year=START_YEAR, mode=mode, max_iter=3)
+    run = run_onehot(spark, config, legs(spark, small))
+    (rows,) = seen
+    assert rows.schema["features"].metadata == {} and all("/encoded-" in name for name in rows.inputFiles())
+    # the same model as from the stages as they are
+    cleaned = mark_parts(clean_legs(legs(spark, small), ROLES, START_YEAR, PERIODS), {"train": 0.8, "test": 1 - 0.8}, 42)
+    train = add_class_weight(cleaned.filter("part = 'train'"), run.document.first()["positive_weight"])
+    weight = "weight" if mode == "weighted" else None
+    plain = onehot_logit_stages(ROLES.categorical, ROLES.numeric, weight, 3).fit(train).stages[-1]
+    learnt = run.model.stages[-1]
+    assert learnt.intercept == pytest.approx(plain.intercept)
+    assert learnt.coefficients.toArray() == pytest.approx(plain.coefficients.toArray(), rel=1e-6, abs=1e-9)
+
+
+def test_tasks_of_onehot_training_do_not_grow_with_labels(spark, monkeypatch):
+    seen = []
+
+    def fit(self, dataset):
+        seen.append(dataset)
+        return whole(self, dataset)
+
+    whole = LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", fit)
+    stages = onehot_logit_stages(["word"], ["size"], max_iter=1)
+    for labels in (20, 4000):
+        rows = spark.range(8000).selectExpr(f"concat('w', id % {labels}) as word", "id % 7 as size", "cast(id % 2 as int) as label")
+        fit_onehot_logit(stages, rows)
+    serializer = spark._jvm.org.apache.spark.SparkEnv.get().closureSerializer().newInstance()
+    tag = spark._jvm.scala.reflect.ClassTag.Any()
+    few, many = (serializer.serialize(rows._jdf.rdd(), tag).limit() for rows in seen)
+    assert abs(many - few) < 5000
+
+
+def test_legs_shuffle_lines_once_and_take_dates_once(spark, small):
+    lines = legs(spark, small)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert sum(line.count("as date)") for line in lines) == 1
+    # orders meet customers before they meet lines
+    depth = {name: next(line for line in lines if name in line and "Relation" in line).index("Relation") for name in ("l_orderkey", "o_orderkey", "c_custkey")}
+    assert depth["l_orderkey"] < depth["o_orderkey"] == depth["c_custkey"]
+
+
 def test_discard_leaves_no_staged_rows(spark, small):
     from pathlib import Path
 
