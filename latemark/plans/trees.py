@@ -110,11 +110,12 @@ def fit_encoders(train: DataFrame, roles: LegRoles, imputed: Sequence[str]) -> l
 
 
 def _first_order(spark: SparkSession, config: TreeConfig, features: list[str], learned: DataFrame) -> Grown:
-    """Spark's own boosting, cut to the best round; ``learned`` is held."""
+    """Gradient boosting, cut to the best round; ``learned`` is staged. Stopping on loss is Spark's own."""
     on_loss = config.stop_on == "loss"
     fitted = gbt_stages(
         features, LABEL, "weight", "in_validation" if on_loss else None, config.rounds,
         config.learning_rate, config.depth, config.row_share, config.feature_share, config.seed,
+        packed=not on_loss,
     ).fit(learned if on_loss else learned.filter(~F.col("in_validation")))
     assembler, booster = fitted.stages
     validation = assembler.transform(learned.filter("in_validation"))
@@ -177,8 +178,11 @@ def run_trees(spark: SparkSession, config: TreeConfig, legs: DataFrame | None =
     in_validation = learning.withColumn("in_validation", F.col("part") == "validation")
     learned = add_class_weight(table(in_validation, "in_validation"), weight, LABEL)
     grow = _second_order if config.second_order else _first_order
-    with held(learned):
-        grown = grow(spark, config, features, learned)
+    if config.second_order:
+        with held(learned):
+            grown = grow(spark, config, features, learned)
+    else:
+        grown = grow(spark, config, features, restaged(learned, "learned"))
     model = PipelineModel([*encoders.stages, *grown.stages])
     scored = grown.scored(PipelineModel(grown.stages).transform(table(test)))
     with held(scores_only(scored, LABEL)) as scores:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from latemark.features.index import RankedIndexer
 from latemark.sources import restaged
+from latemark.training.packed import PackedBoosting
 
 
 def encoding_stages(categorical: Sequence[str], numeric: Sequence[str], by_lookup: bool = False) -> list:
@@ -76,12 +77,16 @@ def gbt_stages(
     feature_share: float = 0.8,
     seed: int = 42,
     validation_tol: float = 0.01,
+    packed: bool = False,
 ) -> Pipeline:
     """Boosted trees over binned features, trained where the rows are.
 
     ``validation`` names a boolean column; boosting stops when the loss on its rows no
-    longer falls.
+    longer falls. ``packed`` grows the same kind of trees over blocks of bins instead of Spark's
+    objects a row, see :mod:`latemark.training.packed`, for very many rows; all rounds are run.
     """
+    if packed and validation:
+        raise ValueError("packed rows are not boosted with validation")
     trees = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=rounds, stepSize=learning_rate,
         maxDepth=depth, subsamplingRate=row_share, featureSubsetStrategy=str(feature_share),
@@ -92,7 +97,7 @@ def gbt_stages(
     if validation:
         trees = trees.setValidationIndicatorCol(validation).setParams(validationTol=validation_tol)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, trees])
+    return Pipeline(stages=[assembler, PackedBoosting(trees) if packed else trees])
 
 
 def truncated(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
