@@ -50,7 +50,7 @@ def training_curve(model: GBTClassificationModel, rows: DataFrame, label: str) -
     """
     trees = list(zip(model.trees, model.treeWeights))
     values = [F.lit([value * weight for value in leaf_values(tree)]) for tree, weight in trees]
-    # one column holds the leaves of all trees: a column a tree is more code than Java compiles
+    # one column holds the leaves of all trees
     scored = model.copy({model.leafCol: "_leaves"}).transform(rows)
     leaves = scored.select(F.col(label), vector_to_array("_leaves").alias("_leaves"))
     votes = F.array(*[F.get(v, F.get("_leaves", F.lit(k)).cast("int")) for k, v in enumerate(values)])
